@@ -77,21 +77,15 @@ def contains_join(
     keys = needles.where(F.length(needle) > 0).distinct()
     sizes = keys.agg(F.sort_array(F.collect_set(F.length(needle))).alias("__sizes"))
     lengths = sizes.first()["__sizes"]
-    pieces = F.flatten(
-        F.array(
-            *[
-                F.when(
-                    F.length(text) >= n,
-                    F.transform(
-                        F.sequence(F.lit(1), F.length(text) - n + 1),
-                        lambda at, n=n: F.substring(F.col(text), at, F.lit(n)),
-                    ),
-                ).otherwise(F.array().cast("array<string>"))
-                for n in lengths
-            ]
-        )
-    ) if lengths else F.array().cast("array<string>")
-    cut = texts.select(text_id, *on, F.explode(F.array_distinct(pieces)).alias(needle))
+    none = F.array().cast("array<string>")
+
+    def pieces(n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.length(text) - n + 1)
+        cut = F.transform(starts, lambda at: F.substring(F.col(text), at, F.lit(n)))
+        return F.when(F.length(text) >= n, cut).otherwise(none)
+
+    windows = F.flatten(F.array(*[pieces(n) for n in lengths])) if lengths else none
+    cut = texts.select(text_id, *on, F.explode(F.array_distinct(windows)).alias(needle))
     hits = cut.join(keys, [needle, *on]).select(text_id, *[c for c in keys.columns if c not in on])
     return texts.join(hits, text_id)
 

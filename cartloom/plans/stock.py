@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartloom.operators.merge import merge_changed
@@ -124,7 +124,7 @@ def changed_stock(
     )
 
 
-def stock_diff_report(products: DataFrame, shop: DataFrame, erp: DataFrame, stores: DataFrame, since: str) -> DataFrame:
+def stock_diff_report(products: DataFrame, shop: DataFrame, erp: DataFrame, stores: DataFrame, since: Column) -> DataFrame:
     """ERP and shop quantities side by side with their absolute difference."""
     erp_q = erp.select(F.col("ean").alias("sku"), F.col("quantity").alias("erp_quantity"))
     return (
@@ -136,6 +136,6 @@ def stock_diff_report(products: DataFrame, shop: DataFrame, erp: DataFrame, stor
             F.coalesce("erp_quantity", F.lit(0)).alias("erp_quantity"),
             F.coalesce("available", F.lit(0)).alias("shop_quantity"),
             F.abs(F.coalesce("erp_quantity", F.lit(0)) - F.coalesce("available", F.lit(0))).alias("difference"),
-            F.when(F.col("audit") >= F.lit(since).cast("timestamp"), F.col("audit")).otherwise(F.col("updated_at")).alias("changed_at"),
+            F.when(F.col("audit") >= since, F.col("audit")).otherwise(F.col("updated_at")).alias("changed_at"),
         )
     )
