@@ -336,8 +336,8 @@ def build_minor_unit_order_docs(orders: DataFrame, items: DataFrame, cfg: MinorU
         F.lit("1").alias("f431_cant_pedida_base"), F.col("freight").alias("f431_precio_unitario"),
     )
     both = heads.join(lists, "order_id", "left")
-    none = F.array().cast(lists.schema["lines"].dataType)
-    moves = F.concat(F.coalesce("lines", none), F.when(F.col("freight") > 0, F.array(freight).cast(lists.schema["lines"].dataType)).otherwise(none))
+    lines, carried = F.coalesce("lines", F.array()), F.filter(F.array(freight), lambda f: F.col("freight") > 0)
+    moves = F.concat(lines, carried)
     json = document_text(
         {
             "Pedidos": F.array("header"),

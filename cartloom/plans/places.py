@@ -22,9 +22,9 @@ CODES = ["country_id", "state_id", "city_id"]
 ASKED = ["__country", "__state", "__city"]
 
 
-def _best(places: DataFrame, keys: dict[str, str]) -> DataFrame:
+def _best(places: DataFrame, keys: dict[str, str], name: str) -> DataFrame:
     """Smallest codes per key, so every rule meets at most one row per key."""
-    return places.groupBy(*[F.col(c).alias(k) for k, c in keys.items()]).agg(F.min(F.struct(*CODES)).alias("hit"))
+    return places.groupBy(*[F.col(c).alias(k) for k, c in keys.items()]).agg(F.min(F.struct(*CODES)).alias(name))
 
 
 def resolve_location(
@@ -47,42 +47,43 @@ def resolve_location(
         .withColumn("__city", fold(F.col(city)))
     )
     asked = tagged.select(*ASKED).where("__country is not null").distinct()
-    near_capital = F.col("__state").contains(CAPITAL_PROVINCE) | F.col("__state").contains(CAPITAL)
-
-    capital = known.where(F.col("p_state").contains(CAPITAL) & F.col("p_city").contains(CAPITAL))
-    r1 = asked.where(near_capital & F.col("__city").contains(CAPITAL)).join(
-        _best(capital, {"__country": "p_country"}), "__country"
+    codes = F.struct(*CODES)
+    in_capital = F.col("p_state").contains(CAPITAL) & F.col("p_city").contains(CAPITAL)
+    federal = (F.col("p_country") == FEDERAL_COUNTRY) & (F.col("p_state") == FEDERAL_CITY) & (F.col("p_city") == FEDERAL_CITY)
+    per_country = known.groupBy(F.col("p_country").alias("__country")).agg(
+        F.min(F.when(in_capital, codes)).alias("capital"),
+        F.min(F.when(F.col("p_city").contains(COAST_CITY), codes)).alias("coast"),
+        F.min(F.when(federal, codes)).alias("federal"),
     )
-    province = known.where(F.col("p_state").contains(CAPITAL_PROVINCE))
-    r2 = asked.where(near_capital & (F.col("__city") != CAPITAL)).join(
-        _best(province, {"__country": "p_country", "__city": "p_city"}), ["__country", "__city"]
-    )
-    coast = known.where(F.col("p_city").contains(COAST_CITY))
-    r3 = asked.where(F.col("__state").contains(COAST_PROVINCE) & F.col("__city").contains(COAST_CITY)).join(
-        _best(coast, {"__country": "p_country"}), "__country"
+    province = _best(known.where(F.col("p_state").contains(CAPITAL_PROVINCE)), {"__country": "p_country", "__city": "p_city"}, "province")
+    exact = _best(known, {"__country": "p_country", "__state": "p_state", "__city": "p_city"}, "exact")
+
+    near_capital = F.col("__state").contains(CAPITAL_PROVINCE) | F.col("__state").contains(CAPITAL)
+    rules = [
+        (1, near_capital & F.col("__city").contains(CAPITAL), "capital"),
+        (2, near_capital & (F.col("__city") != CAPITAL), "province"),
+        (3, F.col("__state").contains(COAST_PROVINCE) & F.col("__city").contains(COAST_CITY), "coast"),
+        (4, (F.col("__state") == FEDERAL_CITY) & F.col("__city").isin(FEDERAL_NAMES), "federal"),
+        (5, F.lit(True), "exact"),
+    ]
+    found = F.coalesce(
+        *[F.when(test & F.col(hit).isNotNull(), F.struct(F.lit(n).alias("rule"), F.col(hit).alias("hit"))) for n, test, hit in rules]
     )
-    federal = known.where(
-        (F.col("p_country") == FEDERAL_COUNTRY) & (F.col("p_state") == FEDERAL_CITY) & (F.col("p_city") == FEDERAL_CITY)
+    first = (
+        asked.join(per_country, "__country", "left").join(province, ["__country", "__city"], "left").join(exact, ASKED, "left")
+        .select(*ASKED, found.alias("__found"))
     )
-    r4 = asked.where(
-        (F.col("__country") == FEDERAL_COUNTRY) & (F.col("__state") == FEDERAL_CITY) & F.col("__city").isin(FEDERAL_NAMES)
-    ).join(_best(federal, {"__country": "p_country"}), "__country")
-
-    exact = _best(known, {"__country": "p_country", "__state": "p_state", "__city": "p_city"})
-    r5 = asked.join(exact, ASKED)
-    open_places = asked.join(exact, ASKED, "left_anti").where("__city is not null and __state is not null").withColumn(
+    # Only names no rule knows are searched for a city inside their text.
+    still_open = first.where("__found is null and __city is not null and __state is not null").withColumn(
         "__ask", F.concat_ws("\u0001", *ASKED)
     )
-    cities = _best(known, {"__country": "p_country", "__state": "p_state", "__name": "p_city"})
-    r6 = contains_join(open_places, cities, "__city", "__ask", "__name", on=("__country", "__state")).groupBy(*ASKED).agg(
-        F.min("hit").alias("hit")
-    )
-    rules = [r.select(*ASKED, F.lit(n).alias("rule"), "hit") for n, r in enumerate([r1, r2, r3, r4, r5, r6], 1)]
-    chosen = (
-        reduce(DataFrame.union, rules)
-        .groupBy(*ASKED)
-        .agg(F.min(F.struct("rule", "hit")).alias("__best"))
-        .select(*[F.col(a).alias(f"_{a}") for a in ASKED], "__best")
+    cities = _best(known, {"__country": "p_country", "__state": "p_state", "__name": "p_city"}, "part")
+    inside = contains_join(
+        still_open.drop("__found"), cities, "__city", "__ask", "__name", on=("__country", "__state")
+    ).groupBy(*ASKED).agg(F.min("part").alias("part"))
+    chosen = first.join(inside, ASKED, "left").select(
+        *[F.col(a).alias(f"_{a}") for a in ASKED],
+        F.coalesce("__found", F.when(F.col("part").isNotNull(), F.struct(F.lit(6).alias("rule"), F.col("part").alias("hit")))).alias("__best"),
     )
     match = reduce(lambda a, b: a & b, [F.col(a).eqNullSafe(F.col(f"_{a}")) for a in ASKED])
     out = tagged.join(chosen, match, "left")

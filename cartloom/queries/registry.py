@@ -13,6 +13,20 @@ from cartloom.sources.tables import read_source
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
+# Declared schemas of the driver tables.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, "
+    "o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+}
 RUN_TS = "2024-02-01 10:30:00"
 # Most lines of one shop document; longer orders arrive as several documents.
 PAGE = 200
@@ -31,7 +45,7 @@ def query(sql: str | None = None):
 
 
 def table(spark: SparkSession, sf: str, name: str, *columns: str, where: Column | None = None) -> DataFrame:
-    return read_source(spark, f"{sf}/{name}.parquet", list(columns) or None, where)
+    return read_source(spark, f"{sf}/{name}.parquet", list(columns) or None, where, schema=SCHEMAS[name])
 
 
 def run_ts() -> Column:
@@ -293,6 +307,14 @@ def _shipping() -> Column:
     return out
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash by the key the next join needs anyway, over all shuffle partitions.
+
+    The documents built after that join are far wider than these rows.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def order_texts(spark: SparkSession, sf: str) -> DataFrame:
     """Queue of allocation-dialect order documents as JSON text."""
     ext, disc = F.col("l_extendedprice").cast("decimal(18,2)"), F.col("l_discount").cast("decimal(4,2)")
@@ -322,7 +344,7 @@ def order_texts(spark: SparkSession, sf: str) -> DataFrame:
         F.array(F.struct(F.lit("manual").alias("type"), F.lit("10").alias("value"), target.alias("target_type"), F.lit("fixed").alias("value_type"))),
     ).otherwise(F.array().cast("array<struct<type:string,value:string,target_type:string,value_type:string>>"))
     part = F.coalesce("part", F.lit(1))
-    orders = table(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
+    orders = spread(table(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"), "o_orderkey")
     rows = orders.join(lists, F.col("o_orderkey") == F.col("l_orderkey"), "left").join(who, F.col("o_custkey") == F.col("c_custkey"), "left")
     created = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ssXXX")
     body = F.struct(

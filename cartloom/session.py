@@ -35,7 +35,6 @@ def local_session(app: str = "cartloom", cpus: str | int = "*", partitions: int
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.driver.memory", os.environ.get("CARTLOOM_DRIVER_MEMORY", "8g"))
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -10,14 +10,17 @@ from cartloom.operators.temporal import keep_one
 
 def read_source(
     spark: SparkSession, path: str, columns: list[str] | None = None, predicate: Column | None = None,
-    fmt: str = "parquet", options: dict | None = None,
+    fmt: str = "parquet", options: dict | None = None, schema: str | None = None,
 ) -> DataFrame:
     """A base table with only the needed columns and rows; both reach the scan.
 
+    A declared ``schema`` saves opening file footers before the plan is built.
     ``fmt="jdbc"`` with ``dbtable``, ``query`` or ``partitionColumn`` options reads an ERP
     database the same way, the projection and predicate then run in that database.
     """
     reader = spark.read.format(fmt).options(**(options or {}))
+    if schema is not None:
+        reader = reader.schema(schema)
     df = reader.load() if fmt == "jdbc" else reader.load(path)
     if predicate is not None:
         df = df.where(predicate)
@@ -38,12 +41,16 @@ def literal_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFra
 
 
 def parse_documents(df: DataFrame, column: str, schema: str, into: str = "doc") -> DataFrame:
-    """Document text to a typed struct; unreadable text gives a reject reason, not a failure."""
-    parsed = df.withColumn(
-        into,
-        F.from_json(F.col(column), f"{schema}, _corrupt_record string", {"columnNameOfCorruptRecord": "_corrupt_record"}),
+    """Document text to a typed struct; unreadable text gives a reject reason, not a failure.
+
+    The one-element explode keeps the parse in one place: as a plain projection it would
+    be inlined into every later filter and the text parsed again for each.
+    """
+    parse = F.from_json(
+        F.col(column), f"{schema}, _corrupt_record string", {"columnNameOfCorruptRecord": "_corrupt_record"}
     )
-    bad = F.col(column).isNull() | F.col(f"{into}._corrupt_record").isNotNull()
+    parsed = df.select("*", F.explode(F.array(parse)).alias(into))
+    bad = F.col(into).isNull() | F.col(f"{into}._corrupt_record").isNotNull()
     return parsed.withColumn("reject_reason", F.when(bad, F.lit("unreadable document")))
 
 
