@@ -9,6 +9,7 @@ from cartloom.functions.codes import resource_id
 from cartloom.functions.text import log_text
 from cartloom.operators.skew import HOT_ROWS, number_rows
 from cartloom.operators.temporal import latest_valid
+from cartloom.session import settle
 
 # Prefixes of the shop's global identifiers and the fixed words of its request.
 ITEM_PREFIX = "gid://shopify/InventoryItem/"
@@ -30,8 +31,11 @@ def eligible_split(pending: DataFrame, checks: DataFrame) -> tuple[DataFrame, Da
 
 
 def to_batches(df: DataFrame, size: int, order: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Consecutive batches of ``size`` rows by ``order``; only the last may be short."""
-    numbered = number_rows(df, [], order, "__rn", hot_rows)
+    """Consecutive batches of ``size`` rows by ``order``; only the last may be short.
+
+    The rows are settled first: the numbering reads them more than once.
+    """
+    numbered = number_rows(settle(df), [], order, "__rn", hot_rows)
     return numbered.withColumn("batch", F.floor((F.col("__rn") - 1) / F.lit(size)).cast("bigint")).withColumn(
         "position", ((F.col("__rn") - 1) % F.lit(size)).cast("int")
     ).drop("__rn")
@@ -57,9 +61,11 @@ def quantity_payload(batches: DataFrame) -> DataFrame:
     return grouped.select("batch", F.size("quantities").alias("items"), F.to_json(F.struct(body.alias("input"))).alias("payload"))
 
 
-def run_log(events: DataFrame, description: Column, start: Column, end: Column, success: Column) -> DataFrame:
+def run_log(
+    events: DataFrame, description: Column, start: Column, end: Column, success: Column, keep: list[str] = ()
+) -> DataFrame:
     return events.select(
-        log_text(description).alias("description"), start.alias("started_at"), end.alias("ended_at"), success.alias("success")
+        *keep, log_text(description).alias("description"), start.alias("started_at"), end.alias("ended_at"), success.alias("success")
     )
 
 

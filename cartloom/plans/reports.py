@@ -39,7 +39,7 @@ def sales_lines(
         movements.join(documents, "doc_id").join(items, "item_rowid").join(parties, "party_rowid")
         .join(warehouses, "warehouse_rowid")
         .select(
-            "doc_id", "line_id", document_number(F.col("doc_type"), F.col("doc_number")).alias("document"),
+            "doc_id", "line_id", "item_rowid", "warehouse_rowid", document_number(F.col("doc_type"), F.col("doc_number")).alias("document"),
             "party_name", "warehouse", F.rtrim(tx.strip_newlines(F.col("description"))).alias("description"),
             signed(F.col("quantity"), F.col("nature")).cast("decimal(28,4)").alias("quantity"),
             signed(subtotal, F.col("nature")).cast("decimal(28,2)").alias("subtotal"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every dataflow relies on. They are read back before being set,
 # so a cluster that already chose a value keeps it.
@@ -49,3 +49,12 @@ def checkpoint_folder(spark: SparkSession) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return folder
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Rows written once to the shared checkpoint folder, so later passes do not redo them.
+
+    Survives the loss of executors, which would take local copies with them.
+    """
+    checkpoint_folder(df.sparkSession)
+    return df.checkpoint()
