@@ -75,18 +75,14 @@ def contains_join(
     needle it does not contain. The lengths present are few (at most the needle width).
     """
     keys = needles.where(F.length(needle) > 0).distinct()
-    sizes = keys.agg(F.sort_array(F.collect_set(F.length(needle))).alias("__sizes"))
-    lengths = sizes.first()["__sizes"]
-    none = F.array().cast("array<string>")
-
-    def pieces(n: int) -> Column:
-        starts = F.sequence(F.lit(1), F.length(text) - n + 1)
-        cut = F.transform(starts, lambda at: F.substring(F.col(text), at, F.lit(n)))
-        return F.when(F.length(text) >= n, cut).otherwise(none)
-
-    windows = F.flatten(F.array(*[pieces(n) for n in lengths])) if lengths else none
-    cut = texts.select(text_id, *on, F.explode(F.array_distinct(windows)).alias(needle))
-    hits = cut.join(keys, [needle, *on]).select(text_id, *[c for c in keys.columns if c not in on])
+    lengths = keys.agg(F.sort_array(F.collect_set(F.length(needle))).alias("n")).first()["n"] or [1]
+    at, size = F.col("__at"), F.length(text)
+    places = texts.where(size >= lengths[0]).select(
+        text_id, *on, text, F.explode(F.sequence(F.lit(1), size - lengths[0] + 1)).alias("__at")
+    )
+    pieces = F.array(*[F.when(at + n - 1 <= size, F.substring(F.col(text), at, F.lit(n))) for n in lengths])
+    cut = places.select(text_id, *on, F.explode(pieces).alias(needle)).where(F.col(needle).isNotNull())
+    hits = cut.join(keys, [needle, *on]).select(text_id, *[c for c in keys.columns if c not in on]).distinct()
     return texts.join(hits, text_id)
 
 

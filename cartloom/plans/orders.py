@@ -229,11 +229,13 @@ def item_tax_rates(items: DataFrame, groups: DataFrame, keys: DataFrame, indicat
     )
 
 
-def minor_unit_lines(orders: DataFrame, items: DataFrame) -> DataFrame:
+def minor_unit_lines(orders: DataFrame, items: DataFrame, carry: dict[str, Column] | None = None) -> DataFrame:
     """Numbered lines of minor-unit orders with unit, price and discount from the item master.
 
     ``items`` carries ``barcode``, ``unit`` and ``tax_group``, one row per barcode. Lines are
-    numbered inside their document by barcode (reference where it has none).
+    numbered inside their document by barcode (reference where it has none). ``carry`` names
+    order-level columns to keep: they travel on the first line only, and an order without
+    lines then keeps one row with ``line_no`` NULL.
     """
     doc = F.col("doc")
     ordered = F.array_sort(
@@ -246,16 +248,21 @@ def minor_unit_lines(orders: DataFrame, items: DataFrame) -> DataFrame:
             ),
         )
     )
-    lines = orders.select(
-        "order_id", has_benefit(doc).alias("exempt"), F.posexplode(ordered).alias("__at", "it")
-    ).select("order_id", "exempt", (F.col("__at") + 1).alias("line_no"), "it.*")
+    unfold = F.posexplode if carry is None else F.posexplode_outer
+    kept = [c.alias(n) for n, c in (carry or {}).items()]
+    base = orders.select("order_id", has_benefit(doc).alias("exempt"), *kept, ordered.alias("__items"))
+    lines = base.select("order_id", "exempt", *(carry or {}), unfold("__items").alias("__at", "it"))
+    on_first = F.coalesce(F.col("__at"), F.lit(0)) == 0
+    lines = lines.select(
+        "order_id", "exempt", *[F.when(on_first, F.col(n)).alias(n) for n in carry or {}], (F.col("__at") + 1).alias("line_no"), "it.*"
+    )
     master = items.select(F.col("barcode").alias("code"), "unit", "tax_group")
     joined = lines.join(master, "code", "left")
     taxed = F.coalesce(F.col("tax_group") == TAXED_GROUP, F.lit(False))
     price, selling = F.col("price").try_cast("double"), F.col("selling_price").try_cast("double")
     has_discount = (selling != 0) & ((price - selling) != 0)
     return joined.select(
-        "order_id", "line_no", F.col("ean").alias("barcode"), F.coalesce("unit", F.lit("UND")).alias("unit"), "quantity",
+        "order_id", *(carry or {}), "line_no", F.col("ean").alias("barcode"), F.coalesce("unit", F.lit("UND")).alias("unit"), "quantity",
         cd.whole_from_minor(price, taxed).alias("unit_price"),
         F.when(F.col("tax_group").isNotNull() & ~F.col("exempt"), F.when(taxed, F.lit(19)).otherwise(F.lit(0))).alias("tax_rate"),
         F.when(has_discount, cd.exempt_discount(price, selling, taxed, F.col("exempt"))).alias("unit_discount"),
@@ -274,7 +281,8 @@ def build_minor_unit_order_docs(orders: DataFrame, items: DataFrame, cfg: MinorU
     """Header, lines (with freight), taxes and discounts of minor-unit orders.
 
     Lines meet the item master and return to their document, which held them in one row
-    before, so the regrouped lists are no larger than the input documents.
+    before, so the regrouped lists are no larger than the input documents. The header is
+    built where the document is parsed and travels with the first line.
     """
     doc = F.col("doc")
     today = tx.day_text(run_ts)
@@ -283,7 +291,6 @@ def build_minor_unit_order_docs(orders: DataFrame, items: DataFrame, cfg: MinorU
     def ids(prefix: str) -> list[Column]:
         return [F.lit(v).alias(f"{prefix}{n}") for n, v in zip(("_id_co", "_id_tipo_docto", "_consec_docto"), key.values())]
 
-    per_line = minor_unit_lines(orders, items)
     reason = F.col("reason")
     line = F.struct(
         F.col("line_no").alias("f431_nro_registro"), *ids("f431"), F.lit("").alias("f431_referencia_item"),
@@ -304,10 +311,6 @@ def build_minor_unit_order_docs(orders: DataFrame, items: DataFrame, cfg: MinorU
         F.col("unit_discount") > 0,
         F.struct(F.col("line_no").alias("f431_nro_registro"), *ids("f430"), F.col("unit_discount").alias("f432_vlr_uni")),
     )
-    lists = per_line.groupBy("order_id").agg(
-        F.sort_array(F.collect_list(line)).alias("lines"), F.sort_array(F.collect_list(tax)).alias("taxes"),
-        F.sort_array(F.collect_list(discount)).alias("discounts"),
-    )
     party = profile_party_id(doc)
     profile, place = doc["clientProfileData"], doc["shippingData"]["address"]
     header = F.struct(
@@ -324,10 +327,15 @@ def build_minor_unit_order_docs(orders: DataFrame, items: DataFrame, cfg: MinorU
         F.substring(place["postalCode"], 3, 5).alias("f419_id_ciudad"), tx.clean_phone(profile["phone"]).alias("f419_telefono"),
         tx.clip(F.upper(profile["email"]), 40).alias("f419_email"),
     )
-    heads = orders.select(
-        "order_id", header.alias("header"), minor_unit_freight(doc).alias("freight"), F.size(doc["items"]).alias("n_items"),
+    head = F.struct(
+        header.alias("header"), minor_unit_freight(doc).alias("freight"), F.coalesce(F.size(doc["items"]), F.lit(0)).alias("n_items"),
         marketplace_of(doc["orderId"], 1, F.lit(DEFAULT_REASON)).alias("reason"),
     )
+    both = minor_unit_lines(orders, items, {"head": head}).groupBy("order_id").agg(
+        F.first("head", ignorenulls=True).alias("head"),
+        F.sort_array(F.collect_list(F.when(F.col("line_no").isNotNull(), line))).alias("lines"),
+        F.sort_array(F.collect_list(tax)).alias("taxes"), F.sort_array(F.collect_list(discount)).alias("discounts"),
+    ).select("order_id", "head.*", "lines", "taxes", "discounts")
     freight = F.struct(
         (F.col("n_items") + 1).alias("f431_nro_registro"), *ids("f431"), F.lit("FLETES").alias("f431_referencia_item"),
         F.lit("").alias("f431_codigo_barras"), F.lit(cfg.warehouse).alias("f431_id_bodega"),
@@ -335,9 +343,7 @@ def build_minor_unit_order_docs(orders: DataFrame, items: DataFrame, cfg: MinorU
         F.lit("3").alias("f431_num_dias_entrega"), F.lit("UND").alias("f431_id_unidad_medida"),
         F.lit("1").alias("f431_cant_pedida_base"), F.col("freight").alias("f431_precio_unitario"),
     )
-    both = heads.join(lists, "order_id", "left")
-    lines, carried = F.coalesce("lines", F.array()), F.filter(F.array(freight), lambda f: F.col("freight") > 0)
-    moves = F.concat(lines, carried)
+    moves = F.concat("lines", F.filter(F.array(freight), lambda f: F.col("freight") > 0))
     json = document_text(
         {
             "Pedidos": F.array("header"),

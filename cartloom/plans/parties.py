@@ -9,6 +9,7 @@ from cartloom.config import EXEMPT_BENEFIT, CurrencyRule, EntityRow, MinorUnitOr
 from cartloom.functions import codes as cd
 from cartloom.functions import text as tx
 from cartloom.plans.places import resolve_location
+from cartloom.session import settle
 from cartloom.sources.schemas import CUSTOMER_LAYOUT, PARTY_LAYOUT, contract, document_text, fit
 
 
@@ -64,6 +65,12 @@ def entity_rows(party: Column, entities: tuple[EntityRow, ...]) -> Column:
     return F.array(*rows)
 
 
+PARTY_FIELDS = [
+    "country", "state", "city", "party_id", "legal_name", "given_names", "surnames", "address1", "address2", "phone", "email",
+    "created", "status", "id_kind", "party_kind",
+]
+
+
 def party_fields(orders: DataFrame, places: DataFrame, cfg: PartyConfig) -> DataFrame:
     """One row per order with the resolved party fields; ``status`` is ok or no_id."""
     doc = F.col("doc")
@@ -89,7 +96,10 @@ def party_fields(orders: DataFrame, places: DataFrame, cfg: PartyConfig) -> Data
     kinds = flat.withColumn("id_kind", cd.id_kind(F.col("party_id"), cfg.id_kind)).withColumn(
         "party_kind", F.when(F.col("id_kind") == "N", F.lit("2")).otherwise(F.lit(cfg.party_kind))
     )
-    located = resolve_location(kinds, places, "country", "state", "city", cfg.defaults)
+    # The place lookup reads its input twice. Settled, the flat fields are read again
+    # instead of the documents being parsed again.
+    flat_fields = settle(kinds.select("order_id", F.col("doc.name").alias("order_name"), *PARTY_FIELDS))
+    located = resolve_location(flat_fields, places, "country", "state", "city", cfg.defaults)
     return located.withColumn("surname1", tx.first_surname(F.col("surnames"))).withColumn(
         "surname2", tx.other_surnames(F.col("surnames"))
     )
@@ -127,7 +137,7 @@ def build_party_docs(orders: DataFrame, places: DataFrame, cfg: PartyConfig) ->
             "EntDinamicaTercero": entity_rows(c("party_id"), cfg.entities),
         }
     )
-    return rows.select(*contract(c("doc")["name"], json, cfg))
+    return rows.select(*contract(c("order_name"), json, cfg))
 
 
 # --- profile dialect ---------------------------------------------------------
