@@ -51,11 +51,11 @@ def _boundaries(df: DataFrame, columns: list[str], ranges: int) -> tuple[str, st
     return cut, schema
 
 
-def _range_index(columns: list[str], boundaries: str, schema: str) -> Column:
+def _range_index(columns: list[str], boundaries: str, schema: str, ranges: int) -> Column:
     """How many boundaries are <= the row: a binary search over one constant array."""
     bounds = F.from_json(F.lit(boundaries), schema)
     here = F.struct(*columns)
-    steps = [1 << b for b in range(MAX_RANGES.bit_length(), -1, -1)]
+    steps = [1 << b for b in range(ranges.bit_length(), -1, -1)]
     return F.aggregate(
         F.array(*[F.lit(s) for s in steps]),
         F.lit(0),
@@ -66,7 +66,7 @@ def _range_index(columns: list[str], boundaries: str, schema: str) -> Column:
 def _number_by_ranges(df: DataFrame, keys: list[str], order: list[str], name: str, ranges: int) -> DataFrame:
     columns = keys + order
     cut, schema = _boundaries(df, columns, ranges)
-    placed = df.withColumn("__range", _range_index(columns, cut, schema))
+    placed = df.withColumn("__range", _range_index(columns, cut, schema, ranges))
     sizes = placed.groupBy(*keys, "__range").agg(F.count(F.lit(1)).alias("__n"))
     before = sizes.select(
         *[F.col(k).alias(f"__k_{k}") for k in keys],
@@ -79,7 +79,7 @@ def _number_by_ranges(df: DataFrame, keys: list[str], order: list[str], name: st
         ).alias("__before"),
     )
     local = F.row_number().over(Window.partitionBy(*keys, "__range").orderBy(*order))
-    match = F.col("__range") == F.col("__r")
+    match = F.col("__range").eqNullSafe(F.col("__r"))
     for k in keys:
         match = match & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
     return (

@@ -11,6 +11,7 @@ from cartloom.config import (
 )
 from cartloom.functions import codes as cd
 from cartloom.functions import text as tx
+from cartloom.operators.skew import lookup_hot
 from cartloom.plans.parties import has_benefit, profile_party_id
 from cartloom.sources.schemas import contract, document_text
 
@@ -177,10 +178,14 @@ def build_order_docs(orders: DataFrame, cfg: OrderConfig, run_ts: Column) -> Dat
 
 
 def price_gap_discounts(lines: DataFrame, prices: DataFrame) -> DataFrame:
-    """Discount per line where the ERP list price is above the shop price."""
-    listed = prices.select("sku", F.col("price").alias("list_price")).distinct()
+    """Discount per line where the ERP list price is above the shop price.
+
+    A best-selling SKU may own a large share of the lines. Of several list prices the
+    highest counts, so a line gets at most one discount.
+    """
+    listed = prices.groupBy("sku").agg(F.max("price").alias("list_price"))
     return (
-        lines.join(listed, "sku")
+        lookup_hot(lines, listed, ["sku"], "inner")
         .withColumn("gap", F.col("list_price") - F.col("price"))
         .where("gap > 0")
         .select(*lines.columns, "list_price", "gap")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cartloom.functions import text as tx
 from cartloom.operators.relational import nest, optional_eq
+from cartloom.operators.skew import lookup_hot
 
 INWARD = 1
 
@@ -35,8 +36,9 @@ def sales_lines(
         F.col("gross") - F.col("line_discount"), F.col("gross_alt") - F.col("line_discount_alt"), is_local
     )
     gross = in_currency(F.col("gross"), F.col("gross_alt"), is_local)
+    described = lookup_hot(movements, items, ["item_rowid"], "inner")
     return (
-        movements.join(documents, "doc_id").join(items, "item_rowid").join(parties, "party_rowid")
+        described.join(documents, "doc_id").join(parties, "party_rowid")
         .join(warehouses, "warehouse_rowid")
         .select(
             "doc_id", "line_id", "item_rowid", "warehouse_rowid", document_number(F.col("doc_type"), F.col("doc_number")).alias("document"),
