@@ -30,6 +30,17 @@ class EntityRow:
     detail: str
 
 
+@dataclass(frozen=True)
+class CurrencyRule:
+    """Party attributes for orders in the foreign currency, and for all others."""
+
+    foreign: str = "USD"
+    client_type: tuple[str, str] = ("EXT", "NAC")
+    price_list: tuple[str, str] = ("002", "001")
+    residency: tuple[str, str] = ("11", "10")
+    tax_value: tuple[str, str] = ("0", "1")
+
+
 @dataclass(frozen=True)
 class PartyConfig:
     document_id: int = 200000
@@ -48,22 +59,15 @@ class PartyConfig:
     activity: str = "0081"
     # Orders without an id: move on to the next state (True) or count an attempt (False).
     pass_without_id: bool = False
+    # Section names of the receiving connector: party, customer, taxes, entities.
+    sections: tuple[str, str, str, str] = ("Terceros", "Clientes", "ImptosyReten", "EntDinamicaTercero")
+    # Client type, price list, residency and tax value by order currency, where they differ.
+    by_currency: CurrencyRule | None = None
     fallback_id: str | None = None
     taxes: tuple[TaxRow, ...] = (TaxRow(),)
     entities: tuple[EntityRow, ...] = ()
 
 
-@dataclass(frozen=True)
-class CurrencyRule:
-    """Party attributes for orders in the foreign currency, and for all others."""
-
-    foreign: str = "USD"
-    client_type: tuple[str, str] = ("EXT", "NAC")
-    price_list: tuple[str, str] = ("002", "001")
-    residency: tuple[str, str] = ("11", "10")
-    tax_value: tuple[str, str] = ("0", "1")
-
-
 # Payment gateway texts, the payment codes they map to, and their priority.
 PAYMENT_CODES = {
     "Sistecredito": "C005",
@@ -128,6 +132,13 @@ class OrderConfig:
     item_unit: str = "PAR"
     freight_unit: str = "UND"
     freight_reference: str = "FLETES NACIONAL WEB"
+    # Section names of the receiving connector: header, lines, discounts.
+    sections: tuple[str, str, str] = ("Pedidos", "Movto_Pedidos_comercial", "Descuentos")
+    # Freight reference and note by shipping price, in place of the single reference.
+    freight_by_price: dict = field(default_factory=dict)
+    # Order day: the day of the "run", or the day the shop "updated" the order.
+    day_from: str = "run"
+    drop_leading_zero: bool = False
     # Which payment wins when an order carries several: "first" by priority, or "last".
     payment_pick: str = "first"
     payment_codes: dict = field(default_factory=lambda: dict(PAYMENT_CODES))
@@ -138,6 +149,24 @@ class OrderConfig:
     discount_type: str = "decimal(18,0)"
 
 
+@dataclass(frozen=True)
+class MarketplaceConfig:
+    document_id: int = 225805
+    description: str = "PedidosDesc"
+    parallel: bool = False
+    branch: str = "002"
+    currency: str = "COP"
+    price_list: str = "090"
+    default_email: str = "noemail@example.com"
+    plan: str = "001"
+    defaults: LocationDefaults = LocationDefaults("169", "76", "999")
+
+
+# Seller and classification of the marketplace an order comes from.
+ORIGIN_SELLERS = {"shopify": "9999", "fcom": "0102", "mercadolibre": "0100"}
+ORIGIN_CLASSES = {"shopify": "107", "fcom": "102", "mercadolibre": "101"}
+
+
 @dataclass(frozen=True)
 class MinorUnitOrderConfig:
     document_id: int = 205744

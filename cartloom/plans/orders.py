@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cartloom.config import (
     BRAND_MARKS, DEFAULT_REASON, MARKETPLACES, PREFIXED_ORIGINS, TAXED_GROUP, WAREHOUSE_CODES,
-    MinorUnitOrderConfig, OrderConfig,
+    MarketplaceConfig, MinorUnitOrderConfig, OrderConfig,
 )
 from cartloom.functions import codes as cd
 from cartloom.functions import text as tx
@@ -80,13 +80,21 @@ def order_header(doc: Column, cfg: OrderConfig, run_ts: Column) -> Column:
         F.lit(cfg.default_party),
     )
     payment = pick_payment(doc["payment_gateway_names"], cfg)
+    day = _order_day(doc, cfg, run_ts)
     return F.struct(
-        tx.day_text(run_ts).alias("f430_id_fecha"), party.alias("f430_id_tercero_fact"), party.alias("f430_id_tercero_rem"),
-        tx.day_text(F.date_add(run_ts, 1)).alias("f430_fecha_entrega"), tx.clip(doc["name"], 15).alias("f430_num_docto_referencia"),
+        tx.day_text(day).alias("f430_id_fecha"), party.alias("f430_id_tercero_fact"), party.alias("f430_id_tercero_rem"),
+        tx.day_text(F.date_add(day, 1)).alias("f430_fecha_entrega"), tx.clip(doc["name"], 15).alias("f430_num_docto_referencia"),
         tx.clip(doc["name"], 10).alias("f430_referencia"), F.coalesce(payment["code"], F.lit("")).alias("f430_id_tipo_cli_fact"),
     )
 
 
+def _order_day(doc: Column, cfg: OrderConfig, run_ts: Column) -> Column:
+    """Day of the run, or the day the shop last touched the order (its payment)."""
+    if cfg.day_from == "run":
+        return run_ts.cast("date")
+    return F.substring(doc["updated_at"], 1, 10).try_cast("date")
+
+
 def sorted_items(doc: Column) -> Column:
     """Line items in the order of their ids, ids compared as text."""
     return F.array_sort(F.coalesce(doc["line_items"], F.array().cast(_ITEMS)))
@@ -96,21 +104,23 @@ _ITEMS = "array<struct<id:string,sku:string,quantity:string,price:string,discoun
 
 
 def _line(number: Column, reference: Column, barcode: Column, unit: str, qty: Column, price: Column, notes: Column,
-          cfg: OrderConfig, run_ts: Column) -> Column:
+          cfg: OrderConfig, day: Column) -> Column:
     return F.struct(
         number.cast("int").alias("f431_nro_registro"), reference.alias("f431_referencia_item"),
-        barcode.alias("f431_codigo_barras"), tx.day_text(F.date_add(run_ts, 1)).alias("f431_fecha_entrega"),
+        barcode.alias("f431_codigo_barras"), tx.day_text(F.date_add(day, 1)).alias("f431_fecha_entrega"),
         F.lit(unit).alias("f431_id_unidad_medida"), qty.try_cast(cfg.quantity_type).alias("f431_cant_pedida_base"),
         price.try_cast(cfg.price_type).alias("f431_precio_unitario"), notes.alias("f431_notas"),
     )
 
 
 def order_lines(doc: Column, cfg: OrderConfig, run_ts: Column) -> Column:
-    notes = last_gateway(doc["payment_gateway_names"])
-    return F.transform(
-        sorted_items(doc),
-        lambda li, i: _line(i + 1, F.lit(""), li["sku"], cfg.item_unit, li["quantity"], li["price"], notes, cfg, run_ts),
-    )
+    notes, day = last_gateway(doc["payment_gateway_names"]), _order_day(doc, cfg, run_ts)
+
+    def line(item: Column, i: Column) -> Column:
+        sku = tx.drop_leading_zero(item["sku"]) if cfg.drop_leading_zero else item["sku"]
+        return _line(i + 1, F.lit(""), sku, cfg.item_unit, item["quantity"], item["price"], notes, cfg, day)
+
+    return F.transform(sorted_items(doc), line)
 
 
 def freight_lines(doc: Column, cfg: OrderConfig, run_ts: Column) -> Column:
@@ -120,10 +130,16 @@ def freight_lines(doc: Column, cfg: OrderConfig, run_ts: Column) -> Column:
     paid = F.filter(
         lines, lambda s: (cd.money(s["price"]) > 0) & (s["is_removed"] == "false") & ~discounted
     )
-    ref = F.lit(cfg.freight_reference)
-    return F.transform(
-        paid, lambda s: _line(F.lit(0), ref, F.lit(""), cfg.freight_unit, F.lit("1"), s["price"], ref, cfg, run_ts)
-    )
+    day = _order_day(doc, cfg, run_ts)
+
+    def line(s: Column) -> Column:
+        ref = notes = F.lit(cfg.freight_reference)
+        if cfg.freight_by_price:
+            ref = cd.map_code(s["price"], {p: r for p, (r, _) in cfg.freight_by_price.items()}, "")
+            notes = cd.map_code(s["price"], {p: n for p, (_, n) in cfg.freight_by_price.items()}, "")
+        return _line(F.lit(0), ref, F.lit(""), cfg.freight_unit, F.lit("1"), s["price"], notes, cfg, day)
+
+    return F.transform(paid, line)
 
 
 _SHIPPING = "array<struct<price:string,is_removed:string,discount_allocations:array<struct<amount:string>>>>"
@@ -171,9 +187,8 @@ def order_sections(orders: DataFrame, cfg: OrderConfig, run_ts: Column) -> DataF
 
 def build_order_docs(orders: DataFrame, cfg: OrderConfig, run_ts: Column) -> DataFrame:
     sections = order_sections(orders, cfg, run_ts)
-    json = document_text(
-        {"Pedidos": F.array("header"), "Movto_Pedidos_comercial": F.col("lines"), "Descuentos": F.col("discounts")}, False
-    )
+    parts = [F.array("header"), F.col("lines"), F.col("discounts")]
+    json = document_text(dict(zip(cfg.sections, parts)), False)
     return sections.select(*contract(F.col("order_name"), json, cfg))
 
 
@@ -234,6 +249,22 @@ def item_tax_rates(items: DataFrame, groups: DataFrame, keys: DataFrame, indicat
     )
 
 
+def _unfold(orders: DataFrame, ordered: Column, every: dict[str, Column], carry: dict[str, Column] | None) -> DataFrame:
+    """One row per element of ``ordered``, numbered from 1.
+
+    ``every`` columns go on all rows, ``carry`` columns on the first row of an order only.
+    """
+    unfold = F.posexplode if carry is None else F.posexplode_outer
+    carry = carry or {}
+    kept = [c.alias(n) for n, c in {**every, **carry}.items()]
+    base = orders.select("order_id", *kept, ordered.alias("__items"))
+    lines = base.select("order_id", *every, *carry, unfold("__items").alias("__at", "it"))
+    on_first = F.coalesce(F.col("__at"), F.lit(0)) == 0
+    return lines.select(
+        "order_id", *every, *[F.when(on_first, F.col(n)).alias(n) for n in carry], (F.col("__at") + 1).alias("line_no"), "it.*"
+    )
+
+
 def minor_unit_lines(orders: DataFrame, items: DataFrame, carry: dict[str, Column] | None = None) -> DataFrame:
     """Numbered lines of minor-unit orders with unit, price and discount from the item master.
 
@@ -253,14 +284,7 @@ def minor_unit_lines(orders: DataFrame, items: DataFrame, carry: dict[str, Colum
             ),
         )
     )
-    unfold = F.posexplode if carry is None else F.posexplode_outer
-    kept = [c.alias(n) for n, c in (carry or {}).items()]
-    base = orders.select("order_id", has_benefit(doc).alias("exempt"), *kept, ordered.alias("__items"))
-    lines = base.select("order_id", "exempt", *(carry or {}), unfold("__items").alias("__at", "it"))
-    on_first = F.coalesce(F.col("__at"), F.lit(0)) == 0
-    lines = lines.select(
-        "order_id", "exempt", *[F.when(on_first, F.col(n)).alias(n) for n in carry or {}], (F.col("__at") + 1).alias("line_no"), "it.*"
-    )
+    lines = _unfold(orders, ordered, {"exempt": has_benefit(doc)}, carry)
     master = items.select(F.col("barcode").alias("code"), "unit", "tax_group")
     joined = lines.join(master, "code", "left")
     taxed = F.coalesce(F.col("tax_group") == TAXED_GROUP, F.lit(False))
@@ -362,7 +386,9 @@ def build_minor_unit_order_docs(orders: DataFrame, items: DataFrame, cfg: MinorU
 # --- marketplace dialect -----------------------------------------------------
 
 
-def marketplace_lines(orders: DataFrame, items: DataFrame, rates: DataFrame) -> DataFrame:
+def marketplace_lines(
+    orders: DataFrame, items: DataFrame, rates: DataFrame, carry: dict[str, Column] | None = None
+) -> DataFrame:
     """Numbered lines of marketplace orders: brand reference, warehouse code, net unit price."""
     doc = F.col("doc")
     ordered = F.array_sort(
@@ -375,22 +401,53 @@ def marketplace_lines(orders: DataFrame, items: DataFrame, rates: DataFrame) ->
             ),
         )
     )
-    lines = orders.select(
-        "order_id", cd.map_code(doc["Warehouse"]["name"], WAREHOUSE_CODES, "01").alias("warehouse"),
-        F.posexplode(ordered).alias("__at", "it"),
-    ).select("order_id", "warehouse", (F.col("__at") + 1).alias("line_no"), "it.*")
+    warehouse = cd.map_code(doc["Warehouse"]["name"], WAREHOUSE_CODES, "01")
+    lines = _unfold(orders, ordered, {"warehouse": warehouse}, carry)
     keyed = lines.withColumn("reference", tx.brand_sku(F.col("code"), F.col("product"), BRAND_MARKS))
     return (
         keyed.join(items.select("reference", "unit"), "reference", "left")
         .join(rates.select("reference", "rate"), "reference", "left")
         .select(
-            "order_id", "line_no", "reference", "warehouse", F.trim(F.coalesce("unit", F.lit("UND"))).alias("unit"),
+            "order_id", *(carry or {}), "line_no", "reference", "warehouse", F.trim(F.coalesce("unit", F.lit("UND"))).alias("unit"),
             F.col("count").try_cast("int").alias("quantity"),
             cd.net_unit_price(F.col("gross"), F.col("discount"), F.col("count").try_cast("int"), F.col("rate")).alias("net_price"),
         )
     )
 
 
+def build_marketplace_order_docs(
+    orders: DataFrame, items: DataFrame, rates: DataFrame, cfg: MarketplaceConfig, run_ts: Column
+) -> DataFrame:
+    """Header and lines of marketplace orders, prices net of discount and tax."""
+    doc = F.col("doc")
+    today, tomorrow = tx.day_text(run_ts), tx.day_text(F.date_add(run_ts, 1))
+    party, branch = doc["Client"]["taxId"], F.lit(cfg.branch)
+    number = F.get(doc["CheckoutLinks"], F.lit(0))["externalOrderNumber"]
+    notes = tx.join_text(
+        F.lit("Orden: "), F.col("order_id"), F.lit("   Pedido de: "), doc["origin"], F.lit("   Venta: "), number,
+        F.lit("   Bodega: "), doc["Warehouse"]["name"],
+    )
+    head = F.struct(
+        today.alias("f430_id_fecha"), party.alias("f430_id_tercero_fact"), branch.alias("f430_id_sucursal_fact"),
+        party.alias("f430_id_tercero_rem"), branch.alias("f430_id_sucursal_rem"), tomorrow.alias("f430_fecha_entrega"),
+        F.lit("1").alias("f430_num_dias_entrega"), marketplace_reference(doc, 15).alias("f430_num_docto_referencia"),
+        marketplace_reference(doc, 10).alias("f430_referencia"), notes.alias("f430_notas"), F.lit("").alias("f430_id_tercero_vendedor"),
+        tx.clip(F.upper(F.coalesce(doc["Client"]["fullName"], F.lit(""))), 50).alias("f419_contacto"),
+    )
+    line = F.struct(
+        F.col("line_no").alias("f431_nro_registro"), F.col("reference").alias("f431_referencia_item"),
+        F.col("warehouse").alias("f431_id_bodega"), tomorrow.alias("f431_fecha_entrega"), F.lit("1").alias("f431_num_dias_entrega"),
+        F.col("unit").alias("f431_id_unidad_medida"), F.col("quantity").alias("f431_cant_pedida_base"),
+        F.col("net_price").alias("f431_precio_unitario"), F.lit("").alias("f431_notas"),
+    )
+    both = marketplace_lines(orders, items, rates, {"head": head}).groupBy("order_id").agg(
+        F.first("head", ignorenulls=True).alias("head"),
+        F.sort_array(F.collect_list(F.when(F.col("line_no").isNotNull(), line))).alias("lines"),
+    )
+    json = document_text({"Pedidos": F.array("head"), "MovtoPedidosComercial": F.col("lines")}, False)
+    return both.select(*contract(F.col("order_id"), json, cfg))
+
+
 def marketplace_reference(doc: Column, width: int) -> Column:
     number = F.get(doc["CheckoutLinks"], F.lit(0))["externalOrderNumber"]
     return tx.external_reference(number, doc["origin"], width, PREFIXED_ORIGINS)

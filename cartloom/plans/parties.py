@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartloom.config import EXEMPT_BENEFIT, CurrencyRule, EntityRow, MinorUnitOrderConfig, PartyConfig, TaxRow
+from cartloom.config import (
+    EXEMPT_BENEFIT, ORIGIN_CLASSES, ORIGIN_SELLERS, CurrencyRule, EntityRow, MarketplaceConfig, MinorUnitOrderConfig,
+    PartyConfig, TaxRow,
+)
 from cartloom.functions import codes as cd
 from cartloom.functions import text as tx
-from cartloom.plans.places import resolve_location
+from cartloom.operators.relational import lookup_by_ambiguity
+from cartloom.plans.places import CODES, resolve_location
 from cartloom.session import settle
 from cartloom.sources.schemas import CUSTOMER_LAYOUT, PARTY_LAYOUT, contract, document_text, fit
 
@@ -67,7 +71,7 @@ def entity_rows(party: Column, entities: tuple[EntityRow, ...]) -> Column:
 
 PARTY_FIELDS = [
     "country", "state", "city", "party_id", "legal_name", "given_names", "surnames", "address1", "address2", "phone", "email",
-    "created", "status", "id_kind", "party_kind",
+    "created", "currency", "status", "id_kind", "party_kind",
 ]
 
 
@@ -90,6 +94,7 @@ def party_fields(orders: DataFrame, places: DataFrame, cfg: PartyConfig) -> Data
             "address2": tx.clip(F.upper(F.coalesce(where["address2"], F.lit(""))), 40),
             "phone": tx.clean_phone(doc["customer"]["default_address"]["phone"]),
             "email": doc["customer"]["email"],
+            "currency": doc["currency"],
             "created": F.replace(F.substring(doc["customer"]["created_at"], 1, 10), F.lit("-"), F.lit("")),
         }
     ).withColumn("status", F.when(F.col("raw_id").isNull(), F.lit("no_id")).otherwise(F.lit("ok")))
@@ -124,19 +129,21 @@ def build_party_docs(orders: DataFrame, places: DataFrame, cfg: PartyConfig) ->
         "F200_APELLIDO2": c("surname2"), "F200_NOMBRES": c("given_names"), "F200_NOMBRE_EST": c("legal_name"),
         **contact, "F200_FECHA_NACIMIENTO": c("created"), "F200_ID_CIIU": F.lit(cfg.activity), "F015_CELULAR": c("phone"),
     }
+    price_list, taxes = F.lit(cfg.price_list), tax_rows(c("party_id"), cfg.branch, cfg.taxes)
+    if cfg.by_currency is not None:
+        rule = by_currency(c("currency"), cfg.by_currency)
+        price_list = rule["price_list"]
+        taxes = F.transform(taxes, lambda t: t.withField("F_ID_VALOR_TERCERO", rule["tax_value"]))
     customer = {
         "F201_ID_TERCERO": c("party_id"), "F201_ID_SUCURSAL": F.lit(cfg.branch), "F201_DESCRIPCION_SUCURSAL": c("legal_name"),
-        "F201_ID_MONEDA": F.lit(cfg.currency), "F201_ID_LISTA_PRECIO": F.lit(cfg.price_list),
+        "F201_ID_MONEDA": F.lit(cfg.currency), "F201_ID_LISTA_PRECIO": price_list,
         **contact, "F201_FECHA_INGRESO": c("created"), "f015_celular": c("phone"),
     }
-    json = document_text(
-        {
-            "Terceros": F.array(fit(party, PARTY_LAYOUT)),
-            "Clientes": F.array(fit(customer, CUSTOMER_LAYOUT)),
-            "ImptosyReten": tax_rows(c("party_id"), cfg.branch, cfg.taxes),
-            "EntDinamicaTercero": entity_rows(c("party_id"), cfg.entities),
-        }
-    )
+    client = fit(customer, CUSTOMER_LAYOUT)
+    if cfg.by_currency is not None:
+        client = client.withField("F201_ID_TIPO_CLI", rule["client_type"])
+    parts = [F.array(fit(party, PARTY_LAYOUT)), F.array(client), taxes, entity_rows(c("party_id"), cfg.entities)]
+    json = document_text(dict(zip(cfg.sections, parts)))
     return rows.select(*contract(c("order_name"), json, cfg))
 
 
@@ -220,6 +227,11 @@ def marketplace_party(orders: DataFrame) -> DataFrame:
             "party_kind": F.when(is_company, F.lit("2")).otherwise(F.lit("1")),
             "party_id": cd.company_id_9(tx.digits_only(client["taxId"]), is_company),
             "full_name": tx.clip(F.coalesce(F.upper(name), F.lit("")), 50),
+            "given_names": F.coalesce(F.upper(F.replace(client["name"], F.lit("&"), F.lit(""))), F.lit("")),
+            "surnames": F.coalesce(F.upper(F.replace(client["lastName"], F.lit("&"), F.lit(""))), F.lit("")),
+            "address1": tx.clip(F.coalesce(F.upper(bill["address_1"]), F.lit("")), 40),
+            "address2": tx.clip(F.coalesce(F.upper(bill["address_2"]), F.lit("")), 40),
+            "origin": F.col("doc")["origin"],
             "phone": tx.clean_phone(F.replace(client["phoneNumber"], F.lit(" "), F.lit("")), "+57", "#X"),
             "email": F.when(
                 F.col("doc")["origin"] == "mercadolibre", tx.clean_email(client["email"], "noemail@example.com")
@@ -227,3 +239,72 @@ def marketplace_party(orders: DataFrame) -> DataFrame:
             "city": tx.fold(bill["city"]), "state": tx.fold(bill["state"]), "country": tx.fold(bill["country"]),
         }
     )
+
+
+MARKETPLACE_FIELDS = [
+    "party_kind", "party_id", "full_name", "given_names", "surnames", "address1", "address2", "origin", "phone", "email",
+    "city", "state", "country",
+]
+
+
+def build_marketplace_party_docs(orders: DataFrame, places: DataFrame, cfg: MarketplaceConfig, run_ts: Column) -> DataFrame:
+    """Party documents of marketplace orders; the place code depends on how often its name occurs."""
+    known = places.select(
+        tx.fold(F.col("city_name")).alias("city"), tx.fold(F.col("state_name")).alias("state"), *CODES
+    )
+    flat = settle(marketplace_party(orders).select("order_id", *MARKETPLACE_FIELDS))
+    rows = lookup_by_ambiguity(flat, known, "city", "state", CODES)
+    c = F.col
+    person = c("party_kind") == "1"
+    codes = dict(zip(CODES, (cfg.defaults.country, cfg.defaults.state, cfg.defaults.city)))
+    country, state, city = [F.coalesce(c(n), F.lit(d)) for n, d in codes.items()]
+
+    def only_person(col: Column) -> Column:
+        return F.when(person, col).otherwise(F.lit(""))
+
+    today, named = tx.day_text(run_ts), F.when(person, c("full_name")).otherwise(tx.clip(c("given_names"), 50))
+    contact = [
+        named.alias("F015_CONTACTO"), c("address1").alias("F015_DIRECCION1"), c("address2").alias("F015_DIRECCION2"),
+        country.alias("F015_ID_PAIS"), state.alias("F015_ID_DEPTO"), city.alias("F015_ID_CIUDAD"), c("phone").alias("F015_TELEFONO"),
+        c("email").alias("F015_EMAIL"),
+    ]
+    party = F.struct(
+        c("party_id").alias("F200_ID"), c("party_id").alias("F200_NIT"), F.when(person, F.lit("C")).otherwise(F.lit("N")).alias("F200_ID_TIPO_IDENT"),
+        c("party_kind").alias("F200_IND_TIPO_TERCERO"), F.when(person, F.lit("")).otherwise(c("given_names")).alias("F200_RAZON_SOCIAL"),
+        only_person(tx.clip(tx.first_surname(c("surnames")), 29)).alias("F200_APELLIDO1"),
+        only_person(tx.clip(tx.other_surnames(c("surnames")), 29)).alias("F200_APELLIDO2"),
+        only_person(tx.clip(c("given_names"), 40)).alias("F200_NOMBRES"), *contact, today.alias("F200_FECHA_NACIMIENTO"),
+        c("phone").alias("F015_CELULAR"),
+    )
+    customer = F.struct(
+        c("party_id").alias("F201_ID_TERCERO"), F.lit(cfg.branch).alias("F201_ID_SUCURSAL"), tx.clip(named, 40).alias("F201_DESCRIPCION_SUCURSAL"),
+        F.lit(cfg.currency).alias("F201_ID_MONEDA"), cd.map_code(c("origin"), ORIGIN_SELLERS).alias("F201_ID_VENDEDOR"),
+        F.lit(cfg.price_list).alias("F201_ID_LISTA_PRECIO"), *contact, today.alias("F201_FECHA_INGRESO"), c("phone").alias("f015_celular"),
+    )
+    classes = F.struct(
+        c("party_id").alias("F207_ID_TERCERO"), F.lit(cfg.branch).alias("F207_ID_SUCURSAL"), F.lit(cfg.plan).alias("F207_ID_PLAN_CRITERIOS"),
+        cd.map_code(c("origin"), ORIGIN_CLASSES).alias("F207_ID_CRITERIO_MAYOR"),
+    )
+    # Regime and tax detail differ between persons and companies.
+    regime = [
+        F.struct(
+            c("party_id").alias("f200_id"), F.lit(e).alias("f753_id_entidad"), F.lit(a).alias("f753_id_atributo"),
+            F.lit(m).alias("f753_id_maestro"), F.when(person, F.lit(p)).otherwise(F.lit(f)).alias("f753_id_maestro_detalle"),
+        )
+        for e, a, m, p, f in REGIME_ROWS
+    ]
+    json = document_text(
+        {
+            "Terceros": F.array(party), "Clientes": F.array(customer),
+            "ImptosReten": tax_rows(c("party_id"), cfg.branch, (TaxRow("46"), TaxRow("47"))),
+            "CriteriosClientes": F.array(classes), "EntidadTercero": F.array(*regime),
+        }
+    )
+    return rows.select(*contract(c("order_id"), json, cfg))
+
+
+# Regime and tax detail rows as (entity, attribute, master, person, company).
+REGIME_ROWS = [
+    ("EUNOECO017", "co017_codigo_regimen", "MUNOECO016", "49", "48"),
+    ("EUNOECO031", "co031_detalle_tributario1", "MUNOECO035", "ZZ", "01"),
+]

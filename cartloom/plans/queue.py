@@ -19,6 +19,18 @@ def pending(queue: DataFrame, state: int, max_attempts: int, n: int | None = Non
     return due if n is None else due.orderBy(key).limit(n)
 
 
+def due_window(queue: DataFrame, created: str, start: Column, switch: Column, early: Column) -> DataFrame:
+    """Rows created from ``switch`` on, and those from ``start`` on that satisfy ``early``."""
+    at = F.col(created)
+    return queue.where(((at >= start) & (at < switch) & early) | (at >= switch))
+
+
+def expire_old(queue: DataFrame, created: Column, cutoff: Column, state: int, to: int) -> DataFrame:
+    """Untried rows of one state created before the cut-off leave the queue."""
+    old = (F.col("state") == state) & (F.col("attempts") == 0) & (created < cutoff)
+    return queue.withColumn("state", F.when(F.coalesce(old, F.lit(False)), F.lit(to)).otherwise(F.col("state")))
+
+
 def advance_state(queue: DataFrame, matched: DataFrame, on: list[str], to: Column, when: Column | None = None) -> DataFrame:
     """Rows found in ``matched`` (and satisfying ``when``) move on and start clean."""
     found = matched.select(*on).distinct().withColumn("__found", F.lit(True))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cartloom.config import MinorUnitOrderConfig, OrderConfig
+from cartloom.config import MarketplaceConfig, MinorUnitOrderConfig, OrderConfig
 from cartloom.functions import codes as cd
 from cartloom.functions import text as tx
 from cartloom.plans import orders as od
@@ -348,13 +348,52 @@ SELECT order_id, CAST(line_no AS INTEGER) AS line_no, 'P' || CASE l_partkey % 3
 FROM u JOIN orders ON l_orderkey = o_orderkey
 """)
 def marketplace_lines(spark, sf):
+    rows = od.marketplace_lines(marketplace_orders(spark, sf), *_marketplace_master(spark, sf))
+    return rows.withColumn("net_price", F.col("net_price").cast("double"))
+
+
+def _marketplace_master(spark, sf):
+    """Units and tax rates per item reference."""
     k = F.col("p_partkey")
     mark = F.when(k % 3 == 0, F.lit("#")).when(k % 3 == 1, F.lit("/")).otherwise(F.lit("-"))
     part = table(spark, sf, "part", "p_partkey").select(F.concat(F.lit("P"), mark, text(k)).alias("reference"), "p_partkey")
     items = part.where(k % 4 == 0).withColumn("unit", F.lit("KIT "))
     rates = part.where(k % 7 != 0).withColumn("rate", F.when(k % 2 == 0, 19).otherwise(5))
-    rows = od.marketplace_lines(marketplace_orders(spark, sf), items, rates)
-    return rows.withColumn("net_price", F.col("net_price").cast("double"))
+    return items, rates
+
+
+MARKETPLACE_DOC = (
+    "Pedidos array<struct<f430_id_tercero_fact:string,f430_num_docto_referencia:string,f430_notas:string,f419_contacto:string>>, "
+    "MovtoPedidosComercial array<struct<f431_nro_registro:int,f431_referencia_item:string,f431_cant_pedida_base:int,f431_precio_unitario:decimal(18,2)>>"
+)
+
+
+@query(f"""
+WITH nations AS ({NATIONS_SQL}), people AS ({PEOPLE_SQL}), lines AS ({LINES_SQL}),
+t AS (SELECT '#' || l_orderkey || CASE WHEN part > 1 THEN '-' || part ELSE '' END AS order_id, l_orderkey, cents, q, disc_pct,
+             CASE WHEN l_partkey % 7 = 0 THEN 0 WHEN l_partkey % 2 = 0 THEN 19 ELSE 5 END AS rate FROM lines),
+u AS (SELECT *, ((cents - (2 * ((cents * disc_pct * 2 + 100) // 200) + q) // (2 * q)) * 100 * 2 + (100 + rate)) // (2 * (100 + rate)) AS net FROM t),
+g AS (SELECT order_id, l_orderkey, count(*) AS n, SUM(q) AS q, SUM(net) AS net FROM u GROUP BY 1, 2),
+e AS (SELECT g.*, o_orderstatus, people.*, '2000' || (o_orderkey * 7919 + 123456789) || o_custkey AS ext, o_orderkey % 2 = 0 AS ml FROM g JOIN orders ON l_orderkey = o_orderkey JOIN people ON o_custkey = c_custkey),
+b AS (SELECT *, CASE WHEN ml THEN regexp_extract(ext, '^.[^1-9]*([1-9].*)$', 1) ELSE ext END AS bare FROM e)
+SELECT order_id, company AS party, CASE WHEN length(bare) > 15 THEN right(bare, 15) ELSE bare END AS reference,
+       'Orden: ' || order_id || '   Pedido de: ' || CASE WHEN ml THEN 'mercadolibre' ELSE 'other' END || '   Venta: ' || ext || '   Bodega: ' ||
+       CASE o_orderstatus WHEN 'F' THEN 'FULL' WHEN 'P' THEN 'Bodega Bogota' ELSE 'unknown' END AS notes,
+       left(upper(name), 50) AS contact, CAST(n AS INTEGER) AS lines, CAST(q AS BIGINT) AS quantity, net / 100.0 AS prices FROM b
+""")
+def marketplace_order_docs(spark, sf):
+    built = od.build_marketplace_order_docs(marketplace_orders(spark, sf), *_marketplace_master(spark, sf), MarketplaceConfig(), run_ts())
+    doc = built.select("idOrden", F.from_json("json", MARKETPLACE_DOC).alias("d"))
+    head, lines = F.get("d.Pedidos", F.lit(0)), F.col("d.MovtoPedidosComercial")
+
+    def total(f, kind):
+        return F.aggregate(lines, F.lit(0).cast(kind), lambda s, x: (s + x[f]).cast(kind))
+
+    return doc.select(
+        F.col("idOrden").alias("order_id"), head["f430_id_tercero_fact"].alias("party"), head["f430_num_docto_referencia"].alias("reference"),
+        head["f430_notas"].alias("notes"), head["f419_contacto"].alias("contact"), F.size(lines).alias("lines"),
+        total("f431_cant_pedida_base", "bigint").alias("quantity"), total("f431_precio_unitario", "decimal(28,2)").cast("double").alias("prices"),
+    )
 
 
 @query(f"""

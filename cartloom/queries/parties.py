@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cartloom.config import CurrencyRule, EntityRow, MinorUnitOrderConfig, PartyConfig, TaxRow
+from cartloom.config import CurrencyRule, EntityRow, MarketplaceConfig, MinorUnitOrderConfig, PartyConfig, TaxRow
 from cartloom.plans import parties as pt
 from cartloom.plans.queue import id_outcome, party_id
 from cartloom.queries.documents import DOCS_SQL, parsed_orders
@@ -140,3 +140,34 @@ SELECT order_name AS order_id, CASE WHEN o_orderkey % 10 = 0 THEN 'EXT' ELSE 'NA
 def by_currency(spark, sf):
     attributes = pt.by_currency(F.col("doc.currency"), CurrencyRule())
     return parsed_orders(spark, sf).select("order_id", *[c.alias(n) for n, c in attributes.items()])
+
+
+MARKETPLACE_PARTY = (
+    "Terceros array<struct<F200_ID:string,F200_ID_TIPO_IDENT:string,F015_CONTACTO:string,F015_ID_PAIS:string,F015_ID_DEPTO:string,F015_ID_CIUDAD:string>>, "
+    "Clientes array<struct<F201_ID_VENDEDOR:string>>, CriteriosClientes array<struct<F207_ID_CRITERIO_MAYOR:string>>, "
+    "ImptosReten array<struct<F_TIPO_REG:string>>, EntidadTercero array<struct<f753_id_maestro_detalle:string>>"
+)
+
+
+@query(f"""
+WITH nations AS ({NATIONS_SQL}), places AS ({PLACES_SQL}), people AS ({PEOPLE_SQL}), lines AS ({LINES_SQL}), docs AS ({PARTS_SQL}),
+p AS (SELECT {fold_sql('city_name')} AS city, {fold_sql('state_name')} AS state, country_id || state_id || city_id AS code FROM places),
+n AS (SELECT city, count(*) AS n, MIN(code) AS hit FROM p GROUP BY 1), b AS (SELECT city, state, MIN(code) AS hit FROM p GROUP BY 1, 2),
+i AS (SELECT people.*, COALESCE(regexp_matches(company, '^[789]') AND length(company) >= 10, false) AS firm, {fold_sql('city')} AS t, {fold_sql('province')} AS s FROM people),
+w AS (SELECT i.*, COALESCE(CASE WHEN COALESCE(n.n, 0) >= 2 THEN b.hit WHEN n.n = 1 THEN n.hit ELSE m.hit END, '16976999') AS place
+      FROM i LEFT JOIN n ON n.city = t LEFT JOIN b ON b.city = t AND b.state = s LEFT JOIN n AS m ON m.city = s)
+SELECT order_name AS order_id, CASE WHEN firm THEN left(regexp_replace(company, '[^0-9]', '', 'g'), 9) ELSE regexp_replace(company, '[^0-9]', '', 'g') END AS party,
+       CASE WHEN firm THEN 'N' ELSE 'C' END AS id_kind, CASE WHEN firm THEN '' ELSE left(upper(replace(name, '&', '')), 50) END AS contact, place,
+       CASE WHEN o_orderkey % 2 = 0 THEN '0100' END AS seller, CASE WHEN o_orderkey % 2 = 0 THEN '101' END AS class, 2 AS taxes, CASE WHEN firm THEN '48' ELSE '49' END AS regime
+FROM docs JOIN w ON o_custkey = c_custkey WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)
+""")
+def marketplace_party_docs(spark, sf):
+    built = pt.build_marketplace_party_docs(marketplace_orders(spark, sf), places(spark, sf), MarketplaceConfig(), run_ts())
+    doc = built.select("idOrden", F.from_json("json", MARKETPLACE_PARTY).alias("d"))
+    p = F.get("d.Terceros", F.lit(0))
+    return doc.select(
+        F.col("idOrden").alias("order_id"), p["F200_ID"].alias("party"), p["F200_ID_TIPO_IDENT"].alias("id_kind"), p["F015_CONTACTO"].alias("contact"),
+        F.concat(p["F015_ID_PAIS"], p["F015_ID_DEPTO"], p["F015_ID_CIUDAD"]).alias("place"), F.get("d.Clientes", F.lit(0))["F201_ID_VENDEDOR"].alias("seller"),
+        F.get("d.CriteriosClientes", F.lit(0))["F207_ID_CRITERIO_MAYOR"].alias("class"), F.size("d.ImptosReten").alias("taxes"),
+        F.get("d.EntidadTercero", F.lit(0))["f753_id_maestro_detalle"].alias("regime"),
+    )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from cartloom.functions.text import iso_instant
 from cartloom.operators import merge as mg
 from cartloom.plans import queue as qu
 from cartloom.queries.registry import query, table, text
@@ -106,3 +107,31 @@ UNION ALL SELECT doc_id, 'other' FROM h WHERE e AND NOT a AND NOT b AND NOT c
 def triage_logs(spark, sf):
     rules = {"english": "the ", "mail": "email", "license": "license"}
     return qu.triage_errors(table(spark, sf, "documents", "doc_id", "text"), "text", rules).select("doc_id", "category")
+
+
+@query("""
+SELECT o_orderkey AS id, strftime(o_orderdate, '%Y%m%d') AS created FROM orders
+WHERE (o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate < TIMESTAMP '1998-01-01' AND o_orderpriority IN ('1-URGENT', '2-HIGH')) OR o_orderdate >= TIMESTAMP '1998-01-01'
+""")
+def due_window(spark, sf):
+    rows = table(spark, sf, "orders", "o_orderkey", "o_orderdate", "o_orderpriority")
+    start, switch = (F.lit(d).cast("timestamp_ntz") for d in ("1996-01-01", "1998-01-01"))
+    due = qu.due_window(rows, "o_orderdate", start, switch, F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"))
+    return due.select(F.col("o_orderkey").alias("id"), F.date_format("o_orderdate", "yyyyMMdd").alias("created"))
+
+
+@query(f"""
+WITH {QUEUE_SQL}
+SELECT id, CASE WHEN state = 2 AND attempts = 0 AND o_orderdate < TIMESTAMP '1997-06-01' AND id % 7 <> 0 THEN 5 ELSE state END AS state
+FROM q JOIN orders ON id = o_orderkey
+""")
+def expire_old(spark, sf):
+    """Creation texts carry an offset; unreadable ones leave their order in the queue."""
+    key = F.col("o_orderkey")
+    rows = table(spark, sf, "orders", "o_orderkey", "o_orderstatus", "o_orderdate").select(
+        key.alias("id"), F.when(F.col("o_orderstatus") == "O", 1).when(F.col("o_orderstatus") == "P", 2).otherwise(3).alias("state"),
+        (key % 6).cast("int").alias("attempts"),
+        F.when(key % 7 != 0, F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'-00:00'")).otherwise(F.lit("soon")).alias("created"),
+    )
+    out = qu.expire_old(rows, iso_instant(F.col("created")), F.lit("1997-06-01").cast("timestamp"), 2, 5)
+    return out.select("id", "state")
