@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 # A group up to this many rows is left to a plain window: one task sorts it in seconds.
 HOT_ROWS = 2_000_000
-# Most keys the frequency sketch reports; it tracks many more to keep its error small.
-HOT_KEYS = 5_000
-SKETCH_ITEMS = 100_000
+# Most keys the frequency sketch reports; it tracks more, so every key with a ten-thousandth
+# of all rows is found.
+HOT_KEYS = 2_000
+SKETCH_ITEMS = 20_000
 # Most ranges a hot group is cut into, and how many sampled rows decide each boundary.
 MAX_RANGES = 8_192
 SAMPLE_PER_RANGE = 16

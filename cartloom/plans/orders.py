@@ -265,6 +265,15 @@ def _unfold(orders: DataFrame, ordered: Column, every: dict[str, Column], carry:
     )
 
 
+MINOR_FIELDS = ["line_no", "barcode", "unit", "quantity", "unit_price", "tax_rate", "unit_discount"]
+MARKETPLACE_FIELDS = ["line_no", "reference", "warehouse", "unit", "quantity", "net_price"]
+
+
+def _gathered(fields: list[str]) -> Column:
+    """Lines of one order in number order: only what differs between lines is shuffled."""
+    return F.sort_array(F.collect_list(F.when(F.col("line_no").isNotNull(), F.struct(*fields))))
+
+
 def minor_unit_lines(orders: DataFrame, items: DataFrame, carry: dict[str, Column] | None = None) -> DataFrame:
     """Numbered lines of minor-unit orders with unit, price and discount from the item master.
 
@@ -321,25 +330,25 @@ def build_minor_unit_order_docs(orders: DataFrame, items: DataFrame, cfg: MinorU
         return [F.lit(v).alias(f"{prefix}{n}") for n, v in zip(("_id_co", "_id_tipo_docto", "_consec_docto"), key.values())]
 
     reason = F.col("reason")
-    line = F.struct(
-        F.col("line_no").alias("f431_nro_registro"), *ids("f431"), F.lit("").alias("f431_referencia_item"),
-        F.col("barcode").alias("f431_codigo_barras"), F.lit(cfg.warehouse).alias("f431_id_bodega"),
-        F.lit(cfg.centre).alias("f431_id_co_movto"), F.lit("02").alias("f431_id_un_movto"), today.alias("f431_fecha_entrega"),
-        F.lit("3").alias("f431_num_dias_entrega"), F.col("unit").alias("f431_id_unidad_medida"),
-        F.col("quantity").alias("f431_cant_pedida_base"), F.col("unit_price").alias("f431_precio_unitario"),
-    )
-    tax = F.when(
-        F.col("tax_rate").isNotNull(),
-        F.struct(
-            F.col("line_no").alias("F431_NRO_REGISTRO"), F.lit(cfg.tax_key).alias("F433_ID_LLAVE_IMPUESTO"),
-            F.col("tax_rate").alias("F433_TASA"), F.lit(cfg.tax_key).alias("F433_ID_LLAVE_IMPUESTO_DESC"),
-            F.col("tax_rate").alias("F433_TASA_DESC"),
-        ),
-    )
-    discount = F.when(
-        F.col("unit_discount") > 0,
-        F.struct(F.col("line_no").alias("f431_nro_registro"), *ids("f430"), F.col("unit_discount").alias("f432_vlr_uni")),
-    )
+
+    def line(r: Column) -> Column:
+        return F.struct(
+            r["line_no"].alias("f431_nro_registro"), *ids("f431"), F.lit("").alias("f431_referencia_item"),
+            r["barcode"].alias("f431_codigo_barras"), F.lit(cfg.warehouse).alias("f431_id_bodega"), reason.alias("f431_id_motivo"),
+            F.lit(cfg.centre).alias("f431_id_co_movto"), F.lit("02").alias("f431_id_un_movto"), today.alias("f431_fecha_entrega"),
+            F.lit("3").alias("f431_num_dias_entrega"), r["unit"].alias("f431_id_unidad_medida"),
+            r["quantity"].alias("f431_cant_pedida_base"), r["unit_price"].alias("f431_precio_unitario"),
+        )
+
+    def tax(r: Column) -> Column:
+        return F.struct(
+            r["line_no"].alias("F431_NRO_REGISTRO"), F.lit(cfg.tax_key).alias("F433_ID_LLAVE_IMPUESTO"), r["tax_rate"].alias("F433_TASA"),
+            F.lit(cfg.tax_key).alias("F433_ID_LLAVE_IMPUESTO_DESC"), r["tax_rate"].alias("F433_TASA_DESC"),
+        )
+
+    def discount(r: Column) -> Column:
+        return F.struct(r["line_no"].alias("f431_nro_registro"), *ids("f430"), r["unit_discount"].alias("f432_vlr_uni"))
+
     party = profile_party_id(doc)
     profile, place = doc["clientProfileData"], doc["shippingData"]["address"]
     header = F.struct(
@@ -361,23 +370,21 @@ def build_minor_unit_order_docs(orders: DataFrame, items: DataFrame, cfg: MinorU
         marketplace_of(doc["orderId"], 1, F.lit(DEFAULT_REASON)).alias("reason"),
     )
     both = minor_unit_lines(orders, items, {"head": head}).groupBy("order_id").agg(
-        F.first("head", ignorenulls=True).alias("head"),
-        F.sort_array(F.collect_list(F.when(F.col("line_no").isNotNull(), line))).alias("lines"),
-        F.sort_array(F.collect_list(tax)).alias("taxes"), F.sort_array(F.collect_list(discount)).alias("discounts"),
-    ).select("order_id", "head.*", "lines", "taxes", "discounts")
+        F.first("head", ignorenulls=True).alias("head"), _gathered(MINOR_FIELDS).alias("rows")
+    ).select("order_id", "head.*", "rows")
     freight = F.struct(
         (F.col("n_items") + 1).alias("f431_nro_registro"), *ids("f431"), F.lit("FLETES").alias("f431_referencia_item"),
-        F.lit("").alias("f431_codigo_barras"), F.lit(cfg.warehouse).alias("f431_id_bodega"),
+        F.lit("").alias("f431_codigo_barras"), F.lit(cfg.warehouse).alias("f431_id_bodega"), reason.alias("f431_id_motivo"),
         F.lit(cfg.centre).alias("f431_id_co_movto"), F.lit("01").alias("f431_id_un_movto"), today.alias("f431_fecha_entrega"),
         F.lit("3").alias("f431_num_dias_entrega"), F.lit("UND").alias("f431_id_unidad_medida"),
         F.lit("1").alias("f431_cant_pedida_base"), F.col("freight").alias("f431_precio_unitario"),
     )
-    moves = F.concat("lines", F.filter(F.array(freight), lambda f: F.col("freight") > 0))
+    moves = F.concat(F.transform("rows", line), F.filter(F.array(freight), lambda f: F.col("freight") > 0))
     json = document_text(
         {
             "Pedidos": F.array("header"),
-            "Movimientos": F.transform(moves, lambda m: m.withField("f431_id_motivo", reason)),
-            "Impuestos": F.col("taxes"), "Descuento": F.col("discounts"),
+            "Movimientos": moves, "Impuestos": F.transform(F.filter("rows", lambda r: r["tax_rate"].isNotNull()), tax),
+            "Descuento": F.transform(F.filter("rows", lambda r: r["unit_discount"] > 0), discount),
         }
     )
     return both.select(*contract(F.col("order_id"), json, cfg))
@@ -434,17 +441,19 @@ def build_marketplace_order_docs(
         marketplace_reference(doc, 10).alias("f430_referencia"), notes.alias("f430_notas"), F.lit("").alias("f430_id_tercero_vendedor"),
         tx.clip(F.upper(F.coalesce(doc["Client"]["fullName"], F.lit(""))), 50).alias("f419_contacto"),
     )
-    line = F.struct(
-        F.col("line_no").alias("f431_nro_registro"), F.col("reference").alias("f431_referencia_item"),
-        F.col("warehouse").alias("f431_id_bodega"), tomorrow.alias("f431_fecha_entrega"), F.lit("1").alias("f431_num_dias_entrega"),
-        F.col("unit").alias("f431_id_unidad_medida"), F.col("quantity").alias("f431_cant_pedida_base"),
-        F.col("net_price").alias("f431_precio_unitario"), F.lit("").alias("f431_notas"),
-    )
+
+    def line(r: Column) -> Column:
+        return F.struct(
+            r["line_no"].alias("f431_nro_registro"), r["reference"].alias("f431_referencia_item"),
+            r["warehouse"].alias("f431_id_bodega"), tomorrow.alias("f431_fecha_entrega"), F.lit("1").alias("f431_num_dias_entrega"),
+            r["unit"].alias("f431_id_unidad_medida"), r["quantity"].alias("f431_cant_pedida_base"),
+            r["net_price"].alias("f431_precio_unitario"), F.lit("").alias("f431_notas"),
+        )
+
     both = marketplace_lines(orders, items, rates, {"head": head}).groupBy("order_id").agg(
-        F.first("head", ignorenulls=True).alias("head"),
-        F.sort_array(F.collect_list(F.when(F.col("line_no").isNotNull(), line))).alias("lines"),
+        F.first("head", ignorenulls=True).alias("head"), _gathered(MARKETPLACE_FIELDS).alias("rows")
     )
-    json = document_text({"Pedidos": F.array("head"), "MovtoPedidosComercial": F.col("lines")}, False)
+    json = document_text({"Pedidos": F.array("head"), "MovtoPedidosComercial": F.transform("rows", line)}, False)
     return both.select(*contract(F.col("order_id"), json, cfg))
 
 

@@ -10,7 +10,7 @@ from cartloom.functions import text as tx
 from cartloom.plans import orders as od
 from cartloom.queries.documents import DOCS_SQL, ITEMS_SQL, parsed_orders
 from cartloom.queries.registry import (
-    CENTS_SQL, LINES_SQL, NATIONS_SQL, PEOPLE_SQL, PRICE_CENTS_SQL, QTY_SQL, order_name, paged_lines, people, query, run_ts, spread,
+    CENTS_SQL, LINES_SQL, NATIONS_SQL, PEOPLE_SQL, PRICE_CENTS_SQL, QTY_SQL, order_name, paged_lines, people, query, run_ts,
     table, text, unit_price,
 )
 from cartloom.sources.schemas import ORDER_B, ORDER_C
@@ -188,7 +188,7 @@ def profile_texts(spark, sf):
     )
     lists = paged_lines(spark, sf).groupBy("l_orderkey", "part").agg(F.collect_list(item).alias("items"))
     who = people(spark, sf)
-    orders = spread(table(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderpriority"), "o_orderkey")
+    orders = table(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderpriority")
     rows = orders.join(lists, F.col("l_orderkey") == key).join(who, F.col("o_custkey") == F.col("c_custkey"))
     prefix = F.when(key % 4 == 0, F.lit("MLC")).when(key % 4 == 1, F.lit("GVL")).otherwise(F.lit("v"))
     company = F.when(F.col("o_custkey") % 4 == 0, F.concat(F.lit("9"), F.lpad(text("o_custkey"), 9, "0")))
@@ -319,7 +319,7 @@ def marketplace_orders(spark, sf):
     )
     lists = paged_lines(spark, sf).groupBy("l_orderkey", "part").agg(F.collect_list(item).alias("CheckoutItems"))
     who = people(spark, sf)
-    orders = spread(table(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"), "o_orderkey")
+    orders = table(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
     rows = orders.join(lists, F.col("l_orderkey") == key).join(who, F.col("o_custkey") == F.col("c_custkey"))
     body = F.struct(
         F.when(key % 2 == 0, F.lit("mercadolibre")).otherwise(F.lit("other")).alias("origin"),

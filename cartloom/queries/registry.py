@@ -307,14 +307,6 @@ def _shipping() -> Column:
     return out
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash by the key the next join needs anyway, over all shuffle partitions.
-
-    The documents built after that join are far wider than these rows.
-    """
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
-
-
 def order_texts(spark: SparkSession, sf: str) -> DataFrame:
     """Queue of allocation-dialect order documents as JSON text."""
     ext, disc = F.col("l_extendedprice").cast("decimal(18,2)"), F.col("l_discount").cast("decimal(4,2)")
@@ -344,8 +336,13 @@ def order_texts(spark: SparkSession, sf: str) -> DataFrame:
         F.array(F.struct(F.lit("manual").alias("type"), F.lit("10").alias("value"), target.alias("target_type"), F.lit("fixed").alias("value_type"))),
     ).otherwise(F.array().cast("array<struct<type:string,value:string,target_type:string,value_type:string>>"))
     part = F.coalesce("part", F.lit(1))
-    orders = spread(table(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"), "o_orderkey")
-    rows = orders.join(lists, F.col("o_orderkey") == F.col("l_orderkey"), "left").join(who, F.col("o_custkey") == F.col("c_custkey"), "left")
+    orders = table(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
+    # An inner join, so that the many parts of a hot order can be split over tasks; orders
+    # without lines come in separately.
+    with_lines = orders.join(lists, F.col("o_orderkey") == F.col("l_orderkey")).drop("l_orderkey")
+    ordered = table(spark, sf, "lineitem", "l_orderkey").distinct()
+    bare = orders.join(ordered, F.col("o_orderkey") == F.col("l_orderkey"), "left_anti")
+    rows = with_lines.unionByName(bare, allowMissingColumns=True).join(who, F.col("o_custkey") == F.col("c_custkey"), "left")
     created = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ssXXX")
     body = F.struct(
         order_name(F.col("o_orderkey"), part).alias("name"), text("o_orderkey").alias("id"), text("o_orderkey").alias("order_number"),

@@ -25,7 +25,7 @@ def test_order_options(spark):
     out = json.loads(od.build_order_docs(parsed(spark, [doc]), cfg, now()).first()["json"])
     head, lines = out["Pedidos"][0], out["MovtoPedidoscomercial"]
     assert (head["f430_id_fecha"], head["f430_fecha_entrega"]) == ("20231231", "20240101")
-    assert [line["f431_codigo_barras"] for line in lines] == ["A", "77", "", ""]
+    assert [line["f431_codigo_barras"] for line in lines] == ["A", "077", "", ""]
     assert [(line["f431_referencia_item"], line["f431_notas"]) for line in lines[2:]] == [("0002692", "Flete local"), ("", "")]
 
 
