@@ -33,20 +33,20 @@ def clip(c: Column, width: int) -> Column:
 
 
 def digits_only(c: Column) -> Column:
-    return F.regexp_replace(c, "[^0-9]", "")
+    return F.regexp_replace(c, "[^0-9]+", "")
 
 
 def digits_hyphen(c: Column) -> Column:
-    return F.regexp_replace(c, "[^0-9-]", "")
+    return F.regexp_replace(c, "[^0-9-]+", "")
 
 
 def letters_digits(c: Column) -> Column:
     """Folded letters and digits only, for matching labels typed by hand."""
-    return F.regexp_replace(fold(c), "[^a-z0-9]", "")
+    return F.regexp_replace(fold(c), "[^a-z0-9]+", "")
 
 
 def strip_newlines(c: Column) -> Column:
-    return F.regexp_replace(c, "[\r\n]", "")
+    return F.regexp_replace(c, "[\r\n]+", "")
 
 
 def log_text(c: Column) -> Column:

@@ -35,20 +35,13 @@ def available_stock(
         "sku", F.col("reference") if mode == REFERENCE else F.coalesce("main_barcode", "barcode")
     )
     wh = warehouses.select("warehouse_rowid", F.col("warehouse_id").alias("warehouse"))
-    # "Warehouse of the stock row or of the barcode row" as two equi joins, each side
-    # reduced to what it contributes before they meet.
-    by_stock = codes.select("ext_rowid", "sku").distinct().join(levels, "ext_rowid").join(
-        wh.withColumnRenamed("warehouse_rowid", "stock_wh"), "stock_wh"
+    # "Warehouse of the stock row or of the barcode row": both candidates of a row become
+    # rows of their own, so the warehouse is an equi join.
+    candidates = F.array("stock_wh", "barcode_wh") if barcodes is not None else F.array("stock_wh")
+    rows = codes.join(levels, "ext_rowid").select(
+        "sku", F.coalesce("available", F.lit(0)).alias("available"), F.explode(F.array_distinct(candidates)).alias("warehouse_rowid")
     )
-    out = by_stock.select("sku", "warehouse", F.coalesce("available", F.lit(0)).alias("available"))
-    if barcodes is not None:
-        by_barcode = (
-            codes.where("barcode_wh is not null").select("ext_rowid", "sku", "barcode_wh").distinct()
-            .join(levels.select("ext_rowid", "available").distinct(), "ext_rowid")
-            .join(wh.withColumnRenamed("warehouse_rowid", "barcode_wh"), "barcode_wh")
-        )
-        out = out.union(by_barcode.select("sku", "warehouse", F.coalesce("available", F.lit(0)).alias("available")))
-    return out.distinct()
+    return rows.join(wh, "warehouse_rowid").select("sku", "warehouse", "available").distinct()
 
 
 def total_stock(rows: DataFrame) -> DataFrame:
