@@ -26,7 +26,7 @@ def connect(sf: str):
 
 def _clean(v):
     if isinstance(v, float):
-        return None if math.isnan(v) else round(v, 6)
+        return None if math.isnan(v) else v
     return v
 
 
