@@ -62,7 +62,7 @@ def latest_price(spark, sf):
 
 
 VARIANTS_SQL = """
-variants AS (SELECT p_partkey + 7000000 AS variant_id, 'R' || p_partkey AS sku FROM part WHERE p_partkey % 4 <> 0),
+variants AS (SELECT p_partkey + 7000000 AS variant_id, 'R' || p_partkey AS sku FROM part WHERE p_type <> 'SMALL'),
 items AS (SELECT p_partkey AS item_rowid, CASE WHEN p_partkey % 7 <> 0 THEN 'R' || p_partkey END AS reference FROM part),
 exts AS (SELECT DISTINCT l_suppkey * 10000000 + l_partkey AS ext_rowid, 'R' || l_partkey AS main_barcode, l_partkey AS item_rowid FROM lineitem),
 classes AS (SELECT p_partkey AS item_rowid FROM part WHERE p_type = 'PROMO' AND p_size < 25)
@@ -72,7 +72,7 @@ classes AS (SELECT p_partkey AS item_rowid FROM part WHERE p_type = 'PROMO' AND
 def _variants(spark, sf):
     k = F.col("p_partkey")
     part = table(spark, sf, "part", "p_partkey", "p_type", "p_size")
-    variants = part.where(k % 4 != 0).select((k + 7000000).alias("variant_id"), F.concat(F.lit("R"), text(k)).alias("sku"))
+    variants = part.where("p_type <> 'SMALL'").select((k + 7000000).alias("variant_id"), F.concat(F.lit("R"), text(k)).alias("sku"))
     items = part.select(k.alias("item_rowid"), F.when(k % 7 != 0, F.concat(F.lit("R"), text(k))).alias("reference"))
     pairs = table(spark, sf, "lineitem", "l_partkey", "l_suppkey").distinct()
     ext = pairs.select(
@@ -118,7 +118,7 @@ def union_modes(spark, sf):
 WITH {LATEST_SQL}, {VARIANTS_SQL},
 s AS (SELECT variant_id, sku, MIN(cents) AS cents FROM latest p JOIN items i ON p.item_rowid = i.item_rowid JOIN variants ON sku = reference GROUP BY 1, 2),
 t AS (SELECT p_partkey + 7000000 AS variant_id, 'R' || p_partkey AS sku, CASE WHEN p_partkey % 3 = 0 THEN 0 ELSE CAST(ROUND(p_retailprice * 100) AS BIGINT) END AS cents
-      FROM part WHERE p_partkey % 2 = 0)
+      FROM part WHERE p_size <= 25)
 SELECT COALESCE(s.variant_id, t.variant_id) AS variant_id, COALESCE(s.sku, t.sku) AS sku, COALESCE(s.cents, t.cents) / 100.0 AS price,
        CASE WHEN t.variant_id IS NULL THEN 'insert' WHEN s.cents <> t.cents THEN 'update' ELSE 'keep' END AS action
 FROM s FULL JOIN t ON s.variant_id = t.variant_id
@@ -129,7 +129,7 @@ def price_sync(spark, sf):
     fresh = pr.effective_price(_latest(spark, sf), variants, pr.ITEM, items=items)
     k = F.col("p_partkey")
     price = F.when(k % 3 == 0, F.lit(0)).otherwise(F.col("p_retailprice")).cast("decimal(18,2)")
-    state = table(spark, sf, "part", "p_partkey", "p_retailprice", where=k % 2 == 0).select(
+    state = table(spark, sf, "part", "p_partkey", "p_retailprice", "p_size", where=F.col("p_size") <= 25).select(
         (k + 7000000).alias("variant_id"), F.concat(F.lit("R"), text(k)).alias("sku"), price.alias("price"),
         F.lit(True).alias("synced"), F.lit("2024-01-01").cast("timestamp").alias("synced_at"),
     )

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from cartloom.config import MarketplaceConfig, MinorUnitOrderConfig, OrderConfig
 from cartloom.functions import codes as cd
-from cartloom.functions import text as tx
 from cartloom.plans import orders as od
 from cartloom.queries.documents import DOCS_SQL, ITEMS_SQL, parsed_orders
 from cartloom.queries.registry import (
@@ -406,7 +405,7 @@ def marketplace_reference(spark, sf):
 
 
 @query("""
-WITH erp AS (SELECT '01 ' || o_orderkey AS reference, o_orderkey FROM orders WHERE o_orderkey % 4 <> 0),
+WITH erp AS (SELECT '01 ' || o_orderkey AS reference, o_orderkey FROM orders WHERE o_orderstatus <> 'P'),
 g AS (SELECT l_orderkey, 'T' || MIN(l_suppkey) AS tracking FROM lineitem GROUP BY 1),
 b AS (SELECT o.o_orderkey, tracking, o_orderpriority FROM orders o JOIN erp USING (o_orderkey) LEFT JOIN g ON l_orderkey = o.o_orderkey)
 SELECT o_orderkey AS order_id, '147' AS centre, 'EPV' AS doc_type, o_orderkey + 1 AS doc_number, attribute,
@@ -417,12 +416,12 @@ FROM b CROSS JOIN (SELECT unnest(['Market_Place', 'Transportadora', 'Nro_Guia',
 def order_attributes(spark, sf):
     """Four attribute rows per order from one join."""
     key = F.col("o_orderkey")
-    orders = table(spark, sf, "orders", "o_orderkey", "o_orderpriority")
+    orders = table(spark, sf, "orders", "o_orderkey", "o_orderpriority", "o_orderstatus")
     queue = orders.select(
         key.alias("order_id"), F.concat(F.lit("01 "), text(key)).alias("reference"), F.col("o_orderpriority").alias("origin"),
         F.when(key % 2 == 0, F.concat(F.lit("pay"), text(key))).alias("gateway"),
     )
-    erp = orders.where(key % 4 != 0).select(
+    erp = orders.where("o_orderstatus <> 'P'").select(
         F.concat(F.lit("01 "), text(key)).alias("reference"), F.lit("147").alias("centre"), F.lit("EPV").alias("doc_type"), (key + 1).alias("doc_number")
     )
     guides = table(spark, sf, "lineitem", "l_orderkey", "l_suppkey").groupBy(F.col("l_orderkey").alias("order_id")).agg(

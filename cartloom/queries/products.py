@@ -17,7 +17,7 @@ def long_rows(df, key, name, value, columns):
 
 @query("""
 WITH base AS (SELECT p_partkey, 'R' || p_partkey AS reference, p_name, p_brand, p_type, p_size, CASE p_partkey % 2 WHEN 0 THEN 'MASCULINO' ELSE 'FEMENINO' END AS g,
-                     CASE p_partkey % 2 WHEN 0 THEN 'Hombre' ELSE 'Mujer' END AS word FROM part WHERE p_size % 3 <> 0 AND p_partkey % 10 <> 0),
+                     CASE p_partkey % 2 WHEN 0 THEN 'Hombre' ELSE 'Mujer' END AS word FROM part WHERE p_size % 3 <> 0 AND p_brand <> 'Brand#12'),
 b AS (SELECT * FROM base WHERE p_type <> 'PROMO' AND (contains(p_brand, '#1') OR contains(p_brand, '#2')))
 SELECT reference, upper(left(p_name, 1)) || lower(substr(p_name, 2)) || ' Para ' || word || ' ' || upper(left(p_brand, 1)) || lower(substr(p_brand, 2)) AS name,
        CAST(p_partkey % 2 + 1 AS INTEGER) AS department, CAST(length(p_type) AS INTEGER) AS category,
@@ -40,7 +40,7 @@ def product_docs(spark, sf):
         ref.alias("reference"), F.col("p_name").alias("description"),
         F.when(k % 2 == 0, F.lit("MASCULINO")).otherwise(F.lit("FEMENINO")).alias("gender_name"), F.col("p_brand").alias("brand_name"),
     )
-    known = part.where(k % 10 == 0).select(ref.alias("erp_reference"))
+    known = part.where("p_brand = 'Brand#12'").select(ref.alias("erp_reference"))
     departments = spark.createDataFrame([("010G", "1"), ("011G", "2")], "gender string, shop_id string")
     categories = part.select(gender.alias("gender"), F.col("p_type").alias("category"), text(F.length("p_type")).alias("shop_id")).distinct()
     brands = part.select(F.col("p_brand").alias("brand"), F.lit("7").alias("shop_id")).distinct()
@@ -60,11 +60,11 @@ WITH t AS (SELECT l_partkey, MAX(CASE WHEN l_returnflag = 'A' THEN 'long ' || l_
                   MAX(CASE WHEN l_returnflag = 'R' THEN 'k-' || l_orderkey END) AS c FROM lineitem WHERE l_quantity > 30 GROUP BY 1)
 SELECT right('0000000' || p_partkey, 7) AS ref_id, p_name AS name, CAST(p_size AS INTEGER) AS department, CAST(length(p_type) AS INTEGER) AS category, replace(p_name, ' ', '-') AS link,
        a AS long_text, replace(trim(b), chr(10), '') AS short_text, replace(c, '-', '') AS key_words
-FROM part JOIN t ON l_partkey = p_partkey WHERE a IS NOT NULL AND b IS NOT NULL AND c IS NOT NULL AND p_type IN ('PROMO', 'LARGE', 'SMALL') AND p_partkey % 9 <> 0
+FROM part JOIN t ON l_partkey = p_partkey WHERE a IS NOT NULL AND b IS NOT NULL AND c IS NOT NULL AND p_type IN ('PROMO', 'LARGE', 'SMALL') AND p_brand <> 'Brand#3'
 """)
 def product_docs_eav(spark, sf):
     k = F.col("p_partkey")
-    part = table(spark, sf, "part", "p_partkey", "p_name", "p_type", "p_size")
+    part = table(spark, sf, "part", "p_partkey", "p_name", "p_brand", "p_type", "p_size")
     items = part.select(k.alias("item_rowid"), k.alias("item_id"), F.col("p_name").alias("description"), F.col("p_type").alias("category_label"))
     classes = long_rows(
         part, k.alias("item_rowid"), "plan_id", "note", {"15": text("p_size"), "10": text(F.length("p_type")), "60": F.lit("7")}
@@ -76,7 +76,7 @@ def product_docs_eav(spark, sf):
         F.when(f == "A", F.concat(F.lit("long "), o)).when(f == "N", F.concat(F.lit(" short "), o, F.lit("\n"))).otherwise(F.concat(F.lit("k-"), o)).alias("text_value"),
     )
     categories = spark.createDataFrame([("Promo!",), ("lar-ge",), ("SMÁLL",)], "name string")
-    known = part.where(k % 9 == 0).select(F.lpad(text(k), 7, "0").alias("ref_id"))
+    known = part.where("p_brand = 'Brand#3'").select(F.lpad(text(k), 7, "0").alias("ref_id"))
     docs = pd.product_docs_eav(
         items, classes, {"15": "department", "10": "category", "60": "brand"}, attributes,
         {"A": "long_text", "N": "short_text", "R": "key_words"}, categories, known,

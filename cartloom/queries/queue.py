@@ -50,14 +50,14 @@ def reconcile_created(spark, sf):
 
 
 @query(f"""
-WITH {QUEUE_SQL}, d AS (SELECT l_orderkey, 'doc ' || count(*) AS json FROM lineitem GROUP BY 1)
-SELECT id, CASE WHEN json IS NOT NULL AND id % 2 = 0 THEN 2 ELSE state END AS state, CASE WHEN json IS NOT NULL AND id % 2 = 0 THEN 0 ELSE attempts END AS attempts,
-       CASE WHEN json IS NOT NULL AND id % 2 = 0 THEN json WHEN id % 3 = 0 THEN 'old' END AS out_document,
-       CASE WHEN json IS NOT NULL AND id % 2 = 0 THEN 'party' END AS endpoint FROM q LEFT JOIN d ON l_orderkey = id
+WITH {QUEUE_SQL}, d AS (SELECT l_orderkey, 'doc ' || count(*) AS json FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1)
+SELECT id, CASE WHEN json IS NOT NULL THEN 2 ELSE state END AS state, CASE WHEN json IS NOT NULL THEN 0 ELSE attempts END AS attempts,
+       CASE WHEN json IS NOT NULL THEN json WHEN id % 3 = 0 THEN 'old' END AS out_document,
+       CASE WHEN json IS NOT NULL THEN 'party' END AS endpoint FROM q LEFT JOIN d ON l_orderkey = id
 """)
 def attach_document(spark, sf):
     queue = _queue(spark, sf).withColumn("out_document", F.when(F.col("id") % 3 == 0, F.lit("old"))).withColumn("endpoint", F.lit(None).cast("string"))
-    docs = table(spark, sf, "lineitem", "l_orderkey", where=F.col("l_orderkey") % 2 == 0).groupBy(F.col("l_orderkey").alias("id")).agg(
+    docs = table(spark, sf, "lineitem", "l_orderkey", "l_returnflag", where=F.col("l_returnflag") == "R").groupBy(F.col("l_orderkey").alias("id")).agg(
         F.concat(F.lit("doc "), text(F.count(F.lit(1)))).alias("json")
     )
     return qu.attach_document(queue, docs, "id", "party", 2)

@@ -78,8 +78,8 @@ catalogue AS (
   SELECT DISTINCT p_partkey + 1000000 AS inventory_item_id, {SKU_SQL} AS sku, l_suppkey + 500 AS location_id
   FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_linestatus = 'F'
   UNION SELECT p_partkey + 1000000, {SKU_SQL}, p_partkey % 10 + 500 FROM part),
-shops AS (SELECT s_suppkey + 500 AS location_id, CASE WHEN s_suppkey % 9 <> 7 THEN 'W' || s_suppkey END AS warehouse
-          FROM supplier WHERE s_suppkey % 9 <> 8),
+shops AS (SELECT s_suppkey + 500 AS location_id, CASE WHEN s_nationkey <> 7 THEN 'W' || s_suppkey END AS warehouse
+          FROM supplier WHERE s_nationkey <> 8),
 crossed AS (
   SELECT DISTINCT inventory_item_id, c.sku, location_id, COALESCE(shops.warehouse, 'W0') AS warehouse, COALESCE(s.available, 0) AS available
   FROM catalogue c JOIN shops USING (location_id)
@@ -102,8 +102,8 @@ def _catalogue(spark, sf):
 
 def _shops(spark, sf):
     s = F.col("s_suppkey")
-    return table(spark, sf, "supplier", "s_suppkey").where(s % 9 != 8).select(
-        (s + 500).alias("location_id"), F.when(s % 9 != 7, F.concat(F.lit("W"), text(s))).alias("warehouse")
+    return table(spark, sf, "supplier", "s_suppkey", "s_nationkey", where=F.col("s_nationkey") != 8).select(
+        (s + 500).alias("location_id"), F.when(F.col("s_nationkey") != 7, F.concat(F.lit("W"), text(s))).alias("warehouse")
     )
 
 
@@ -121,7 +121,7 @@ source AS (SELECT sku, warehouse, location_id, inventory_item_id, available FROM
   SELECT *, row_number() OVER (PARTITION BY sku, warehouse ORDER BY inventory_item_id, location_id, available) AS rn FROM crossed)
   WHERE rn = 1),
 state AS (SELECT sku, COALESCE(shops.warehouse, 'W0') AS warehouse, MIN(CASE WHEN location_id % 2 = 0 THEN 0 ELSE 7 END) AS available
-          FROM catalogue JOIN shops USING (location_id) WHERE sku IS NOT NULL AND location_id % 5 <> 0 GROUP BY 1, 2)
+          FROM catalogue JOIN shops USING (location_id) WHERE starts_with(sku, 'B') GROUP BY 1, 2)
 SELECT sku, warehouse, source.location_id, source.inventory_item_id, source.available,
        (state.sku IS NOT NULL AND state.available = source.available) AS synced,
        CASE WHEN state.sku IS NULL THEN 'insert' WHEN state.available <> source.available THEN 'update' ELSE 'keep' END AS action
@@ -138,7 +138,7 @@ def stock_sync(spark, sf):
         ["sku", "warehouse"],
     )
     sent = (
-        _catalogue(spark, sf).where(F.col("location_id") % 5 != 0).join(_shops(spark, sf), "location_id")
+        _catalogue(spark, sf).where(F.col("sku").startswith("B")).join(_shops(spark, sf), "location_id")
         .groupBy("sku", F.coalesce("warehouse", F.lit("W0")).alias("warehouse"))
         .agg(F.min(F.when(F.col("location_id") % 2 == 0, 0).otherwise(7)).alias("available"))
     )
@@ -272,7 +272,7 @@ def _candidates(spark, sf):
 
 
 SHOP_SQL = """
-products AS (SELECT p_partkey AS sku, p_partkey + 1000000 AS inventory_item_id, p_partkey + 1 AS product_id FROM part WHERE p_partkey % 11 <> 0),
+products AS (SELECT p_partkey AS sku, p_partkey + 1000000 AS inventory_item_id, p_partkey + 1 AS product_id FROM part WHERE p_type <> 'LARGE'),
 erp AS (SELECT l_partkey AS ean, CAST(SUM(l_quantity) AS BIGINT) AS quantity FROM lineitem GROUP BY 1),
 shop AS (SELECT p_partkey + 1000000 AS inventory_item_id, p_partkey % 7 AS location_id,
                 CAST(SUM(CASE WHEN l_returnflag <> 'R' OR p_partkey % 2 = 0 THEN l_quantity ELSE 0 END) AS BIGINT) AS available,
@@ -284,8 +284,8 @@ stores AS (SELECT s_suppkey AS location_id, s_name AS description, s_suppkey % 3
 
 def _shop_tables(spark, sf):
     k = F.col("p_partkey")
-    part = table(spark, sf, "part", "p_partkey")
-    products = part.where(k % 11 != 0).select(
+    part = table(spark, sf, "part", "p_partkey", "p_type")
+    products = part.where("p_type <> 'LARGE'").select(
         k.alias("sku"), (k + 1000000).alias("inventory_item_id"), (k + 1).alias("product_id")
     )
     lines = table(spark, sf, "lineitem", "l_partkey", "l_quantity", "l_returnflag", "l_shipdate")
@@ -336,14 +336,14 @@ def stock_diff_report(spark, sf):
 
 
 @query("""
-WITH o AS (SELECT o_orderkey, CAST(ROUND(o_totalprice) AS BIGINT) AS v FROM orders WHERE o_orderkey % 10 <> 0),
+WITH o AS (SELECT o_orderkey, CAST(ROUND(o_totalprice) AS BIGINT) AS v FROM orders WHERE o_orderstatus <> 'P'),
 l AS (SELECT l_orderkey, CAST(SUM(CAST(ROUND(l_extendedprice) AS BIGINT)) AS BIGINT) AS v FROM lineitem GROUP BY 1)
 SELECT COALESCE(o_orderkey, l_orderkey) AS order_id, COALESCE(o.v, 0) AS left_value, COALESCE(l.v, 0) AS right_value,
        ABS(COALESCE(o.v, 0) - COALESCE(l.v, 0)) AS difference
 FROM o FULL JOIN l ON o_orderkey = l_orderkey
 """)
 def reconcile_full(spark, sf):
-    o = table(spark, sf, "orders", "o_orderkey", "o_totalprice", where=F.col("o_orderkey") % 10 != 0).select(
+    o = table(spark, sf, "orders", "o_orderkey", "o_totalprice", "o_orderstatus", where=F.col("o_orderstatus") != "P").select(
         F.col("o_orderkey").alias("order_id"), F.round("o_totalprice").cast("bigint").alias("v")
     )
     lines = table(spark, sf, "lineitem", "l_orderkey", "l_extendedprice").groupBy(F.col("l_orderkey").alias("order_id")).agg(
