@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from cartloom.llm.chat import OP6_SQL, op6_chat
 from cartloom.llm.decontaminate import op10_decontaminate
+from cartloom.llm.minhash import op3_minhash
 from cartloom.llm.mixture import OP1_SQL, op1_mix
 from cartloom.llm.recompress import op7_substring_dedup
 from cartloom.llm.suffixes import op2_suffix_dedup
@@ -11,6 +12,7 @@ from cartloom.llm.suffixes import op2_suffix_dedup
 QUERIES = {
     "op1_mix": op1_mix,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op3_minhash": op3_minhash,
     "op6_chat": op6_chat,
     "op7_substring_dedup": op7_substring_dedup,
     "op10_decontaminate": op10_decontaminate,
