@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -149,15 +150,13 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner drop shuffle files of finished rounds; they would stay until the driver happens to collect."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+def release(spark: SparkSession, rounds: int = 2, wait: float = 0.7) -> None:
+    """Let Spark's cleaner drop shuffle files of finished rounds; they would stay until the driver happens to collect.
 
-
-def binary_rows(values: np.ndarray, width: int) -> pa.Array:
-    """A two-dimensional byte-like array as one binary value a row."""
-    raw = np.ascontiguousarray(values).view(np.uint8).reshape(-1)
-    n = len(values)
-    offsets = pa.py_buffer((np.arange(n + 1, dtype=np.int32) * width).tobytes())
-    return pa.Array.from_buffers(pa.binary(), n, [None, offsets, pa.py_buffer(raw.tobytes())])
+    What the first collection frees on the Python side is seen by the JVM in the second; the cleaner works on its own
+    thread, hence the short wait.
+    """
+    for _ in range(rounds):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(wait)

@@ -8,6 +8,7 @@ from cartloom.llm.minhash import op3_minhash
 from cartloom.llm.mixture import OP1_SQL, op1_mix
 from cartloom.llm.recompress import op7_substring_dedup
 from cartloom.llm.suffixes import op2_suffix_dedup
+from cartloom.llm.toxicity import op8_toxicity
 
 QUERIES = {
     "op1_mix": op1_mix,
@@ -15,6 +16,7 @@ QUERIES = {
     "op3_minhash": op3_minhash,
     "op6_chat": op6_chat,
     "op7_substring_dedup": op7_substring_dedup,
+    "op8_toxicity": op8_toxicity,
     "op10_decontaminate": op10_decontaminate,
 }
 ORACLES = {"op1_mix": OP1_SQL, "op6_chat": OP6_SQL}

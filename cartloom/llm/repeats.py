@@ -133,6 +133,8 @@ def _bucket_rows(unit: int, bucket: np.ndarray, arrays: list[np.ndarray]) -> dic
     }
 
 
+STORED = pa.schema([("unit", pa.int64()), ("bucket", pa.int32()), ("blob", pa.binary()), ("anchors", pa.binary())])
+STORED_SQL = "unit long, bucket int, blob binary, anchors binary"
 ROWS = pa.schema([("unit", pa.int64()), ("bucket", pa.int32()), ("blob", pa.binary())])
 ROWS_SQL = "unit long, bucket int, blob binary"
 
@@ -198,7 +200,7 @@ def _anchor_records(keys: np.ndarray, order: np.ndarray, by_place: bool):
 
 
 def build_units(docs: DataFrame, method: Method, text: str, ident: str, buckets: int, unit_bytes: int) -> DataFrame:
-    """Stored units (bucket -1: batch, bucket -2: anchors) and the records of round 1."""
+    """Stored units (no bucket; texts and anchors) and the records of round 1."""
 
     def run(batches):
         part, seq = TaskContext.get().partitionId(), 0
@@ -216,11 +218,12 @@ def build_units(docs: DataFrame, method: Method, text: str, ident: str, buckets:
             whole = Unit(blob, anchors, method, text, ident)
             keys, _, again = _anchor_records(whole.anchor_keys(), whole.order(start), method.by_place)
             rows = _bucket_rows(unit, hash_bucket(keys, buckets), [(keys >> C.U64(16)), again.astype(np.uint8)])
-            yield pa.RecordBatch.from_pydict(
-                {"unit": rows["unit"] + [unit] * 2, "bucket": rows["bucket"] + [-1, -2], "blob": rows["blob"] + [blob, anchors]}, ROWS
-            )
+            none = [None] * len(rows["unit"])
+            yield pa.RecordBatch.from_pydict({
+                "unit": rows["unit"] + [unit], "bucket": rows["bucket"] + [None], "blob": rows["blob"] + [blob], "anchors": none + [anchors],
+            }, STORED)
 
-    return docs.mapInArrow(run, ROWS_SQL)
+    return docs.mapInArrow(run, STORED_SQL)
 
 
 def reply(records: DataFrame, judge: Callable) -> DataFrame:
@@ -388,12 +391,10 @@ def find_repeats(
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     buckets = max(1, -(-total // bucket_bytes))
     stored = C.settle(build_units(docs, method, text, ident, buckets, unit_bytes))
-    bodies = stored.where("bucket = -1").select("unit", "blob")
-    anchors = stored.where("bucket = -2").select("unit", F.col("blob").alias("anchors"))
-    units = bodies.join(anchors, "unit")
+    units = stored.where("bucket is null").select("unit", "blob", "anchors")
     cuts = splitters(stored, buckets) if splitters else None
 
-    replies = [C.settle(reply(stored.where("bucket >= 0"), judge_anchors))]
+    replies = [C.settle(reply(stored.where("bucket is not null").select("unit", "bucket", "blob"), judge_anchors))]
     C.release(spark)
 
     def ranges(batches):
