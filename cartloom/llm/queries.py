@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from cartloom.llm.chat import OP6_SQL, op6_chat
 from cartloom.llm.decontaminate import op10_decontaminate
+from cartloom.llm.fingerprint import op9_fingerprint
 from cartloom.llm.minhash import op3_minhash
 from cartloom.llm.mixture import OP1_SQL, op1_mix
 from cartloom.llm.recompress import op7_substring_dedup
@@ -17,6 +18,7 @@ QUERIES = {
     "op6_chat": op6_chat,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_toxicity": op8_toxicity,
+    "op9_fingerprint": op9_fingerprint,
     "op10_decontaminate": op10_decontaminate,
 }
 ORACLES = {"op1_mix": OP1_SQL, "op6_chat": OP6_SQL}
