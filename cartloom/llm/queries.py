@@ -5,6 +5,7 @@ from __future__ import annotations
 from cartloom.llm.chat import OP6_SQL, op6_chat
 from cartloom.llm.decontaminate import op10_decontaminate
 from cartloom.llm.fingerprint import op9_fingerprint
+from cartloom.llm.lmscore import op4_lm_score
 from cartloom.llm.minhash import op3_minhash
 from cartloom.llm.mixture import OP1_SQL, op1_mix
 from cartloom.llm.recompress import op7_substring_dedup
@@ -15,6 +16,7 @@ QUERIES = {
     "op1_mix": op1_mix,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_minhash": op3_minhash,
+    "op4_lm_score": op4_lm_score,
     "op6_chat": op6_chat,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_toxicity": op8_toxicity,
