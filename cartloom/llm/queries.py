@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from cartloom.llm.chat import OP6_SQL, op6_chat
 from cartloom.llm.decontaminate import op10_decontaminate
+from cartloom.llm.extract import op5_extract
 from cartloom.llm.fingerprint import op9_fingerprint
 from cartloom.llm.lmscore import op4_lm_score
 from cartloom.llm.minhash import op3_minhash
@@ -17,6 +18,7 @@ QUERIES = {
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_minhash": op3_minhash,
     "op4_lm_score": op4_lm_score,
+    "op5_extract": op5_extract,
     "op6_chat": op6_chat,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_toxicity": op8_toxicity,
