@@ -153,9 +153,10 @@ def settle(df: DataFrame) -> DataFrame:
 def release(spark: SparkSession, rounds: int = 2, wait: float = 0.7) -> None:
     """Let Spark's cleaner drop shuffle files of finished rounds; they would stay until the driver happens to collect.
 
-    What the first collection frees on the Python side is seen by the JVM in the second; the cleaner works on its own
-    thread, hence the short wait.
+    Event queues keep the last query until another one comes, so a tiny job goes first. What the first collection frees on
+    the Python side is seen by the JVM in the second; the cleaner works on its own thread, hence the short wait.
     """
+    spark.range(1).count()
     for _ in range(rounds):
         gc.collect()
         spark.sparkContext._jvm.System.gc()

@@ -82,7 +82,7 @@ def unpack(blob: bytes) -> list[np.ndarray]:
 
 def _store(batch: pa.RecordBatch) -> bytes:
     sink = io.BytesIO()
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 9))) as out:
         out.write_batch(batch)
     return sink.getvalue()
 
@@ -133,8 +133,8 @@ def _bucket_rows(unit: int, bucket: np.ndarray, arrays: list[np.ndarray]) -> dic
     }
 
 
-STORED = pa.schema([("unit", pa.int64()), ("bucket", pa.int32()), ("blob", pa.binary()), ("anchors", pa.binary())])
-STORED_SQL = "unit long, bucket int, blob binary, anchors binary"
+STORED = pa.schema([("unit", pa.int64()), ("blob", pa.binary()), ("anchors", pa.binary())])
+STORED_SQL = "unit long, blob binary, anchors binary"
 ROWS = pa.schema([("unit", pa.int64()), ("bucket", pa.int32()), ("blob", pa.binary())])
 ROWS_SQL = "unit long, bucket int, blob binary"
 
@@ -199,14 +199,12 @@ def _anchor_records(keys: np.ndarray, order: np.ndarray, by_place: bool):
     return distinct, group, again
 
 
-def build_units(docs: DataFrame, method: Method, text: str, ident: str, buckets: int, unit_bytes: int) -> DataFrame:
-    """Stored units (no bucket; texts and anchors) and the records of round 1."""
+def build_units(docs: DataFrame, method: Method, text: str, unit_bytes: int) -> DataFrame:
+    """Units: packed rows and the anchors of their texts."""
 
     def run(batches):
         part, seq = TaskContext.get().partitionId(), 0
         for piece in _slices(batches, text, unit_bytes):
-            unit = (part << 28) + seq
-            seq += 1
             data, offsets = C.buffers(piece.column(piece.schema.names.index(text)))
             codes, at, _ = method.symbols(data, offsets)
             start, count, left, right = method.anchors(data, codes, at)
@@ -214,18 +212,26 @@ def build_units(docs: DataFrame, method: Method, text: str, ident: str, buckets:
                 np.diff(start, prepend=0).astype(np.uint32), count.astype(np.uint8 if method.window < 256 else np.uint32),
                 (left - start).astype(np.int16), (right - left).astype(np.uint16),
             ])
-            blob = _store(piece)
-            whole = Unit(blob, anchors, method, text, ident)
-            keys, _, again = _anchor_records(whole.anchor_keys(), whole.order(start), method.by_place)
-            rows = _bucket_rows(unit, hash_bucket(keys, buckets), [(keys >> C.U64(16)), again.astype(np.uint8)])
-            none = [None] * len(rows["unit"])
-            yield pa.RecordBatch.from_pydict({
-                "unit": rows["unit"] + [unit], "bucket": rows["bucket"] + [None], "blob": rows["blob"] + [blob], "anchors": none + [anchors],
-            }, STORED)
+            yield pa.RecordBatch.from_pydict({"unit": [(part << 28) + seq], "blob": [_store(piece)], "anchors": [anchors]}, STORED)
+            seq += 1
 
     return docs.mapInArrow(run, STORED_SQL)
 
 
+def anchor_records(units: DataFrame, method: Method, text: str, ident: str, buckets: int) -> DataFrame:
+    """Round 1: the distinct anchors of every unit."""
+
+    def run(batches):
+        for batch in batches:
+            for unit, blob, anchors in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                u = Unit(blob, anchors, method, text, ident)
+                keys, _, again = _anchor_records(u.anchor_keys(), u.order(u.parsed.start), method.by_place)
+                rows = _bucket_rows(unit, hash_bucket(keys, buckets), [(keys >> C.U64(16)), again.astype(np.uint8)])
+                yield pa.RecordBatch.from_pydict(rows, ROWS)
+
+    return units.mapInArrow(run, ROWS_SQL)
+
+
 def reply(records: DataFrame, judge: Callable) -> DataFrame:
     """Every bucket's records judged together; one byte per record goes back to its unit."""
 
@@ -390,11 +396,10 @@ def find_repeats(
     spark = docs.sparkSession
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     buckets = max(1, -(-total // bucket_bytes))
-    stored = C.settle(build_units(docs, method, text, ident, buckets, unit_bytes))
-    units = stored.where("bucket is null").select("unit", "blob", "anchors")
-    cuts = splitters(stored, buckets) if splitters else None
+    units = C.settle(build_units(docs, method, text, unit_bytes))
+    cuts = splitters(units, buckets) if splitters else None
 
-    replies = [C.settle(reply(stored.where("bucket is not null").select("unit", "bucket", "blob"), judge_anchors))]
+    replies = [C.settle(reply(anchor_records(units, method, text, ident, buckets), judge_anchors))]
     C.release(spark)
 
     def ranges(batches):

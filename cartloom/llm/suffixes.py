@@ -97,7 +97,7 @@ def sample_splitters(window: int, text: str):
     """Splitters of the suffix order from evenly spread windows of all stored texts."""
 
     def splitters(stored: DataFrame, buckets: int):
-        units = stored.where("bucket is null").select("unit", "blob")
+        units = stored.select("unit", "blob")
         count = max(units.count(), 1)
         each = -(-SAMPLES_PER_BUCKET * buckets // count)
 
