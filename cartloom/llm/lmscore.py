@@ -213,11 +213,17 @@ def score_documents(
     shipped = spark.sparkContext.broadcast(vocabulary)
     replies = counts.where("unit >= 0").groupBy("unit").agg(F.collect_list(F.struct("bucket", "blob")).alias("reply"))
     bodies = stored.where("bucket is null").select("unit", "blob")
-    joined = bodies.join(replies, "unit").select("unit", "blob", "reply")
+
+    def answered(units: DataFrame) -> DataFrame:
+        return units.join(replies, "unit").select("unit", "blob", "reply")
+
+    joined = answered(bodies)
     first = spark.sparkContext.broadcast(gru.Params.start(vocabulary.counts).flat())
     start_units = bodies.select("unit").orderBy(F.xxhash64("unit"), "unit").limit(WARM_UNITS)
     flat = first.value
-    warm = _average(joined.join(F.broadcast(start_units), "unit").coalesce(1), shipped, first, WARM_RATE)
+    # At most WARM_UNITS units, one copy.
+    warm = _average(answered(bodies.join(F.broadcast(start_units), "unit")).coalesce(1), shipped, first, WARM_RATE)
+    C.release(spark)
     if warm is not None:
         flat = _average(joined, shipped, spark.sparkContext.broadcast(warm), RATE)
     C.release(spark)
