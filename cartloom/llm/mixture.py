@@ -123,18 +123,20 @@ def _positions(base: DataFrame, max_repeats: int, seed: int) -> DataFrame:
 def mix_sources(documents: DataFrame, max_repeats: int = MAX_REPEATS, seed: int = SEED) -> DataFrame:
     """The mix itself: every document row repeated by its copies, all columns kept.
 
-    Rows are first settled with a key of their own, so repeated ids do not meet each other's copies.
+    Rows are told apart by id, source and text; equal ones by a number, so each takes its own copies. The texts move once.
     """
-    key = "__mix_row"
-    rows = C.settle(documents.withColumn(key, F.monotonically_increasing_id()))
+    same = ["doc_id", "source", "__text"]
+    numbered = documents.withColumn("__text", F.xxhash64("text"))
+    nth = F.row_number().over(Window.partitionBy(*same).orderBy("doc_id"))
+    small = numbered.select("doc_id", "source", "__text", word_count(F.col("text")).alias("size")).withColumn("__nth", nth)
     digest = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    base = rows.select(F.col(key).alias("doc_id"), "source", word_count(F.col("text")).alias("size"), F.concat(digest, F.lpad(F.col(key).cast("string"), 19, "0")).alias("digest"))
-    copies = _positions(base, max_repeats, seed).where("copies > 0").select(F.col("doc_id").alias(key), F.col("copies").alias("__mix_copies"))
-    return (
-        rows.join(copies, key)
-        .withColumn("__mix_copy", F.explode(F.sequence(F.lit(1), F.col("__mix_copies"))))
-        .drop(key, "__mix_copies", "__mix_copy")
-    )
+    base = C.settle(small.select(F.struct("doc_id", "__text", "__nth").alias("doc_id"), "source", "size", digest.alias("digest")))
+    planned = _positions(base, max_repeats, seed).where("copies > 0")
+    copies = planned.select(*[F.col(f"doc_id.{c}").alias(f"{c}_") for c in ("doc_id", "__text", "__nth")], F.col("source").alias("source_"), "copies")
+    rows = numbered.withColumn("__nth", nth)
+    on = [rows[c].eqNullSafe(copies[f"{c}_"]) for c in ("doc_id", "source", "__text", "__nth")]
+    mixed = rows.join(copies, on).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return mixed.select(*[F.col(f"`{c}`") for c in documents.columns])
 
 
 def op1_mix(spark, sf_dir: str) -> DataFrame:
