@@ -4,8 +4,8 @@ Texts become sets of five-word shingles. Texts with equal sets are one *set* fro
 row. Each set gets 128 minima of multiply-add hashes; 32 bands of four minima put sets with similarity 0.75 into a common
 bucket but for five chances in a million. Inside a bucket all pairs are never listed:
 
-* The set that shares most buckets overall is the bucket's centre (in a family of near copies, the original); every other
-  member is compared with the centre. Estimated similarity from the signatures drops clear misses, then full sets decide.
+* The set that shares most buckets overall is a bucket's centre (in a family of near copies, the original), and so are four
+  sets chosen by their digest; every other member is compared with these centres. Estimated similarity from the signatures drops clear misses, then full sets decide.
 * Connected components of these links come from alternating large-star and small-star rounds.
 * Only buckets that still hold several components are looked at again: members of different components are compared by
   signature, in square blocks of bounded size, and pairs that may reach the threshold are confirmed on their full sets.
@@ -17,7 +17,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartloom.llm import common as C
@@ -25,6 +25,7 @@ from cartloom.llm import common as C
 SHINGLE = 5
 PERCENT = 75
 BANDS, ROWS = 32, 4
+CENTRES = 4
 SLACK = 5.0  # standard deviations below the threshold at which a signature is still confirmed
 BLOCK = 1024
 FACTORS = (C.seeded(BANDS * ROWS, 101) >> C.U64(32)).astype(np.uint32) | np.uint32(1)
@@ -225,7 +226,11 @@ def near_duplicates(
     signatures = distinct.select("node", "sig")
     score = members.groupBy("node").agg(F.sum("size").alias("score"))
     scored = members.join(score, "node")
-    centre = scored.groupBy("band").agg(F.max(F.struct("score", "node")).alias("best")).select("band", F.col("best.node").alias("centre"))
+    best = scored.groupBy("band").agg(F.max(F.struct("score", "node")).alias("best")).select("band", F.col("best.node").alias("centre"))
+    # Node ids are digests: the least few of a bucket are a random choice, and much the same one in every bucket of a family.
+    rank = F.row_number().over(Window.partitionBy("band").orderBy("node"))
+    few = members.select("band", "node").withColumn("rank", rank).where(F.col("rank") <= CENTRES).select("band", F.col("node").alias("centre"))
+    centre = best.union(few)
     star = (
         members.join(centre, "band").where("node <> centre")
         .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
