@@ -7,41 +7,45 @@ from pyspark.sql import functions as F
 
 from cartloom.operators.merge import merge_changed
 from cartloom.operators.relational import densify
+from cartloom.sources.tables import whole
 
 REFERENCE, BARCODE = 1, 2
 
 
+def available_quantity() -> Column:
+    """On hand less committed and POS. Each is cut to whole units first; a row that lacks one of them has none available."""
+    return F.coalesce(whole(F.col("on_hand")) - (whole(F.col("committed")) + whole(F.col("pos"))), F.lit(0))
+
+
 def available_stock(
     ext: DataFrame, stock: DataFrame, warehouses: DataFrame, mode: int,
     items: DataFrame | None = None, barcodes: DataFrame | None = None,
 ) -> DataFrame:
-    """On hand less committed and POS, in whole units, per SKU and warehouse.
+    """Available whole units per extension, SKU and warehouse.
 
     Mode 1 takes the SKU from the item reference, mode 2 from the main barcode or, failing
-    that, the barcode table. The warehouse may come from the stock row or the barcode row.
+    that, the barcode table. The barcode's warehouse counts only where the stock row names none,
+    so a quantity is credited once. Extensions of one SKU stay apart: equal quantities are not
+    repeats. Repeats within an extension, from several barcodes of one SKU, are removed.
     """
-    quantity = (
-        F.coalesce("on_hand", F.lit(0)) - (F.coalesce("committed", F.lit(0)) + F.coalesce("pos", F.lit(0)))
-    ).cast("int")
-    levels = stock.select("ext_rowid", F.col("warehouse_rowid").alias("stock_wh"), quantity.alias("available"))
+    levels = stock.select("ext_rowid", F.col("warehouse_rowid").alias("stock_wh"), available_quantity().alias("available"))
     codes = ext if mode == BARCODE else ext.join(
         items.where("reference is not null").select("item_rowid", "reference"), "item_rowid"
     )
     if barcodes is not None:
         codes = codes.join(barcodes.withColumnRenamed("warehouse_rowid", "barcode_wh"), "ext_rowid", "left")
     else:
-        codes = codes.withColumn("barcode", F.lit(None).cast("string"))
+        codes = codes.withColumns({"barcode": F.lit(None).cast("string"), "barcode_wh": F.lit(None).cast("bigint")})
     codes = codes.where("main_barcode is not null or barcode is not null").withColumn(
         "sku", F.col("reference") if mode == REFERENCE else F.coalesce("main_barcode", "barcode")
     )
     wh = warehouses.select("warehouse_rowid", F.col("warehouse_id").alias("warehouse"))
-    # "Warehouse of the stock row or of the barcode row": both candidates of a row become
-    # rows of their own, so the warehouse is an equi join.
-    candidates = F.array("stock_wh", "barcode_wh") if barcodes is not None else F.array("stock_wh")
-    rows = codes.join(levels, "ext_rowid").select(
-        "sku", F.coalesce("available", F.lit(0)).alias("available"), F.explode(F.array_distinct(candidates)).alias("warehouse_rowid")
-    )
-    return rows.join(wh, "warehouse_rowid").select("sku", "warehouse", "available").distinct()
+    # Only the SKU and warehouse of a barcode matter from here on: repeats go before they meet the stock.
+    codes = codes.select("ext_rowid", "sku", "barcode_wh").distinct()
+    rows = codes.join(levels, "ext_rowid").withColumn("warehouse_rowid", F.coalesce("stock_wh", "barcode_wh"))
+    placed = rows.join(wh, "warehouse_rowid").withColumn("own", F.col("stock_wh").isNotNull())
+    # A stock row with a warehouse of its own meets every barcode warehouse of its SKU; one row is enough.
+    return placed.select("ext_rowid", "sku", "warehouse", "own", "available").distinct().drop("own")
 
 
 def total_stock(rows: DataFrame) -> DataFrame:
@@ -60,7 +64,8 @@ def catalogue_stock(
     entries = catalogue.where("inventory_item_id is not null").join(
         warehouses.select("location_id", "warehouse").distinct(), "location_id"
     ).withColumn("warehouse", F.coalesce("warehouse", F.lit(fallback)))
-    levels = total_stock(stock) if match_warehouse else stock.select("sku", "available").distinct()
+    levels = total_stock(stock)
+    levels = levels if match_warehouse else levels.select("sku", "available").distinct()
     on = ["sku", "warehouse"] if match_warehouse else ["sku"]
     return (
         entries.join(levels, on, "left")

@@ -76,37 +76,57 @@ def _quote(v: str | None) -> str:
 # --- stock -------------------------------------------------------------------
 
 
+# Every item has three extensions; a line's number decides which one it sells.
+EXTENSIONS = 3
+
+
 def stock_levels(lines: DataFrame) -> DataFrame:
-    """On-hand, committed and POS quantities per item and warehouse."""
-    q = F.col("l_quantity")
-    return lines.groupBy(F.col("l_partkey").alias("ext_rowid"), F.col("l_suppkey").alias("warehouse_rowid")).agg(
-        F.sum(q).cast("decimal(18,6)").alias("on_hand"),
-        F.sum(F.when(F.col("l_linestatus") == "O", q).otherwise(0)).cast("decimal(18,6)").alias("committed"),
-        F.sum(F.when((F.col("l_linestatus") == "F") & (F.col("l_returnflag") == "R"), q).otherwise(0))
-        .cast("decimal(18,6)").alias("pos"),
+    """On-hand, committed and POS quantities per extension and warehouse, with fractions and gaps.
+
+    Some rows have no POS quantity, some no warehouse.
+    """
+    q, wh = F.col("l_quantity"), F.col("warehouse_rowid")
+    amount = lambda c: c.cast("decimal(18,6)")
+    returned = F.sum(F.when((F.col("l_linestatus") == "F") & (F.col("l_returnflag") == "R"), q).otherwise(0))
+    sums = lines.groupBy(
+        (F.col("l_partkey") * EXTENSIONS + F.pmod("l_linenumber", F.lit(EXTENSIONS))).cast("bigint").alias("ext_rowid"),
+        F.when(F.col("l_suppkey") % 13 != 0, F.col("l_suppkey")).alias("warehouse_rowid"),
+    ).agg(
+        amount(F.sum(q) + 0.5).alias("on_hand"), amount(F.sum(F.when(F.col("l_linestatus") == "O", q).otherwise(0)) + 0.7).alias("committed"),
+        amount(returned).alias("pos"),
     )
+    return sums.withColumn("pos", F.when(wh.isNull() | (wh % 11 != 0), F.col("pos")))
 
 
-LEVELS_SQL = """
-SELECT l_partkey AS ext_rowid, l_suppkey AS warehouse_rowid,
-       CAST(SUM(l_quantity) - SUM(CASE WHEN l_linestatus = 'O' THEN l_quantity ELSE 0 END)
-            - SUM(CASE WHEN l_linestatus = 'F' AND l_returnflag = 'R' THEN l_quantity ELSE 0 END) AS INTEGER) AS available
-FROM lineitem {where} GROUP BY 1, 2
+LEVELS_SQL = f"""
+SELECT CAST(l_partkey * {EXTENSIONS} + l_linenumber % {EXTENSIONS} AS BIGINT) AS ext_rowid,
+       CASE WHEN l_suppkey % 13 <> 0 THEN l_suppkey END AS warehouse_rowid,
+       CAST(trunc(SUM(l_quantity) + 0.5) AS INTEGER) AS on_hand,
+       CAST(trunc(SUM(CASE WHEN l_linestatus = 'O' THEN l_quantity ELSE 0 END) + 0.7) AS INTEGER) AS committed,
+       CAST(trunc(SUM(CASE WHEN l_linestatus = 'F' AND l_returnflag = 'R' THEN l_quantity ELSE 0 END)) AS INTEGER) AS returned,
+       COALESCE(on_hand - (committed + CASE WHEN warehouse_rowid IS NULL OR warehouse_rowid % 11 <> 0 THEN returned END), 0) AS available
+FROM lineitem {{where}} GROUP BY 1, 2
 """
 
 
+def _each_extension(part: DataFrame) -> DataFrame:
+    return part.withColumn("n", F.explode(F.sequence(F.lit(0), F.lit(EXTENSIONS - 1)))).withColumn(
+        "ext_rowid", (F.col("p_partkey") * EXTENSIONS + F.col("n")).cast("bigint")
+    )
+
+
 def extensions(part: DataFrame) -> DataFrame:
     k = F.col("p_partkey")
-    return part.select(
-        k.alias("ext_rowid"), k.alias("item_rowid"),
+    return _each_extension(part).select(
+        "ext_rowid", k.alias("item_rowid"),
         F.when(k % 3 == 0, F.lit(None)).otherwise(F.concat(F.lit("B"), text(k))).alias("main_barcode"),
     )
 
 
 def barcodes(part: DataFrame) -> DataFrame:
     k = F.col("p_partkey")
-    return part.where(k % 2 == 0).select(
-        F.concat(F.lit("X"), text(k)).alias("barcode"), k.alias("ext_rowid"), (k % 10).alias("warehouse_rowid")
+    return _each_extension(part.where(k % 2 == 0)).select(
+        F.concat(F.lit("X"), text(k)).alias("barcode"), "ext_rowid", (k % 10).alias("warehouse_rowid")
     )
 
 

@@ -8,10 +8,10 @@ from cartloom.operators import merge as mg
 from cartloom.operators import relational as rl
 from cartloom.plans import stock as st
 from cartloom.queries.registry import (
-    LEVELS_SQL, SKU_SQL, barcodes, erp_warehouses, extensions, query, stock_levels, table, text,
+    EXTENSIONS, LEVELS_SQL, SKU_SQL, barcodes, erp_warehouses, extensions, query, stock_levels, table, text,
 )
 
-STOCK_COLUMNS = ["l_partkey", "l_suppkey", "l_quantity", "l_linestatus", "l_returnflag"]
+STOCK_COLUMNS = ["l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_linestatus", "l_returnflag"]
 CUT = "1998-07-01"
 
 
@@ -22,12 +22,13 @@ def _levels(spark, sf, where=None):
 
 AVAILABLE_SQL = f"""
 levels AS ({LEVELS_SQL.format(where='')}),
-ext AS (SELECT p_partkey AS ext_rowid, CASE WHEN p_partkey % 3 <> 0 THEN 'B' || p_partkey END AS main_barcode FROM part),
-bars AS (SELECT 'X' || p_partkey AS barcode, p_partkey AS ext_rowid, p_partkey % 10 AS wh FROM part WHERE p_partkey % 2 = 0),
+ext AS (SELECT p_partkey * {EXTENSIONS} + n AS ext_rowid, p_partkey, CASE WHEN p_partkey % 3 <> 0 THEN 'B' || p_partkey END AS main_barcode
+        FROM part, range({EXTENSIONS}) r(n)),
+bars AS (SELECT 'X' || p_partkey AS barcode, ext_rowid, p_partkey % 10 AS wh FROM ext WHERE p_partkey % 2 = 0),
 available AS (
-  SELECT DISTINCT COALESCE(main_barcode, barcode) AS sku, 'W' || s_suppkey AS warehouse, COALESCE(available, 0) AS available
-  FROM ext LEFT JOIN levels USING (ext_rowid) LEFT JOIN bars USING (ext_rowid)
-       JOIN supplier ON levels.ext_rowid IS NOT NULL AND (s_suppkey = bars.wh OR s_suppkey = levels.warehouse_rowid)
+  SELECT ext_rowid, COALESCE(main_barcode, barcode) AS sku, 'W' || s_suppkey AS warehouse, available
+  FROM ext JOIN levels USING (ext_rowid) LEFT JOIN bars USING (ext_rowid)
+       JOIN supplier ON s_suppkey = COALESCE(levels.warehouse_rowid, bars.wh)
   WHERE main_barcode IS NOT NULL OR barcode IS NOT NULL)
 """
 
@@ -40,15 +41,15 @@ def _available(spark, sf):
     )
 
 
-@query(f"WITH {AVAILABLE_SQL} SELECT sku, warehouse, available FROM available")
+@query(f"WITH {AVAILABLE_SQL} SELECT ext_rowid, sku, warehouse, available FROM available")
 def available_stock(spark, sf):
     return _available(spark, sf)
 
 
 @query(f"""
 WITH levels AS ({LEVELS_SQL.format(where='')})
-SELECT DISTINCT 'R' || p_partkey AS sku, 'W' || s_suppkey AS warehouse, available
-FROM part JOIN levels ON p_partkey = ext_rowid JOIN supplier ON s_suppkey = warehouse_rowid
+SELECT ext_rowid, 'R' || p_partkey AS sku, 'W' || s_suppkey AS warehouse, available
+FROM part JOIN levels ON p_partkey = ext_rowid // {EXTENSIONS} JOIN supplier ON s_suppkey = warehouse_rowid
 WHERE p_partkey % 3 <> 0 AND p_partkey % 7 <> 0
 """)
 def available_stock_by_reference(spark, sf):
@@ -76,10 +77,10 @@ def join_either_stock(spark, sf):
 CATALOGUE_SQL = f"""
 catalogue AS (
   SELECT DISTINCT p_partkey + 1000000 AS inventory_item_id, {SKU_SQL} AS sku, l_suppkey + 500 AS location_id
-  FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_linestatus = 'F'
+  FROM lineitem JOIN part ON l_partkey = p_partkey
   UNION SELECT p_partkey + 1000000, {SKU_SQL}, p_partkey % 10 + 500 FROM part),
 shops AS (SELECT s_suppkey + 500 AS location_id, CASE WHEN s_nationkey <> 7 THEN 'W' || s_suppkey END AS warehouse
-          FROM supplier WHERE s_nationkey <> 8),
+          FROM supplier),
 crossed AS (
   SELECT DISTINCT inventory_item_id, c.sku, location_id, COALESCE(shops.warehouse, 'W0') AS warehouse, COALESCE(s.available, 0) AS available
   FROM catalogue c JOIN shops USING (location_id)
@@ -93,7 +94,7 @@ def _catalogue(spark, sf):
     k = F.col("p_partkey")
     sku = F.when(k % 3 != 0, F.concat(F.lit("B"), text(k))).when(k % 2 == 0, F.concat(F.lit("X"), text(k)))
     part = table(spark, sf, "part", "p_partkey")
-    sold = table(spark, sf, "lineitem", "l_partkey", "l_suppkey", "l_linestatus", where=F.col("l_linestatus") == "F")
+    sold = table(spark, sf, "lineitem", "l_partkey", "l_suppkey")
     pairs = sold.select("l_partkey", "l_suppkey").distinct().join(part, F.col("l_partkey") == k)
     listed = pairs.select((k + 1000000).alias("inventory_item_id"), sku.alias("sku"), (F.col("l_suppkey") + 500).alias("location_id"))
     extra = part.select((k + 1000000).alias("inventory_item_id"), sku.alias("sku"), (k % 10 + 500).alias("location_id"))
@@ -102,7 +103,7 @@ def _catalogue(spark, sf):
 
 def _shops(spark, sf):
     s = F.col("s_suppkey")
-    return table(spark, sf, "supplier", "s_suppkey", "s_nationkey", where=F.col("s_nationkey") != 8).select(
+    return table(spark, sf, "supplier", "s_suppkey", "s_nationkey").select(
         (s + 500).alias("location_id"), F.when(F.col("s_nationkey") != 7, F.concat(F.lit("W"), text(s))).alias("warehouse")
     )
 
@@ -115,6 +116,18 @@ def catalogue_stock(spark, sf):
     return st.catalogue_stock(_catalogue(spark, sf), _shops(spark, sf), _available(spark, sf), "W0")
 
 
+@query(f"""
+WITH {AVAILABLE_SQL}, {CATALOGUE_SQL}
+SELECT DISTINCT inventory_item_id, c.sku, location_id, COALESCE(shops.warehouse, 'W0') AS warehouse, COALESCE(s.available, 0) AS available
+FROM catalogue c JOIN shops USING (location_id)
+     LEFT JOIN (SELECT sku, CAST(SUM(available) AS INTEGER) AS available FROM available GROUP BY sku, warehouse) s ON s.sku = c.sku
+WHERE c.sku IS NOT NULL
+""")
+def catalogue_stock_by_sku(spark, sf):
+    """The SKU alone decides: an entry meets the stock of every warehouse of its SKU."""
+    return st.catalogue_stock(_catalogue(spark, sf), _shops(spark, sf), _available(spark, sf), "W0", match_warehouse=False)
+
+
 FLAGSHIP_SQL = f"""
 WITH {AVAILABLE_SQL}, {CATALOGUE_SQL},
 source AS (SELECT sku, warehouse, location_id, inventory_item_id, available FROM (
@@ -124,7 +137,8 @@ state AS (SELECT sku, COALESCE(shops.warehouse, 'W0') AS warehouse, MIN(CASE WHE
           FROM catalogue JOIN shops USING (location_id) WHERE starts_with(sku, 'B') GROUP BY 1, 2)
 SELECT sku, warehouse, source.location_id, source.inventory_item_id, source.available,
        (state.sku IS NOT NULL AND state.available = source.available) AS synced,
-       CASE WHEN state.sku IS NULL THEN 'insert' WHEN state.available <> source.available THEN 'update' ELSE 'keep' END AS action
+       CASE WHEN state.sku IS NULL THEN 'insert' WHEN state.available <> source.available THEN 'update' ELSE 'keep' END AS action,
+       '{{"location_id":' || source.location_id || ',"inventory_item_id":' || source.inventory_item_id || ',"available":' || source.available || '}}' AS payload
 FROM source LEFT JOIN state USING (sku, warehouse)
 """
 
@@ -147,7 +161,7 @@ def stock_sync(spark, sf):
         "available", F.lit(True).alias("synced"), F.lit("2024-01-01").cast("timestamp").alias("synced_at"),
     )
     return st.sync_stock(state, crossed).select(
-        "sku", "warehouse", "location_id", "inventory_item_id", "available", "synced", "action"
+        "sku", "warehouse", "location_id", "inventory_item_id", "available", "synced", "action", "payload"
     )
 
 
@@ -157,8 +171,7 @@ def _merge_sides(spark, sf):
     after = _levels(spark, sf, F.col("l_shipdate") >= F.lit(CUT).cast("timestamp_ntz"))
 
     def shape(df):
-        q = (F.col("on_hand") - F.col("committed") - F.col("pos")).cast("int")
-        return df.select(F.col("ext_rowid").alias("item"), F.col("warehouse_rowid").alias("warehouse"), q.alias("available"))
+        return df.select(F.col("ext_rowid").alias("item"), F.col("warehouse_rowid").alias("warehouse"), st.available_quantity().alias("available"))
 
     state = shape(before).withColumn("synced", F.lit(True)).withColumn("synced_at", F.lit("2024-01-01").cast("timestamp"))
     return state, shape(after)

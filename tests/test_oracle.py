@@ -25,7 +25,7 @@ def test_matches_sql(spark, con, name, fn):
 
 def test_entry(spark):
     df = entry.entry(spark)
-    assert df.columns == ["sku", "warehouse", "location_id", "inventory_item_id", "available", "synced", "action"]
+    assert df.columns == ["sku", "warehouse", "location_id", "inventory_item_id", "available", "synced", "action", "payload"]
     assert df.take(1)
 
 
