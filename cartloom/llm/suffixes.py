@@ -1,9 +1,9 @@
 """Suffix-array dedup: remove bytes covered by a 50-byte string that also starts in a document with a smaller id.
 
-Only suffixes that can matter are sorted. Content-defined anchors (the least hash among the 24-byte strings of a window)
+Only suffixes that can matter are sorted. Content-defined anchors (the least hash among the 32-byte strings of a window)
 tell which windows may repeat at all and settle those that repeat together with their surroundings; the suffixes left, at
 the borders of repeats, are range-partitioned by splitters sampled from all texts, sorted in their bucket by multikey
-quicksort - by their leading eight bytes, then, where these tie, by the digest of the other 42 - and compared with their
+quicksort - by their leading four bytes, then, where these tie, by the digest of the other 46 - and compared with their
 neighbours. Splitters are whole keys, so a run of equal suffixes is never cut by a bucket border and leading bytes that are
 very common spread over several buckets.
 """
@@ -20,8 +20,8 @@ from cartloom.llm import common as C
 from cartloom.llm import repeats as R
 
 WINDOW = 50
-GRAM = 24
-LEAD = 8
+GRAM = 32
+LEAD = 4
 SAMPLES_PER_BUCKET = 20
 
 
@@ -79,7 +79,7 @@ def byte_anchors(window: int, gram: int, data: np.ndarray, offsets: np.ndarray):
 
 
 def leading(data: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The eight bytes from each position as a number that sorts like them."""
+    """The four bytes from each position as a number that sorts like them."""
     out = np.zeros(len(at), np.uint64)
     for j in range(LEAD):
         out = (out << C.U64(8)) | data[at + j]
