@@ -60,7 +60,13 @@ def join_text(*parts: Column) -> Column:
 
 
 def pad_left(c: Column, width: int, fill: str = "0") -> Column:
-    """Keep the last ``width`` characters after padding on the left."""
+    """Pad on the left to at least ``width`` characters; a longer value stays whole, so keys never collide."""
+    value = F.trim(c.cast("string"))
+    return F.when(F.length(value) >= width, value).otherwise(F.lpad(value, width, fill))
+
+
+def fixed_width(c: Column, width: int, fill: str = "0") -> Column:
+    """The last ``width`` characters after padding on the left, for fields of fixed width; not for keys."""
     return F.right(F.concat(F.lit(fill * width), F.trim(c.cast("string"))), F.lit(width))
 
 

@@ -82,9 +82,11 @@ def append_new(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFra
 def upsert_snapshot(
     target: DataFrame, batch: DataFrame, keys: list[str], value: str, ts: str
 ) -> tuple[DataFrame, DataFrame]:
-    """Next snapshot and the rejected rows. Negative values are rejected; the newest row wins."""
-    rejects = batch.where(F.col(value) < 0).withColumn("reject_reason", F.lit("negative quantity"))
-    good = batch.where(F.col(value) >= 0)
+    """Next snapshot and the rejected rows. Negative and missing values are rejected; the newest row wins."""
+    usable = F.coalesce(F.col(value) >= 0, F.lit(False))
+    reason = F.when(F.col(value).isNull(), F.lit("missing quantity")).otherwise(F.lit("negative quantity"))
+    rejects = batch.where(~usable).withColumn("reject_reason", reason)
+    good = batch.where(usable)
     newest = good.groupBy(*keys).agg(F.max(F.struct(ts, value)).alias("__n")).select(
         *keys, F.col(f"__n.{value}").alias("__value"), F.col(f"__n.{ts}").alias("__ts")
     )

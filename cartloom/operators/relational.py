@@ -30,13 +30,15 @@ def semi_filter(df: DataFrame, keys: DataFrame, on) -> DataFrame:
     return df.join(keys, on, "left_semi")
 
 
-def join_either(left: DataFrame, right: DataFrame, conditions: list[Column]) -> DataFrame:
-    """Distinct inner join on "any of these equalities holds".
+def join_either(left: DataFrame, right: DataFrame, keys: list[str], key: str) -> DataFrame:
+    """Inner join on "any of the left's ``keys`` equals the right's ``key``", each pair once.
 
-    One equi join per condition, then a distinct union: an OR in the condition would
-    force a nested loop.
+    The candidate keys of a row become rows of their own and meet the other side in one equi
+    join: an OR in the condition would force a nested loop. Equal candidates of a row count once.
     """
-    return reduce(DataFrame.union, [left.join(right, c) for c in conditions]).distinct()
+    candidates = F.array_distinct(F.array(*[F.col(k) for k in keys]))
+    spread = left.withColumn("__key", F.explode(candidates)).where("__key is not null")
+    return spread.join(right, F.col("__key") == F.col(key)).drop("__key")
 
 
 def reconcile(left: DataFrame, right: DataFrame, on: list[str], value: str) -> DataFrame:

@@ -13,7 +13,6 @@ from cartloom.functions import codes as cd
 from cartloom.functions import text as tx
 from cartloom.operators.relational import lookup_by_ambiguity
 from cartloom.plans.places import CODES, resolve_location
-from cartloom.session import settle
 from cartloom.sources.schemas import CUSTOMER_LAYOUT, PARTY_LAYOUT, contract, document_text, fit
 
 
@@ -101,9 +100,7 @@ def party_fields(orders: DataFrame, places: DataFrame, cfg: PartyConfig) -> Data
     kinds = flat.withColumn("id_kind", cd.id_kind(F.col("party_id"), cfg.id_kind)).withColumn(
         "party_kind", F.when(F.col("id_kind") == "N", F.lit("2")).otherwise(F.lit(cfg.party_kind))
     )
-    # The place lookup reads its input twice. Settled, the flat fields are read again
-    # instead of the documents being parsed again.
-    flat_fields = settle(kinds.select("order_id", F.col("doc.name").alias("order_name"), *PARTY_FIELDS))
+    flat_fields = kinds.select("order_id", F.col("doc.name").alias("order_name"), *PARTY_FIELDS)
     located = resolve_location(flat_fields, places, "country", "state", "city", cfg.defaults)
     return located.withColumn("surname1", tx.first_surname(F.col("surnames"))).withColumn(
         "surname2", tx.other_surnames(F.col("surnames"))
@@ -252,7 +249,7 @@ def build_marketplace_party_docs(orders: DataFrame, places: DataFrame, cfg: Mark
     known = places.select(
         tx.fold(F.col("city_name")).alias("city"), tx.fold(F.col("state_name")).alias("state"), *CODES
     )
-    flat = settle(marketplace_party(orders).select("order_id", *MARKETPLACE_FIELDS))
+    flat = marketplace_party(orders).select("order_id", *MARKETPLACE_FIELDS)
     rows = lookup_by_ambiguity(flat, known, "city", "state", CODES)
     c = F.col
     person = c("party_kind") == "1"

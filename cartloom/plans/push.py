@@ -23,11 +23,21 @@ def pending_stock(state: DataFrame, warehouses: DataFrame) -> DataFrame:
     return state.where(~F.col("synced")).join(active, "warehouse", "left_semi")
 
 
+def flag_eligible(pending: DataFrame, checks: DataFrame) -> DataFrame:
+    """Pending rows with ``ok``: whether their latest location check holds. Each side is read once.
+
+    The newest check decides, so an item whose good check was followed by a bad one is skipped.
+    """
+    on = ["inventory_item_id", "location_id"]
+    good = latest_valid(checks, on, "checked_at", [], F.col("stocked") & F.col("error").isNull())
+    flagged = pending.join(good.select(*on, F.lit(True).alias("ok")), on, "left")
+    return flagged.withColumn("ok", F.coalesce("ok", F.lit(False)))
+
+
 def eligible_split(pending: DataFrame, checks: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Pending rows whose latest location check holds, and the rest."""
-    on = ["inventory_item_id", "location_id"]
-    good = latest_valid(checks, on, "checked_at", [], F.col("stocked") & F.col("error").isNull()).select(*on)
-    return pending.join(good, on, "left_semi"), pending.join(good, on, "left_anti")
+    flagged = flag_eligible(pending, checks)
+    return flagged.where("ok").drop("ok"), flagged.where("not ok").drop("ok")
 
 
 def to_batches(df: DataFrame, size: int, order: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:

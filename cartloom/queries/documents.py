@@ -8,13 +8,14 @@ from cartloom.plans import orders as od
 from cartloom.queries.registry import (
     LINES_SQL, PARTS_SQL, order_texts, query, table, text,
 )
-from cartloom.sources.schemas import ORDER_A
+from cartloom.sources.schemas import ORDER_A, only
 from cartloom.sources.tables import parse_documents
 
 
-def parsed_orders(spark, sf):
-    """Readable order documents, one row each."""
-    return parse_documents(order_texts(spark, sf), "document", ORDER_A).where("reject_reason is null")
+def parsed_orders(spark, sf, *fields):
+    """Readable order documents, one row each, with the named fields or all."""
+    schema = only(ORDER_A, *fields) if fields else ORDER_A
+    return parse_documents(order_texts(spark, sf), "document", schema).where("reject_reason is null")
 
 
 DOCS_SQL = f"lines AS ({LINES_SQL}), docs AS ({PARTS_SQL})"

@@ -192,7 +192,7 @@ def eav_wide(spark, sf):
 
 
 @query("""
-SELECT '01 ' || lpad(CAST(o_orderkey AS VARCHAR), 8, '0') AS reference, o_orderstatus, count(*) AS n
+SELECT '01 ' || lpad(CAST(o_orderkey AS VARCHAR), CAST(greatest(8, length(CAST(o_orderkey AS VARCHAR))) AS INTEGER), '0') AS reference, o_orderstatus, count(*) AS n
 FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1, 2
 """)
 def computed_key_join(spark, sf):
@@ -360,6 +360,6 @@ def scalar_lookup(spark, sf):
     best = table(spark, sf, "lineitem", "l_suppkey", "l_quantity").groupBy(F.col("l_suppkey").alias("s_suppkey")).agg(
         F.max("l_quantity").cast("bigint").alias("top")
     )
-    table(spark, sf, "nation", "n_nationkey").createOrReplaceTempView("cartloom_nation")
+    nations = table(spark, sf, "nation", "n_nationkey").agg(F.count(F.lit(1)))
     rows = table(spark, sf, "supplier", "s_suppkey", "s_name").join(best, "s_suppkey", "left")
-    return rows.selectExpr("s_suppkey", "s_name", "top", "(SELECT count(*) FROM cartloom_nation) AS nations")
+    return rows.select("s_suppkey", "s_name", "top", nations.scalar().alias("nations"))

@@ -12,7 +12,7 @@ from cartloom.queries.registry import (
     CENTS_SQL, LINES_SQL, NATIONS_SQL, PEOPLE_SQL, PRICE_CENTS_SQL, QTY_SQL, order_name, paged_lines, people, query, run_ts,
     table, text, unit_price,
 )
-from cartloom.sources.schemas import ORDER_B, ORDER_C
+from cartloom.sources.schemas import ORDER_B, ORDER_C, only
 from cartloom.sources.tables import parse_documents
 
 CFG = OrderConfig(price_type="decimal(18,2)", discount_type="decimal(18,4)")
@@ -303,7 +303,7 @@ def minor_unit_order_docs(spark, sf):
 # --- marketplace dialect -----------------------------------------------------
 
 
-def marketplace_orders(spark, sf):
+def marketplace_orders(spark, sf, *fields):
     """Parsed marketplace documents: checkout items, warehouse name, external number."""
     key = F.col("o_orderkey")
     kind = F.when(F.col("l_partkey") % 3 == 0, F.lit("Laptop HP")).when(F.col("l_partkey") % 3 == 1, F.lit("apple phone")).otherwise(F.lit("Other"))
@@ -332,7 +332,7 @@ def marketplace_orders(spark, sf):
         F.col("CheckoutItems"),
     )
     texts = rows.select(order_name(key, F.col("part")).alias("order_id"), "o_orderkey", "o_custkey", F.to_json(body).alias("document"))
-    return parse_documents(texts, "document", ORDER_C).where("reject_reason is null")
+    return parse_documents(texts, "document", only(ORDER_C, *fields) if fields else ORDER_C).where("reject_reason is null")
 
 
 @query(f"""

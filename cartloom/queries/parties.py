@@ -12,6 +12,9 @@ from cartloom.queries.joins import fold_sql
 from cartloom.queries.orders import marketplace_orders, profile_orders
 from cartloom.queries.registry import LINES_SQL, NATIONS_SQL, PARTS_SQL, PEOPLE_SQL, PLACES_SQL, people, places, query, run_ts
 
+# What party jobs read of an order document.
+PARTY_FIELDS = ("name", "currency", "customer", "billing_address", "shipping_address")
+
 CFG = PartyConfig(
     taxes=(TaxRow("46", "1", "1"), TaxRow("47", "1", "1")),
     entities=(EntityRow("FE TERCERO", "EUNOECO017", "co017_codigo_regimen", "MUNOECO016", "49"),),
@@ -58,7 +61,7 @@ FROM i
 """)
 def party_docs(spark, sf):
     """Party documents read back field by field; orders without an id give none."""
-    built = pt.build_party_docs(parsed_orders(spark, sf), places(spark, sf), CFG)
+    built = pt.build_party_docs(parsed_orders(spark, sf, *PARTY_FIELDS), places(spark, sf), CFG)
     doc = built.select("idOrden", F.from_json("json", PARTY_DOC).alias("d"))
     p, c = F.get("d.Terceros", F.lit(0)), F.get("d.Clientes", F.lit(0))
     return doc.select(
@@ -162,7 +165,7 @@ SELECT order_name AS order_id, CASE WHEN firm THEN left(regexp_replace(company,
 FROM docs JOIN w ON o_custkey = c_custkey WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)
 """)
 def marketplace_party_docs(spark, sf):
-    built = pt.build_marketplace_party_docs(marketplace_orders(spark, sf), places(spark, sf), MarketplaceConfig(), run_ts())
+    built = pt.build_marketplace_party_docs(marketplace_orders(spark, sf, "origin", "Client"), places(spark, sf), MarketplaceConfig(), run_ts())
     doc = built.select("idOrden", F.from_json("json", MARKETPLACE_PARTY).alias("d"))
     p = F.get("d.Terceros", F.lit(0))
     return doc.select(

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from cartloom.plans import labels as lb
 from cartloom.plans import products as pd
+from cartloom.functions.text import pad_left
 from cartloom.queries.registry import NATIONS_SQL, PEOPLE_SQL, people, query, run_ts, table, text
 
 
@@ -76,7 +77,7 @@ def product_docs_eav(spark, sf):
         F.when(f == "A", F.concat(F.lit("long "), o)).when(f == "N", F.concat(F.lit(" short "), o, F.lit("\n"))).otherwise(F.concat(F.lit("k-"), o)).alias("text_value"),
     )
     categories = spark.createDataFrame([("Promo!",), ("lar-ge",), ("SMÁLL",)], "name string")
-    known = part.where("p_brand = 'Brand#3'").select(F.lpad(text(k), 7, "0").alias("ref_id"))
+    known = part.where("p_brand = 'Brand#3'").select(pad_left(k, 7).alias("ref_id"))
     docs = pd.product_docs_eav(
         items, classes, {"15": "department", "10": "category", "60": "brand"}, attributes,
         {"A": "long_text", "N": "short_text", "R": "key_words"}, categories, known,
@@ -94,12 +95,12 @@ def _labels(spark, sf):
     orders = table(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
     who = people(spark, sf)
     shop = orders.where("o_orderstatus = 'P'").join(who, F.col("o_custkey") == F.col("c_custkey")).select(
-        F.concat(F.lit("v"), F.lpad(text(k), 8, "0")).alias("order_id"), (k % 6).cast("int").alias("attempts"),
+        F.concat(F.lit("v"), pad_left(k, 8)).alias("order_id"), (k % 6).cast("int").alias("attempts"),
         F.when(k % 3 == 0, F.lit("Contra-entrega")).otherwise(F.lit("Coordinadora")).alias("delivery"), F.col("company").alias("party_id"),
         "name", F.concat_ws(" ", "address1", "address2").alias("address"), F.lit("05001000").alias("city"), "phone",
     )
     invoices = orders.select(
-        k.alias("invoice_id"), F.concat(F.lit("OrderId: v"), F.lpad(text(k), 8, "0"), F.lit(" Tienda: X")).alias("notes"),
+        k.alias("invoice_id"), F.concat(F.lit("OrderId: v"), pad_left(k, 8), F.lit(" Tienda: X")).alias("notes"),
         F.concat(F.lit("147-FE-"), text(k + 5)).alias("invoice_number"),
     )
     sender = {"id_cliente": "100", "nombre_remitente": "Shop & Sons", "direccion_remitente": "Main 1"}
@@ -108,7 +109,7 @@ def _labels(spark, sf):
 
 @query(f"""
 WITH nations AS ({NATIONS_SQL}), people AS ({PEOPLE_SQL})
-SELECT 'v' || lpad(CAST(o_orderkey AS VARCHAR), 8, '0') AS order_id, '147-FE-' || (o_orderkey + 5) AS invoice_number, '22' AS service,
+SELECT 'v' || lpad(CAST(o_orderkey AS VARCHAR), CAST(greatest(8, length(CAST(o_orderkey AS VARCHAR))) AS INTEGER), '0') AS order_id, '147-FE-' || (o_orderkey + 5) AS invoice_number, '22' AS service,
        replace(phone, '+57', '') AS phone, left('Entregar a: ' || name || ' Factura: 147-FE-' || (o_orderkey + 5), 85) AS remarks, 'Shop & Sons' AS sender
 FROM orders JOIN people ON o_custkey = c_custkey WHERE o_orderstatus = 'P' AND o_orderkey % 6 <= 3 AND o_orderkey % 3 = 0
 """)
@@ -126,7 +127,7 @@ def label_xml(spark, sf):
 
 
 @query("""
-SELECT 'v' || lpad(CAST(o_orderkey AS VARCHAR), 8, '0') AS order_id, 8 AS state, 0 AS attempts FROM orders
+SELECT 'v' || lpad(CAST(o_orderkey AS VARCHAR), CAST(greatest(8, length(CAST(o_orderkey AS VARCHAR))) AS INTEGER), '0') AS order_id, 8 AS state, 0 AS attempts FROM orders
 WHERE o_orderstatus = 'P' AND o_orderkey % 6 <= 3 AND o_orderkey % 3 <> 0
 """)
 def label_skips(spark, sf):

@@ -52,9 +52,8 @@ split AS (SELECT p.*, EXISTS (SELECT 1 FROM good WHERE i = inventory_item_id AND
 
 @query(f"WITH {PUSH_SQL} SELECT inventory_item_id, location_id, available, l_orderkey, l_linenumber, ok FROM split")
 def eligible_split(spark, sf):
-    ok, skipped = ps.eligible_split(_pending(spark, sf), _checks(spark, sf))
-    cols = ["inventory_item_id", "location_id", "available", "l_orderkey", "l_linenumber"]
-    return ok.select(*cols, F.lit(True).alias("ok")).union(skipped.select(*cols, F.lit(False).alias("ok")))
+    flagged = ps.flag_eligible(_pending(spark, sf), _checks(spark, sf))
+    return flagged.select("inventory_item_id", "location_id", "available", "l_orderkey", "l_linenumber", "ok")
 
 
 BATCH_ORDER = ["l_orderkey", "l_linenumber", "inventory_item_id", "location_id", "available"]

@@ -70,7 +70,7 @@ def join_either_stock(spark, sf):
         "l_orderkey", "l_suppkey", (F.col("l_orderkey") % 100).alias("other"), F.col("l_quantity").cast("bigint").alias("quantity")
     )
     supplier = table(spark, sf, "supplier", "s_suppkey")
-    both = rl.join_either(lines, supplier, [F.col("s_suppkey") == F.col("l_suppkey"), F.col("s_suppkey") == F.col("other")])
+    both = rl.join_either(lines, supplier, ["l_suppkey", "other"], "s_suppkey")
     return both.select("l_orderkey", "quantity", "s_suppkey").distinct()
 
 

@@ -53,12 +53,12 @@ def split_surname(spark, sf):
 
 
 @query("""
-SELECT p_partkey, right('0000000' || p_partkey, 7) AS ref_id, right('00' || (p_partkey * 37), 2) AS short_id FROM part
+SELECT p_partkey, lpad(CAST(p_partkey AS VARCHAR), CAST(greatest(7, length(CAST(p_partkey AS VARCHAR))) AS INTEGER), '0') AS ref_id, right('00' || (p_partkey * 37), 2) AS short_id FROM part
 """)
 def pad_right(spark, sf):
     k = F.col("p_partkey")
     return table(spark, sf, "part", "p_partkey").select(
-        "p_partkey", tx.pad_left(k, 7).alias("ref_id"), tx.pad_left(k * 37, 2).alias("short_id")
+        "p_partkey", tx.pad_left(k, 7).alias("ref_id"), tx.fixed_width(k * 37, 2).alias("short_id")
     )
 
 

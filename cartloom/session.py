@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Runtime settings every dataflow relies on. They are read back before being set,
-# so a cluster that already chose a value keeps it.
+# Results depend on the time zone, so it is set whatever the cluster chose.
+TIME_ZONE = ("spark.sql.session.timeZone", "UTC")
+# Performance settings; a cluster that already chose a value keeps it.
 RUNTIME_DEFAULTS = {
-    "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join partition even when a later step wants the same partitioning.
@@ -19,9 +20,11 @@ RUNTIME_DEFAULTS = {
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Fix the time zone and let AQE split hot join partitions."""
+    """Fix the time zone and, where nothing is set, let AQE split hot join partitions."""
+    spark.conf.set(*TIME_ZONE)
+    chosen = spark.conf.getAll
     for key, value in RUNTIME_DEFAULTS.items():
-        if spark.conf.get(key, None) != value:
+        if key not in chosen:
             spark.conf.set(key, value)
     return spark
 
@@ -42,11 +45,17 @@ def local_session(app: str = "cartloom", cpus: str | int = "*", partitions: int
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared checkpoint folder the cluster names; a scratch one only if none is set."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """The shared checkpoint folder that the cluster names in spark.checkpoint.dir.
+
+    Only a session that runs in one process may do without: it gets a scratch folder of its own.
+    """
+    folder = spark.sparkContext.getCheckpointDir()
     if folder is None:
-        folder = tempfile.mkdtemp(prefix="cartloom-ckpt-")
-    if spark.sparkContext.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None:
+            if not re.match(r"local(\[|$)", spark.sparkContext.master):
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+            folder = tempfile.mkdtemp(prefix="cartloom-checkpoints-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder
 

@@ -50,6 +50,21 @@ ORDER_C = (
     "Product: struct<name: string>>, CheckoutItemDiscounts: array<struct<discount: string>>>>"
 )
 
+
+
+def only(schema: str, *names: str) -> str:
+    """The named top-level fields of a document schema: a job parses what it reads and nothing else."""
+    depth, field, fields = 0, "", []
+    for ch in schema + ",":
+        depth += (ch == "<") - (ch == ">")
+        if ch == "," and depth == 0:
+            fields.append(field.strip())
+            field = ""
+        else:
+            field += ch
+    return ", ".join(f for f in fields if f.split()[0] in names)
+
+
 # The columns of the result every document job hands to the integrator.
 DOCUMENT_SCHEMA = "idDocumento int, indicaParalelismo boolean, descripcion string, idOrden string, json string"
 

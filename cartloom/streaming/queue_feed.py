@@ -8,8 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from cartloom.session import checkpoint_folder
-
 
 def follow_queue(spark: SparkSession, path: str, schema: str, state: int, max_attempts: int) -> DataFrame:
     """New queue rows as a stream, already gated by state and attempts."""
@@ -17,16 +15,16 @@ def follow_queue(spark: SparkSession, path: str, schema: str, state: int, max_at
     return rows.where((F.col("state") == state) & (F.col("attempts") <= max_attempts))
 
 
-def drain(feed: DataFrame, build: Callable[[DataFrame], DataFrame], out: str, name: str) -> StreamingQuery:
+def drain(feed: DataFrame, build: Callable[[DataFrame], DataFrame], out: str, progress: str) -> StreamingQuery:
     """Build and write the documents of everything that has arrived, then stop.
 
     Each batch owns one folder, so a batch that is run again after a failure replaces its
-    own output and nothing else. Progress is kept in the shared checkpoint folder.
+    own output and nothing else. ``progress`` is a lasting folder of this feed alone: it remembers
+    what has been issued, so a restarted feed issues no order twice.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         build(batch).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
-    progress = f"{checkpoint_folder(feed.sparkSession)}/feeds/{name}"
     return (
         feed.writeStream.foreachBatch(write).option("checkpointLocation", progress).trigger(availableNow=True).start()
     )

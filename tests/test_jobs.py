@@ -1,7 +1,6 @@
 """Whole jobs: configured order and party documents, and the polled queue."""
 
 import json
-import uuid
 
 from pyspark.sql import functions as F
 
@@ -82,10 +81,10 @@ def test_polled_queue_writes_every_order_once(spark, tmp_path):
         docs = parse_documents(batch, "document", ORDER_A).where("reject_reason is null")
         return od.build_order_docs(docs, OrderConfig(), now())
 
-    name, out = f"feed-{uuid.uuid4().hex}", str(tmp_path / "out")
+    progress, out = str(tmp_path / "progress"), str(tmp_path / "out")
 
     def run():
-        drain(follow_queue(spark, str(tmp_path / "in"), schema, 2, 3), build, out, name).awaitTermination(120)
+        drain(follow_queue(spark, str(tmp_path / "in"), schema, 2, 3), build, out, progress).awaitTermination(120)
         return sorted(r.idOrden for r in spark.read.parquet(out).select(F.col("idOrden")).collect())
 
     arrive([("#1", 0), ("#2", 4)])
