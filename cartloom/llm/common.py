@@ -9,7 +9,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
+
+from cartloom.session import checkpoint_folder, settle  # noqa: F401
 
 U64 = np.uint64
 CHUNK_BYTES = 1 << 21
@@ -135,21 +137,6 @@ def ngram_codes(codes: np.ndarray, n: int) -> np.ndarray:
     return mix(out)
 
 
-def checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder that the cluster names in spark.checkpoint.dir; without one, what the session has set."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if spark.sparkContext.getCheckpointDir() is None:
-        if folder is None:
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        spark.sparkContext.setCheckpointDir(folder)
-
-
-def settle(df: DataFrame) -> DataFrame:
-    """Rows written to the shared checkpoint folder, so a lost executor costs a reread and not a recomputation."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
-
-
 def release(spark: SparkSession, rounds: int = 2, wait: float = 0.7) -> None:
     """Let Spark's cleaner drop shuffle files of finished rounds; they would stay until the driver happens to collect.
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from cartloom.llm import common as C
 
-SAMPLE_ROWS = 5000
+SAMPLE_ROWS = 2500
 ORDER = 6
 CLASS_FROM = 4
 DISCOUNT = 0.75
@@ -32,11 +32,10 @@ FEATURES = 6
 
 def _pieces(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Symbols of all words with marks before and after, the word of each, and the place in the word."""
-    size = np.array([len(w) for w in words], np.int64)
-    joined = b"".join([b"\x02" + w + b"\x03" for w in words])
-    symbols = np.frombuffer(joined, np.uint8)
-    of = np.repeat(np.arange(len(words)), size + 2)
-    place = np.arange(len(symbols)) - np.repeat(np.cumsum(size + 2) - (size + 2), size + 2)
+    size = np.array([len(w) + 2 for w in words], np.int32)
+    symbols = np.frombuffer(b"".join([b"\x02" + w + b"\x03" for w in words]), np.uint8)
+    of = np.repeat(np.arange(len(words), dtype=np.int32), size)
+    place = np.arange(len(symbols), dtype=np.int32) - np.repeat((np.cumsum(size) - size).astype(np.int32), size)
     return symbols, of, place
 
 
