@@ -132,10 +132,10 @@ def mix_sources(documents: DataFrame, max_repeats: int = MAX_REPEATS, seed: int
     digest = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     base = C.settle(small.select(F.struct("doc_id", "__text", "__nth").alias("doc_id"), "source", "size", digest.alias("digest")))
     planned = _positions(base, max_repeats, seed).where("copies > 0")
-    copies = planned.select(*[F.col(f"doc_id.{c}").alias(f"{c}_") for c in ("doc_id", "__text", "__nth")], F.col("source").alias("source_"), "copies")
+    copies = planned.select(*[F.col(f"doc_id.{c}").alias(f"{c}_") for c in ("doc_id", "__text", "__nth")], F.col("source").alias("source_"), F.col("copies").alias("__copies"))
     rows = numbered.withColumn("__nth", nth)
     on = [rows[c].eqNullSafe(copies[f"{c}_"]) for c in ("doc_id", "source", "__text", "__nth")]
-    mixed = rows.join(copies, on).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    mixed = rows.join(copies, on).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
     return mixed.select(*[F.col(f"`{c}`") for c in documents.columns])
 
 
