@@ -7,12 +7,12 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartloom.llm.common import checkpoint_dir
 from cartloom.llm.decontaminate import find_benchmark_words
 from cartloom.llm.minhash import near_duplicates
 from cartloom.llm.mixture import mix_sources
 from cartloom.llm.suffixes import remove_repeated_bytes
 from cartloom.llm.toxicity import THRESHOLD, score_toxicity, train
+from cartloom.session import checkpoint_folder
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,8 +60,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``; what lies between goes to the shared checkpoint folder."""
-    checkpoint_dir(spark)
-    folder = f"{spark.sparkContext.getCheckpointDir()}/pipeline-{uuid.uuid4().hex}"
+    folder = f"{checkpoint_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for i, (_, stage) in enumerate(STAGES):
         path = f"{folder}/{i}"
