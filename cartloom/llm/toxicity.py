@@ -124,20 +124,44 @@ class KneserNey:
         return np.bincount(of, np.where(place > 0, logs[1] - logs[0], 0.0), len(words))
 
 
-def text_features(column: pa.Array, model: KneserNey) -> np.ndarray:
+class WordRatios:
+    """Ratios of the words met so far, so that a task scores each different word once; beyond ``room`` words it starts anew."""
+
+    def __init__(self, model: KneserNey, room: int = 1 << 20):
+        self.model, self.room = model, room
+        self.codes, self.ratios = np.zeros(0, np.uint64), np.zeros(0)
+
+    def of(self, codes: np.ndarray, raw: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Ratio of every word, given its code and its place in raw."""
+        kinds, first, back = np.unique(codes, return_index=True, return_inverse=True)
+        at = np.searchsorted(self.codes, kinds)
+        new = np.ones(len(kinds), bool)
+        within = at < len(self.codes)
+        new[within] = self.codes[at[within]] != kinds[within]
+        ratio = np.zeros(len(kinds))
+        ratio[~new] = self.ratios[at[~new]]
+        words, owner = [], []
+        for k, (s, e) in enumerate(zip(starts[first[new]].tolist(), ends[first[new]].tolist())):
+            for j in range(s, e, WORD_BYTES):
+                words.append(raw[j : min(j + WORD_BYTES, e)])
+                owner.append(k)
+        if words:
+            ratio[new] = np.bincount(owner, self.model.ratio(words), int(new.sum()))
+            if len(self.codes) + len(words) > self.room:
+                self.codes, self.ratios = kinds, ratio
+            else:
+                self.codes = np.insert(self.codes, at[new], kinds[new])
+                self.ratios = np.insert(self.ratios, at[new], ratio[new])
+        return ratio[back]
+
+
+def text_features(column: pa.Array, ratios: WordRatios) -> np.ndarray:
     """Features of every text; texts without words have none but the constant."""
     data, offsets = C.buffers(column)
     out = []
-    for _, _, part, offs in C.chunks(data, offsets, 1 << 24):
+    for _, _, part, offs in C.chunks(data, offsets):
         codes, starts, ends, at = C.word_codes(part, offs, C.SPACED, C.LOWER)
-        kinds, first, back = np.unique(codes, return_index=True, return_inverse=True)
-        raw = C.LOWER[part].tobytes()
-        words, owner = [], []
-        for k, i in enumerate(first.tolist()):
-            for j in range(int(starts[i]), int(ends[i]), WORD_BYTES):
-                words.append(raw[j : min(j + WORD_BYTES, int(ends[i]))])
-                owner.append(k)
-        ratio = np.bincount(np.array(owner, np.int64), model.ratio(words), len(kinds))[back] if words else np.zeros(0)
+        ratio = ratios.of(codes, C.LOWER[part].tobytes(), starts, ends)
         size = np.diff(at)
         doc = np.repeat(np.arange(len(size)), size)
         bytes_ = np.bincount(doc, (ends - starts) + 1.0, len(size))
@@ -218,8 +242,8 @@ class Classifier:
     model: KneserNey
     weights: np.ndarray
 
-    def score(self, column: pa.Array) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(text_features(column, self.model) @ self.weights, -30, 30)))
+    def score(self, column: pa.Array, ratios: WordRatios) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(text_features(column, ratios) @ self.weights, -30, 30)))
 
 
 def train(documents: DataFrame, labels: DataFrame, text: str = "text", ident: str = "doc_id", label: str = "toxic", sample_rows: int = SAMPLE_ROWS) -> Classifier:
@@ -234,9 +258,10 @@ def train(documents: DataFrame, labels: DataFrame, text: str = "text", ident: st
     halves = rows.sparkSession.sparkContext.broadcast([KneserNey.fit(words, n[:, 2], n[:, 3]), KneserNey.fit(words, n[:, 0], n[:, 1])])
 
     def run(batches):
+        ratios = [WordRatios(m) for m in halves.value]
         for batch in batches:
             fold = batch.column(1).to_numpy(False)
-            both = [text_features(batch.column(2), m) for m in halves.value]
+            both = [text_features(batch.column(2), r) for r in ratios]
             f = np.where((fold == 0)[:, None], both[0], both[1])
             yield pa.RecordBatch.from_arrays([batch.column(0)] + [pa.array(f[:, j]) for j in range(FEATURES)], names=["y"] + [f"f{j}" for j in range(FEATURES)])
 
@@ -263,8 +288,9 @@ def score_toxicity(documents: DataFrame, classifier: Classifier, text: str = "te
     at = docs.columns.index(text)
 
     def run(batches):
+        ratios = WordRatios(shipped.value.model)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays(batch.columns + [pa.array(shipped.value.score(batch.column(at)))], names=batch.schema.names + [score])
+            yield pa.RecordBatch.from_arrays(batch.columns + [pa.array(shipped.value.score(batch.column(at), ratios))], names=batch.schema.names + [score])
 
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema] + [f"`{score}` double"])
     return docs.mapInArrow(run, schema)
