@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartloom.operators.skew import HOT_ROWS, page_rows
+from cartloom.operators.skew import page_rows
 
 
 class EmptySource(ValueError):
@@ -140,14 +140,14 @@ def eav_wide(items: DataFrame, attributes: DataFrame, on: list[str], name: str,
 
 def nest(
     parents: DataFrame, children: DataFrame, on: list[str], order: list[str], fields: list[str],
-    name: str, size: int = 1000, hot_rows: int = HOT_ROWS,
+    name: str, size: int = 1000, ranges: int | None = None,
 ) -> DataFrame:
     """Children as an array on their parent.
 
     A parent with more than ``size`` children is written as several parts, each with its
     own ``part`` number, so that no row or task holds an unbounded list.
     """
-    paged = page_rows(children, on, order, size, "part", "__at", hot_rows)
+    paged = page_rows(children, on, order, size, "part", "__at", ranges)
     lists = paged.groupBy(*on, "part").agg(
         F.transform(
             F.sort_array(F.collect_list(F.struct("__at", *fields))),
@@ -159,7 +159,7 @@ def nest(
 
 def nest_tree(
     rows: DataFrame, levels: list[tuple[str, list[str]]], root: list[str], size: int = 1000,
-    hot_rows: int = HOT_ROWS,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Rows of a flat hierarchy as one tree per root, leaves innermost.
 
@@ -167,7 +167,7 @@ def nest_tree(
     Each tree part holds at most ``size`` leaves, which bounds every list above them.
     """
     order = [c for _, ids in levels for c in ids]
-    tree = page_rows(rows, root, order, size, "part", "__at", hot_rows).drop("__at")
+    tree = page_rows(rows, root, order, size, "part", "__at", ranges).drop("__at")
     for depth in range(len(levels) - 1, -1, -1):
         name, ids = levels[depth]
         above = [*root, "part"] + [c for _, up in levels[:depth] for c in up]
@@ -176,9 +176,9 @@ def nest_tree(
     return tree
 
 
-def text_list(df: DataFrame, keys: list[str], value: str, separator: str, size: int = 1000, hot_rows: int = HOT_ROWS) -> DataFrame:
+def text_list(df: DataFrame, keys: list[str], value: str, separator: str, size: int = 1000, ranges: int | None = None) -> DataFrame:
     """Values of each key as ordered text, in parts of at most ``size`` values."""
-    paged = page_rows(df, keys, [value], size, "part", "__at", hot_rows)
+    paged = page_rows(df, keys, [value], size, "part", "__at", ranges)
     return paged.groupBy(*keys, "part").agg(
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("__at", value))), lambda x: x[value]), separator)
         .alias(f"{value}_list")

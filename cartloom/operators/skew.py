@@ -1,146 +1,132 @@
-"""Numbering and joining that hold when one key owns a large share of all rows."""
+"""Numbering and joining that hold when one key owns a large share of all rows.
 
-from __future__ import annotations
+Both work the same way at every size: nothing is looked up while planning, no list of hot keys exists, and the only
+things sent to every task are tables whose length is a setting (ranges of a rank, buckets of a salt table).
+"""
 
-import math
+from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A group up to this many rows is left to a plain window: one task sorts it in seconds.
-HOT_ROWS = 2_000_000
-# Most keys the frequency sketch reports; it tracks more, so every key with a ten-thousandth
-# of all rows is found.
-HOT_KEYS = 2_000
-SKETCH_ITEMS = 20_000
-# Most ranges a hot group is cut into, and how many sampled rows decide each boundary.
-MAX_RANGES = 8_192
-SAMPLE_PER_RANGE = 16
+# Sampled rows behind each range boundary of a rank: ranges then differ by a fifth or so.
+SAMPLE_PER_RANGE = 32
+SAMPLE_SEED = 41
+# Buckets of the salt table, and the fact rows that one salt of a bucket should carry.
+SALT_BUCKETS = 1 << 14
+ROWS_PER_SALT = 1 << 20
 
 
-def key_hash(keys: list[str]) -> Column:
-    return F.xxhash64(*[F.col(k) for k in keys])
+def _orderable(df: DataFrame) -> list[str]:
+    return [c for c, t in df.dtypes if "map<" not in t and "variant" not in t]
 
 
-def heavy_hashes(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> dict[int, int]:
-    """Hashes of the keys with more than about ``hot_rows`` rows, with their row counts.
+def _boundaries(df: DataFrame, columns: list[str], ranges: int) -> Column:
+    """Ordered boundary rows, at most ``ranges``, as one array that Spark computes before the main plan.
 
-    One pass over the key columns; the frequency sketch is merged map-side, so nothing
-    is shuffled by key and at most ``HOT_KEYS`` pairs reach the driver. A missed key
-    costs time, never rows.
+    Rows are sampled by a threshold on their hash, set from the row count, so a rerun picks the same ones. Any boundaries
+    give exact numbers; good ones make the ranges even. Equal rows count once, so copies cannot swell the sample.
     """
-    top = df.select(key_hash(keys).alias("h")).agg(
-        F.expr(f"approx_top_k(h, {HOT_KEYS}, {SKETCH_ITEMS})").alias("top")
-    ).select(F.filter("top", lambda x: x["count"] > F.lit(hot_rows)).alias("top"))
-    return {r["item"]: r["count"] for r in top.first()["top"] or []}
-
+    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    wanted = float(ranges * SAMPLE_PER_RANGE)
+    share = F.pmod(F.xxhash64(F.lit(SAMPLE_SEED), *columns), F.lit(1 << 31)) / F.lit(float(1 << 31))
+    sample = df.select(*columns).where(share * total < F.lit(wanted))
+    packed = sample.agg(F.sort_array(F.collect_set(F.struct(*columns))).alias("s"))
+    step = F.greatest(F.lit(1), F.ceil(F.size("s") / F.lit(ranges))).cast("int")
+    return packed.select(F.filter("s", lambda _, i: i % step == step - 1).alias("s")).scalar()
 
-def _boundaries(df: DataFrame, columns: list[str], ranges: int) -> tuple[str, str]:
-    """At most ``ranges`` ordered boundary rows as JSON text, with their schema.
 
-    The sample is the rows with the smallest hashes, so a rerun picks the same ones.
-    Any boundaries give exact numbers; good ones only make the ranges even.
-    """
-    wanted = ranges * SAMPLE_PER_RANGE
-    picked = df.select(*columns).orderBy(F.xxhash64(*columns), *columns).limit(wanted)
-    packed = picked.agg(F.array_sort(F.collect_list(F.struct(*columns))).alias("s"))
-    step = F.greatest(F.lit(1), F.floor(F.size("s") / F.lit(ranges))).cast("int")
-    cut = packed.select(
-        F.to_json(F.filter("s", lambda _, i: i % step == step - 1)).alias("s")
-    ).first()["s"]
-    schema = packed.schema["s"].dataType.simpleString()
-    return cut, schema
-
-
-def _range_index(columns: list[str], boundaries: str, schema: str, ranges: int) -> Column:
-    """How many boundaries are <= the row: a binary search over one constant array."""
-    bounds = F.from_json(F.lit(boundaries), schema)
-    here = F.struct(*columns)
-    steps = [1 << b for b in range(ranges.bit_length(), -1, -1)]
-    return F.aggregate(
-        F.array(*[F.lit(s) for s in steps]),
-        F.lit(0),
-        lambda at, s: F.when(F.get(bounds, at + s - 1) <= here, at + s).otherwise(at),
-    )
-
-
-def _number_by_ranges(df: DataFrame, keys: list[str], order: list[str], name: str, ranges: int) -> DataFrame:
-    columns = keys + order
-    cut, schema = _boundaries(df, columns, ranges)
-    placed = df.withColumn("__range", _range_index(columns, cut, schema, ranges))
-    sizes = placed.groupBy(*keys, "__range").agg(F.count(F.lit(1)).alias("__n"))
-    before = sizes.select(
-        *[F.col(k).alias(f"__k_{k}") for k in keys],
-        F.col("__range").alias("__r"),
-        F.coalesce(
-            F.sum("__n").over(
-                Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-            ),
-            F.lit(0),
-        ).alias("__before"),
-    )
-    local = F.row_number().over(Window.partitionBy(*keys, "__range").orderBy(*order))
-    match = F.col("__range").eqNullSafe(F.col("__r"))
-    for k in keys:
-        match = match & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
-    return (
-        placed.withColumn("__local", local)
-        .join(before, match)
-        .withColumn(name, (F.col("__before") + F.col("__local")).cast("bigint"))
-        .select(*df.columns, name)
-    )
+def _place(df: DataFrame, columns: list[str], bounds: Column, ranges: int) -> DataFrame:
+    """Rows with ``__range``, the number of boundaries <= the row, by a binary search unrolled into projections."""
+    placed = df.withColumns({"__bounds": bounds, "__here": F.struct(*columns), "__range": F.lit(0)})
+    for step in [1 << b for b in range(ranges.bit_length() - 1, -1, -1)]:
+        reached = F.get("__bounds", F.col("__range") + F.lit(step - 1)) <= F.col("__here")
+        placed = placed.withColumn("__range", F.col("__range") + F.when(reached, F.lit(step)).otherwise(F.lit(0)))
+    return placed
 
 
-def number_rows(
-    df: DataFrame, keys: list[str], order: list[str], name: str, hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """``row_number`` per key (over all rows when ``keys`` is empty), ordered by ``order``.
+def _shifts(placed: DataFrame, keys: list[str], bounds: Column) -> DataFrame:
+    """Per range the key of its lower boundary and how many rows of that key lie in earlier ranges; one row a boundary.
 
-    Small groups use a plain window. A hot group is cut into even ranges of the order
-    columns; each range is numbered on its own and shifted by the rows before it.
+    Ranges follow the order (keys, order), so only the boundary's key can have begun before its range, and the earlier
+    ranges that hold it have that key at their own upper boundary.
     """
-    plain = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("bigint")
-    if not keys:
-        total = df.count()
-        if total <= hot_rows:
-            return df.withColumn(name, plain)
-        return _number_by_ranges(df, [], order, name, _ranges(total, hot_rows))
-    hot = heavy_hashes(df, keys, hot_rows)
-    if not hot:
-        return df.withColumn(name, plain)
-    is_hot = key_hash(keys).isin(list(hot))
-    cold = df.where(~is_hot).withColumn(name, plain)
-    warm = _number_by_ranges(df.where(is_hot), keys, order, name, _ranges(sum(hot.values()), hot_rows))
-    return cold.unionByName(warm)
-
-
-def _ranges(rows: int, hot_rows: int) -> int:
-    return max(2, min(MAX_RANGES, math.ceil(rows / max(1, hot_rows // 2))))
+    here = F.struct(*keys) if keys else F.lit(0)
+    upper = F.get("__bounds", F.col("__range"))
+    above = F.struct(*[upper[k].alias(k) for k in keys]) if keys else F.lit(0)
+    ends = placed.groupBy("__range").agg(F.count_if(here == above).alias("__n"))
+    one = placed.sparkSession.range(1).select(F.posexplode(bounds).alias("__range", "__bound"))
+    key = F.struct(*[F.col("__bound")[k].alias(k) for k in keys]) if keys else F.lit(0)
+    run = F.sum("__n").over(Window.partitionBy("__key").orderBy("__range"))
+    told = one.select("__range", key.alias("__key")).join(ends, "__range", "left").fillna(0, ["__n"])
+    return told.select((F.col("__range") + 1).alias("__r"), "__key", run.alias("__shift")).where("__shift > 0")
+
+
+def number_rows(df: DataFrame, keys: list[str], order: list[str], name: str, ranges: int | None = None) -> DataFrame:
+    """``row_number`` per key (over all rows when ``keys`` is empty), ordered by ``order``, ties by a hash of the row.
+
+    All rows are cut into even ranges of (keys, order), whatever the sizes of the groups: each range is numbered on its
+    own, and the key at a range's lower boundary is shifted by its rows in earlier ranges. A key with a third of all rows
+    so spreads over a third of the ranges; a small key lies in one or two. ``ranges`` is the session's number of shuffle
+    partitions unless given. The input is evaluated four times (count, sample, rows at boundaries, result): settle it if it
+    is dear. Rows equal in every column stay in one range.
+    """
+    ranges = ranges or max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    tied = df.withColumn("__tie", F.xxhash64(*[F.col(f"`{c}`") for c in _orderable(df)]))
+    columns = [*keys, *order, "__tie"]
+    bounds = _boundaries(tied, columns, ranges)
+    placed = _place(tied, columns, bounds, ranges)
+    local = F.row_number().over(Window.partitionBy(*keys, "__range").orderBy(*order, "__tie"))
+    here = F.struct(*keys) if keys else F.lit(0)
+    shift = F.when(here == F.col("__key"), F.col("__shift")).otherwise(F.lit(0))
+    numbered = placed.drop("__bounds", "__here").withColumn("__local", local).join(
+        F.broadcast(_shifts(placed, keys, bounds)), F.col("__range") == F.col("__r"), "left"
+    )
+    return numbered.withColumn(name, (F.col("__local") + shift).cast("bigint")).select(*[F.col(f"`{c}`") for c in df.columns], name)
 
 
 def page_rows(
-    df: DataFrame, keys: list[str], order: list[str], size: int,
-    page: str = "page", position: str = "position", hot_rows: int = HOT_ROWS,
+    df: DataFrame, keys: list[str], order: list[str], size: int, page: str = "page", position: str = "position",
+    ranges: int | None = None,
 ) -> DataFrame:
     """Cut every group into pages of at most ``size`` rows, so that later lists stay bounded."""
-    numbered = number_rows(df, keys, order, "__rn", hot_rows)
-    return numbered.withColumn(page, F.floor((F.col("__rn") - 1) / F.lit(size)).cast("int") + 1).withColumn(
+    numbered = number_rows(df, keys, order, "__rn", ranges)
+    return numbered.withColumn(page, F.floor((F.col("__rn") - 1) / F.lit(size)).cast("bigint") + 1).withColumn(
         position, ((F.col("__rn") - 1) % F.lit(size)).cast("int") + 1
     ).drop("__rn")
 
 
+def salt_table(facts: DataFrame, on: list[str], rows_per_salt: int = ROWS_PER_SALT, buckets: int = SALT_BUCKETS) -> Column:
+    """Array of the number of salts per key bucket, computed before the main plan; its length is ``buckets``."""
+    spark = facts.sparkSession
+    sizes = facts.groupBy(_bucket(on, buckets).alias("__b")).agg(F.count(F.lit(1)).alias("__n"))
+    every = spark.range(buckets).select(F.col("id").alias("__b"))
+    salts = F.ceil(F.coalesce("__n", F.lit(0)) / F.lit(rows_per_salt))
+    entry = F.struct("__b", F.greatest(F.lit(1), salts).cast("int").alias("m"))
+    listed = every.join(sizes, "__b", "left").agg(F.sort_array(F.collect_list(entry)).alias("s"))
+    return listed.select(F.transform("s", lambda x: x["m"]).alias("s")).scalar()
+
+
+def _bucket(on: list[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*on), F.lit(buckets))
+
+
 def lookup_hot(
-    facts: DataFrame, dim: DataFrame, on: list[str], how: str = "left", hot_rows: int = HOT_ROWS
+    facts: DataFrame, dim: DataFrame, on: list[str], how: str = "left", rows_per_salt: int = ROWS_PER_SALT,
+    buckets: int = SALT_BUCKETS,
 ) -> DataFrame:
-    """Join facts to a dimension that is unique on ``on`` when some fact keys may be hot.
+    """Inner or left join of facts to a dimension when any number of fact keys may be hot.
 
-    Facts of the hot keys meet a broadcast of just those dimension rows: at most one per
-    hot key, so never more than ``HOT_KEYS`` rows. All other facts take a shuffle join.
+    Rows per key bucket are counted first; a bucket with more than ``rows_per_salt`` rows gets as many salts. A fact takes
+    one salt by the hash of its row, a dimension row is repeated for every salt of its bucket. Both sides read the number
+    from the same array, so nobody needs a list of keys and every fact meets each of its dimension rows once. Fact rows
+    equal in all columns share a salt.
     """
-    hot = heavy_hashes(facts, on, hot_rows)
-    if not hot:
-        return facts.join(dim, on, how)
-    is_hot = key_hash(on).isin(list(hot))
-    cold = facts.where(~is_hot).join(dim, on, how)
-    warm = facts.where(is_hot).join(F.broadcast(dim.where(is_hot)), on, how)
-    return cold.unionByName(warm)
+    if how not in ("left", "inner"):
+        raise ValueError("lookup_hot joins left or inner")
+    table = salt_table(facts, on, rows_per_salt, buckets)
+    salts = F.get(F.col("__salts"), _bucket(on, buckets).cast("int"))
+    row = F.xxhash64(F.lit(SAMPLE_SEED), *[F.col(f"`{c}`") for c in _orderable(facts)])
+    left = facts.withColumn("__salts", table).withColumn("__salt", F.pmod(row, salts).cast("int")).drop("__salts")
+    right = dim.withColumn("__salts", table).withColumn("__salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("__salts")
+    return left.join(right, [*on, "__salt"], how).drop("__salt")

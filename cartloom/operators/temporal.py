@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartloom.operators.skew import HOT_ROWS, number_rows
+from cartloom.operators.skew import number_rows
 
 
 def keep_one(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -54,8 +54,8 @@ def latest_valid(df: DataFrame, keys: list[str], ts: str, tie: list[str], flag:
     return dedupe_latest(df, keys, ts, tie).where(flag)
 
 
-def number_lines(df: DataFrame, document: list[str], order: list[str], name: str = "line_no", hot_rows: int = HOT_ROWS) -> DataFrame:
-    return number_rows(df, document, order, name, hot_rows)
+def number_lines(df: DataFrame, document: list[str], order: list[str], name: str = "line_no", ranges: int | None = None) -> DataFrame:
+    return number_rows(df, document, order, name, ranges)
 
 
 def find_duplicates(df: DataFrame, keys: list[str]) -> DataFrame:

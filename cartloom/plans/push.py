@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 from cartloom.functions.codes import resource_id
 from cartloom.functions.text import log_text
-from cartloom.operators.skew import HOT_ROWS, number_rows
+from cartloom.operators.skew import number_rows
 from cartloom.operators.temporal import latest_valid
-from cartloom.session import settle
 
 # Prefixes of the shop's global identifiers and the fixed words of its request.
 ITEM_PREFIX = "gid://shopify/InventoryItem/"
@@ -40,12 +39,9 @@ def eligible_split(pending: DataFrame, checks: DataFrame) -> tuple[DataFrame, Da
     return flagged.where("ok").drop("ok"), flagged.where("not ok").drop("ok")
 
 
-def to_batches(df: DataFrame, size: int, order: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Consecutive batches of ``size`` rows by ``order``; only the last may be short.
-
-    The rows are settled first: the numbering reads them more than once.
-    """
-    numbered = number_rows(settle(df), [], order, "__rn", hot_rows)
+def to_batches(df: DataFrame, size: int, order: list[str], ranges: int | None = None) -> DataFrame:
+    """Consecutive batches of ``size`` rows by ``order``; only the last may be short."""
+    numbered = number_rows(df, [], order, "__rn", ranges)
     return numbered.withColumn("batch", F.floor((F.col("__rn") - 1) / F.lit(size)).cast("bigint")).withColumn(
         "position", ((F.col("__rn") - 1) % F.lit(size)).cast("int")
     ).drop("__rn")

@@ -7,17 +7,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from cartloom.operators import relational, skew, temporal
-from cartloom.plans import push
+from cartloom.operators import skew
 from tests.oracle import compare, connect
 
 SOURCE = "/root/testdata/sf0.001"
-SIZED = [
-    skew.heavy_hashes, skew.number_rows, skew.page_rows, skew.lookup_hot, temporal.number_lines, relational.nest,
-    relational.nest_tree, relational.text_list, push.to_batches,
-]
-
-
 @pytest.fixture(scope="module")
 def skewed(tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("skewed"))
@@ -33,9 +26,9 @@ def skewed(tmp_path_factory):
 
 
 @pytest.fixture(autouse=True)
-def small_groups_are_hot(monkeypatch):
-    for fn in SIZED:
-        monkeypatch.setattr(fn, "__defaults__", tuple(300 if v == skew.HOT_ROWS else v for v in fn.__defaults__))
+def many_salts(monkeypatch):
+    defaults = skew.lookup_hot.__defaults__
+    monkeypatch.setattr(skew.lookup_hot, "__defaults__", tuple(300 if v == skew.ROWS_PER_SALT else v for v in defaults))
 
 
 @pytest.mark.parametrize(
