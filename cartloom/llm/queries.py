@@ -7,6 +7,7 @@ from cartloom.llm.decontaminate import op10_decontaminate
 from cartloom.llm.extract import op5_extract
 from cartloom.llm.fingerprint import op9_fingerprint
 from cartloom.llm.lmscore import op4_lm_score
+from cartloom.llm.manifest import OP13_SQL, op13_merkle
 from cartloom.llm.minhash import op3_minhash
 from cartloom.llm.mixture import OP1_SQL, op1_mix
 from cartloom.llm.recompress import op7_substring_dedup
@@ -24,5 +25,6 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_fingerprint": op9_fingerprint,
     "op10_decontaminate": op10_decontaminate,
+    "op13_merkle": op13_merkle,
 }
-ORACLES = {"op1_mix": OP1_SQL, "op6_chat": OP6_SQL}
+ORACLES = {"op1_mix": OP1_SQL, "op6_chat": OP6_SQL, "op13_merkle": OP13_SQL}
