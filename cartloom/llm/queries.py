@@ -6,6 +6,7 @@ from cartloom.llm.chat import OP6_SQL, op6_chat
 from cartloom.llm.decontaminate import op10_decontaminate
 from cartloom.llm.extract import op5_extract
 from cartloom.llm.fingerprint import op9_fingerprint
+from cartloom.llm.language import op12_language
 from cartloom.llm.lmscore import op4_lm_score
 from cartloom.llm.manifest import OP13_SQL, op13_merkle
 from cartloom.llm.minhash import op3_minhash
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_fingerprint": op9_fingerprint,
     "op10_decontaminate": op10_decontaminate,
+    "op12_language": op12_language,
     "op13_merkle": op13_merkle,
 }
 ORACLES = {"op1_mix": OP1_SQL, "op6_chat": OP6_SQL, "op13_merkle": OP13_SQL}
