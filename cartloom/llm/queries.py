@@ -11,6 +11,7 @@ from cartloom.llm.lmscore import op4_lm_score
 from cartloom.llm.manifest import OP13_SQL, op13_merkle
 from cartloom.llm.minhash import op3_minhash
 from cartloom.llm.mixture import OP1_SQL, op1_mix
+from cartloom.llm.negatives import OP11_SQL, op11_hard_negatives
 from cartloom.llm.recompress import op7_substring_dedup
 from cartloom.llm.suffixes import op2_suffix_dedup
 from cartloom.llm.toxicity import op8_toxicity
@@ -26,7 +27,8 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_fingerprint": op9_fingerprint,
     "op10_decontaminate": op10_decontaminate,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_language": op12_language,
     "op13_merkle": op13_merkle,
 }
-ORACLES = {"op1_mix": OP1_SQL, "op6_chat": OP6_SQL, "op13_merkle": OP13_SQL}
+ORACLES = {"op1_mix": OP1_SQL, "op6_chat": OP6_SQL, "op11_hard_negatives": OP11_SQL, "op13_merkle": OP13_SQL}
