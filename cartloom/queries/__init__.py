@@ -2,5 +2,5 @@
 
 from cartloom.queries.registry import ORACLES, QUERIES  # noqa: F401
 from cartloom.queries import (  # noqa: F401,E402
-    documents, joins, latest, orders, parties, products, push, queue, reports, stock, texts,
+    documents, joins, latest, orders, parties, products, push, queue, reports, state, stock, texts,
 )
