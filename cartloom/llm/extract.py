@@ -27,7 +27,9 @@ LAYOUTS = 3
 
 # Element names of HTML by their role.
 VOID = "area base br col embed hr img input link meta param source track wbr".split()
-HIDDEN = "script style noscript template head title iframe svg object canvas math audio video".split()
+HIDDEN = frozenset("script style noscript template head title iframe svg object canvas math audio video".split())
+# What the parser itself reads as raw text up to the end tag.
+RAW = frozenset("script style".split())
 BLOCK = (
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 "
     "h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul"
@@ -75,24 +77,42 @@ class Tree(HTMLParser):
 
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
+        self.hides = HIDDEN
+        self._parse(html)
+        if self.hidden:
+            # A hidden element that never ends would hide all that follows: read again with its kind shown.
+            opened = {t: len(re.findall(rf"<{t}[\s/>]", html, re.I)) - len(re.findall(rf"</{t}[\s/>]", html, re.I)) for t in HIDDEN - RAW}
+            self.hides = HIDDEN - {t for t, more in opened.items() if more > 0}
+            if self.hides != HIDDEN:
+                self._parse(html)
+
+    def _parse(self, html: str):
         self.root = Node("html", set(), None)
         self.nodes, self.stack, self.hidden = [self.root], [self.root], 0
-        try:
-            self.feed(html)
-            self.close()
-        except (AssertionError, ValueError):  # the parser gives up on a broken declaration; what came before counts
-            pass
+        rest = html
+        while True:
+            self.reset()
+            try:
+                self.feed(rest)
+                self.close()
+                return
+            except (AssertionError, ValueError):
+                # The parser gives up on a broken declaration: its bracket is text, and reading goes on behind it.
+                line, column = self.getpos()
+                at = sum(len(x) + 1 for x in rest.split("\n", line - 1)[: line - 1]) + column
+                self.handle_data(rest[at : at + 1])
+                rest = rest[at + 1 :]
 
     def handle_starttag(self, tag, attrs):
         if self.hidden:
-            if tag in HIDDEN and tag not in ("head", "title"):
+            if tag in self.hides and tag not in ("head", "title"):
                 self.hidden += 1
             elif tag == "body":  # an unclosed head
                 self.hidden = 0
             return
         if tag in ("html",):
             return
-        if tag in HIDDEN:
+        if tag in self.hides:
             self.hidden = 1
             return
         if tag in CLOSES_P:
@@ -114,9 +134,9 @@ class Tree(HTMLParser):
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
-        if tag not in VOID and tag not in HIDDEN and len(self.stack) > 1 and self.stack[-1].tag == tag and not self.hidden:
+        if tag not in VOID and tag not in self.hides and len(self.stack) > 1 and self.stack[-1].tag == tag and not self.hidden:
             self.stack.pop()
-        elif tag in HIDDEN and self.hidden:
+        elif tag in self.hides and self.hidden:
             self.hidden -= 1
 
     def _close(self, tag, walls):
@@ -129,7 +149,7 @@ class Tree(HTMLParser):
 
     def handle_endtag(self, tag):
         if self.hidden:
-            if tag in HIDDEN:
+            if tag in self.hides:
                 # A head that ends also ends what was left open in it.
                 self.hidden = 0 if tag == "head" else max(self.hidden - 1, 0)
             return
@@ -327,14 +347,26 @@ class Layout:
     def edge(self, top: bool) -> str:
         return self.wrap([("header" if top else "footer", MARKS["edge"]), ("div", "header masthead top" if top else "footer copyright bottom legal")], f"<p>{self.short(self.rng.randint(3, 12))}</p>" if self.rng.random() < 0.5 else self.short(self.rng.randint(3, 12)))
 
+    def cut(self, text: str, chance: float) -> str:
+        """Now and then only a few words of a block: headings and lines of an article are often short."""
+        words = text.split()
+        if len(words) < 2 or self.rng.random() >= chance:
+            return text
+        size = self.rng.randint(1, 6)
+        at = self.rng.randrange(max(len(words) - size, 1))
+        return " ".join(words[at : at + size])
+
     def page(self) -> str:
         r = self.rng
-        texts = [t.replace("&", "&amp;").replace("<", "&lt;") for t in self.main]
+        texts = [self.cut(t, 0.1 if k else 0.6).replace("&", "&amp;").replace("<", "&lt;") for k, t in enumerate(self.main)]
         parts = [f'<{r.choice(["h1", "h1", "h2"])} data-main>{texts[0]}</h1>'.replace("</h1>", "")] if texts else []
         if parts:
             tag = parts[0][1:3]
             parts[0] += f"</{tag}>"
         for t in texts[1:]:
+            if r.random() < 0.12:
+                level = r.choice(["h2", "h3", "h4"])
+                parts.append(f"<{level} data-main>{self.short(r.randint(1, 7))}</{level}>")
             kind = r.random()
             parts.append(f"<p data-main>{t}</p>" if kind < 0.8 else f"<ul data-main><li data-main>{t}</li></ul>" if kind < 0.86 else f"<blockquote data-main>{t}</blockquote>" if kind < 0.92 else f"<div data-main>{t}</div>")
             if r.random() < 0.06:

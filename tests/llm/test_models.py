@@ -83,6 +83,37 @@ def test_extraction_of_broken_and_empty_pages(spark, trees):
     assert isinstance(read(spark, trees, "<![if !IE]><p>text</p>"), str)
 
 
+def test_reading_goes_on_behind_what_is_broken():
+    def shown(html):
+        tree = extract.Tree(html)
+        return "|".join(extract.blocks_of(tree, np.ones(len(tree.nodes), bool)))
+
+    broken = "<p>one</p>\n<p>two</p>\n <![foo[ bar <p>three</p>"
+    assert shown(broken).startswith("one|two") and shown(broken).endswith("three")
+    assert shown("<p>a</p><noscript><p>b</p><p>c</p>") == "a|b|c"
+    assert shown("<p>a</p><noscript>x</noscript><svg>y</svg><p>c</p>") == "a|c"
+
+
+def test_shares_on_unseen_layouts(trees):
+    """Pages of unseen texts in known layouts: main words kept, other words dropped."""
+    import random
+
+    rng = random.Random(77)
+    spare = [prose(30, 9000 + k) for k in range(40)]
+    kept_main = main_words = kept_other = other_words = 0
+    for k in range(120):
+        main = [prose(rng.randint(2, 8), 7000 + k), *[prose(rng.randint(10, 60), 8000 + 50 * k + j) + "." for j in range(rng.randint(2, 8))]]
+        tree = extract.MarkedTree(extract.Layout(rng, main, spare).page())
+        truth = " ".join(extract.blocks_of(tree, tree.labels() > 0)).split()
+        whole = " ".join(extract.blocks_of(tree, np.ones(len(tree.nodes), bool))).split()
+        got = " ".join(extract.blocks_of(tree, extract.decode(tree, trees.log_odds(extract.features(tree))))).split()
+        hit = len(set(truth) & set(got)) if truth else 0
+        kept_main, main_words = kept_main + hit, main_words + len(set(truth))
+        outside = set(whole) - set(truth)
+        kept_other, other_words = kept_other + len(outside & set(got)), other_words + len(outside)
+    assert kept_main / main_words > 0.97 and kept_other / other_words < 0.06, (kept_main / main_words, kept_other / other_words)
+
+
 def test_decoding_keeps_parents_of_kept_nodes():
     tree = extract.Tree("<div><ul><li>a</li><li>b</li></ul></div><p>c</p>")
     rng = np.random.default_rng(2)
