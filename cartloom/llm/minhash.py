@@ -4,12 +4,16 @@ Texts become sets of five-word shingles. Texts with equal sets are one *set* fro
 row. Each set gets 128 minima of multiply-add hashes; 32 bands of four minima put sets with similarity 0.75 into a common
 bucket but for five chances in a million. Inside a bucket all pairs are never listed:
 
-* The set that shares most buckets overall is a bucket's centre (in a family of near copies, the original), and so are four
-  sets chosen by their digest; every other member is compared with these centres. Estimated similarity from the signatures drops clear misses, then full sets decide.
-* Connected components of these links come from alternating large-star and small-star rounds.
-* Only buckets that still hold several components are looked at again: members of different components are compared by
-  signature, in square blocks of bounded size, and pairs that may reach the threshold are confirmed on their full sets.
-  So no link between different texts of a bucket is lost, whatever the bucket's size.
+* Every set is first compared with two sets only: the set of its buckets that shares most buckets overall (in a family of
+  near copies, the original), and a random one. Estimated similarity from the signatures drops clear misses, then full
+  sets decide. Connected components of these links come from alternating large-star and small-star rounds.
+* Only buckets that still hold several components are looked at again, in square blocks of bounded size. Each member
+  brings its signature and its full set into the block. There, pairs of different components are compared in the first
+  bucket they share and nowhere else: signature first, full sets at once. A link joins its two components inside the block,
+  so a block hands on fewer links than it has members, and no unconfirmed pair ever leaves a task.
+
+So no link between different texts of a bucket is lost, whatever the bucket's size, and the rows of every step grow with the
+number of sets, not of pairs.
 """
 
 from __future__ import annotations
@@ -25,9 +29,10 @@ from cartloom.llm import common as C
 SHINGLE = 5
 PERCENT = 75
 BANDS, ROWS = 32, 4
-CENTRES = 4
 SLACK = 5.0  # standard deviations below the threshold at which a signature is still confirmed
+# Most sets, and most bytes of sets, in one side of a block.
 BLOCK = 1024
+BLOCK_BYTES = 1 << 23
 FACTORS = (C.seeded(BANDS * ROWS, 101) >> C.U64(32)).astype(np.uint32) | np.uint32(1)
 SHIFTS = (C.seeded(BANDS * ROWS, 202) >> C.U64(32)).astype(np.uint32)
 
@@ -183,24 +188,61 @@ def components(links: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def _cross_pairs(groups: DataFrame, percent: int) -> DataFrame:
-    """Likely pairs between different components of a bucket, block by block."""
-    least = _agreement(percent)
-
+class _Overlaps:
+    """Sizes of the intersections of one set with all sets of a block, from postings made on first use."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.cuts = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+        _, self.code = np.unique(np.concatenate(sets), return_inverse=True)
+        owner = np.repeat(np.arange(len(sets)), np.diff(self.cuts))
+        turn = np.argsort(self.code, kind="stable")
+        self.members = owner[turn]
+        self.starts = np.concatenate([[0], np.cumsum(np.bincount(self.code))])
+
+    def of(self, i: int) -> np.ndarray:
+        codes = self.code[self.cuts[i] : self.cuts[i + 1]]
+        first, count = self.starts[codes], self.starts[codes + 1] - self.starts[codes]
+        places = np.repeat(first - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(int(count.sum()))
+        return np.bincount(self.members[places], minlength=len(self.cuts) - 1)
+
+
+def block_links(pdf: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
+    """Confirmed links between different components of one block, as few as join them."""
+    if pdf["component"].nunique() < 2:
+        return []
+    least, n = _agreement(percent), len(pdf)
+    sig = np.frombuffer(b"".join(pdf["sig"]), np.uint16).reshape(n, -1)
+    bands = np.array(pdf["bands"].tolist(), dtype=np.int64)
+    here = int(np.flatnonzero(bands[0] == pdf["band"].iat[0])[0])
+    sets = [np.frombuffer(x, np.uint64) for x in pdf["codes"]]
+    size = np.array([len(x) for x in sets])
+    node, side = pdf["node"].to_numpy(), pdf["own"].to_numpy()
+    _, part = np.unique(pdf["component"].to_numpy(), return_inverse=True)
+    square, overlaps, links = pdf["row"].iat[0] != pdf["col"].iat[0], None, []
+    for i in range(n - 1):
+        other = np.arange(i + 1, n)
+        fits = (part[i + 1 :] != part[i]) & (100 * np.minimum(size[i + 1 :], size[i]) >= percent * np.maximum(size[i + 1 :], size[i]))
+        if square:
+            fits &= side[i + 1 :] != side[i]
+        other = other[fits]
+        other = other[(sig[other] == sig[i]).sum(axis=1) >= least]
+        other = other[(bands[other] == bands[i]).argmax(axis=1) == here]
+        if not len(other):
+            continue
+        overlaps = overlaps or _Overlaps(sets)
+        common = overlaps.of(i)[other]
+        for j in other[100 * common >= percent * (size[i] + size[other] - common)]:
+            if part[j] != part[i]:
+                links.append((int(node[i]), int(node[j])))
+                part[part == part[j]] = part[i]
+    return links
+
+
+def _block_links(groups: DataFrame, percent: int) -> DataFrame:
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        if pdf["component"].nunique() < 2:
-            return pd.DataFrame({"a": [], "b": []}, dtype=np.int64)
-        sig = np.frombuffer(b"".join(pdf["sig"]), np.uint16).reshape(len(pdf), -1)
-        node, part, block = pdf["node"].to_numpy(), pdf["component"].to_numpy(), pdf["own"].to_numpy()
-        square = pdf["row"].iat[0] != pdf["col"].iat[0]
-        a, b = [], []
-        for i in range(len(pdf)):
-            other = np.flatnonzero((part != part[i]) & ((block != block[i]) if square else True) & (node > node[i]))
-            near = other[(sig[other] == sig[i]).sum(axis=1) >= least]
-            a.append(np.full(len(near), node[i])), b.append(node[near])
-        return pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)})
+        return pd.DataFrame(block_links(pdf, percent), columns=["a", "b"], dtype=np.int64)
 
-    return groups.groupBy("band", "row", "col").applyInPandas(run, "a long, b long").distinct()
+    return groups.groupBy("band", "row", "col").applyInPandas(run, "a long, b long")
 
 
 def near_duplicates(
@@ -217,26 +259,25 @@ def near_duplicates(
     sets = signed.where("node is not null")
     # One signature row per set: any copy of the set has the same.
     distinct = C.settle(
-        sets.groupBy("node").agg(F.min("doc_id").alias("member"), F.first("sig").alias("sig"), F.first("bands").alias("bands"))
+        sets.groupBy("node").agg(F.min("doc_id").alias("member"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"), F.first("bands").alias("bands"))
     )
-    members = distinct.select(F.explode("bands").alias("band"), "node")
-    busy = members.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
-    members = C.settle(members.join(busy, "band"))
+    members = distinct.select(F.explode("bands").alias("band"), "node", "n")
+    busy = members.groupBy("band").agg(F.count("*").alias("size"), F.sum("n").alias("shingles")).where("size > 1")
+    members = C.settle(members.join(busy, "band").drop("n"))
     C.release(spark)
     signatures = distinct.select("node", "sig")
     score = members.groupBy("node").agg(F.sum("size").alias("score"))
-    scored = members.join(score, "node")
-    best = scored.groupBy("band").agg(F.max(F.struct("score", "node")).alias("best")).select("band", F.col("best.node").alias("centre"))
-    # Node ids are digests: the least few of a bucket are a random choice, and much the same one in every bucket of a family.
-    rank = F.row_number().over(Window.partitionBy("band").orderBy("node"))
-    few = members.select("band", "node").withColumn("rank", rank).where(F.col("rank") <= CENTRES).select("band", F.col("node").alias("centre"))
-    centre = best.union(few)
-    star = (
-        members.join(centre, "band").where("node <> centre")
-        .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
+    # Two candidates a set: the best-connected set of its buckets, and the set of them with the least digest.
+    centres = members.join(score, "node").groupBy("band").agg(F.max(F.struct("score", "node")).alias("best"), F.min("node").alias("least"))
+    offered = members.select("band", "node").join(centres, "band")
+    chosen = offered.groupBy("node").agg(
+        F.max(F.when(F.col("best.node") != F.col("node"), F.col("best"))).getField("node").alias("hub"),
+        F.min(F.when(F.col("least") != F.col("node"), F.col("least"))).alias("spare"),
     )
-    tried = C.settle(likely(star, signatures, percent))
-    C.release(spark)
+    star = chosen.select("node", F.explode(F.array_distinct(F.array("hub", "spare"))).alias("centre")).where("centre is not null").select(
+        F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")
+    ).distinct()
+    tried = likely(star, signatures, percent)
     busy_nodes = members.select("node").distinct()
     whole = C.settle(full_sets(documents, distinct.select("node", "member").join(busy_nodes, "node"), text, ident, size))
     links = C.settle(confirm(tried, whole, percent))
@@ -245,13 +286,13 @@ def near_duplicates(
     # Buckets that still hold several components.
     placed = members.join(first, "node", "left").withColumn("component", F.coalesce("component", "node"))
     open_ = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("band")
-    placed = placed.join(open_, "band").join(signatures, "node")
-    blocks = F.ceil(F.col("size") / block).cast("int")
-    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    placed = placed.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    groups = placed.select("band", "node", "component", "sig", "own", F.least("own", "other").alias("row"), F.greatest("own", "other").alias("col"))
-    more = _cross_pairs(groups, percent).join(tried, ["a", "b"], "left_anti")
-    links = links.union(confirm(more, whole, percent))
+    blocks = F.greatest(F.ceil(F.col("size") / block), F.ceil(F.col("shingles") * 8 / BLOCK_BYTES)).cast("int")
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    placed = placed.join(open_, "band").withColumn("blocks", blocks).withColumn("own", own)
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    groups = placed.select("band", "node", "component", "own", F.least("own", "other").alias("row"), F.greatest("own", "other").alias("col"))
+    brought = distinct.select("node", "sig", "bands").join(whole, "node")
+    links = links.union(C.settle(_block_links(groups.join(brought, "node"), percent)))
     final = components(links)
     named = sets.select("doc_id", "node").join(final, "node", "left").withColumn("component", F.coalesce("component", "node"))
     lowest = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
