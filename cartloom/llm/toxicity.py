@@ -11,6 +11,7 @@ documents are scored on their whole texts, each in its own task.
 
 from __future__ import annotations
 
+import pickle
 from dataclasses import dataclass
 
 import numpy as np
@@ -213,7 +214,7 @@ def training_rows(documents: DataFrame, labels: DataFrame, text: str, ident: str
     return joined, sizes
 
 
-def _count_words(rows: DataFrame) -> pd.DataFrame:
+def _count_words(rows: DataFrame) -> DataFrame:
     """Distinct words of the sample with their counts by fold and class."""
 
     def run(batches):
@@ -233,8 +234,26 @@ def _count_words(rows: DataFrame) -> pd.DataFrame:
             )
 
     counted = rows.select("y", "fold", "text").mapInArrow(run, "word binary, cell int, n long")
-    table = counted.groupBy("word").agg(*[F.sum(F.when(F.col("cell") == k, F.col("n")).otherwise(0)).alias(f"n{k}") for k in range(4)])
-    return table.orderBy("word").toPandas()
+    return counted.groupBy("word").agg(*[F.sum(F.when(F.col("cell") == k, F.col("n")).otherwise(0)).alias(f"n{k}") for k in range(4)])
+
+
+# Cells (ordinary, toxic) that each model learns from: all of the sample, its second half, its first half.
+MODEL_CELLS = [((0, 2), (1, 3)), ((2,), (3,)), ((0,), (1,))]
+
+
+def _fit_models(table: DataFrame) -> list[bytes]:
+    """The three models, each fitted in a task of its own on the words of the sample and handed on pickled, some 10 MB."""
+
+    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        which = int(pdf["model"].iat[0])
+        pdf = pdf.sort_values("word")
+        ordinary, toxic = (sum(pdf[f"n{k}"].to_numpy(np.int64) for k in cells) for cells in MODEL_CELLS[which])
+        return pd.DataFrame({"model": [which], "blob": [pickle.dumps(KneserNey.fit([bytes(w) for w in pdf["word"]], ordinary, toxic))]})
+
+    spread = table.withColumn("model", F.explode(F.array(*[F.lit(k) for k in range(len(MODEL_CELLS))])))
+    fitted = {r["model"]: bytes(r["blob"]) for r in spread.groupBy("model").applyInPandas(fit, "model int, blob binary").collect()}
+    none = np.zeros(0, np.int64)
+    return [fitted.get(k) or pickle.dumps(KneserNey.fit([], none, none)) for k in range(len(MODEL_CELLS))]
 
 
 @dataclass
@@ -250,15 +269,12 @@ def train(documents: DataFrame, labels: DataFrame, text: str = "text", ident: st
     """Fit on labelled rows whose id's crc32 modulo 3 is not 1; without both classes every score is the share of label 1."""
     rows, sizes = training_rows(documents, labels, text, ident, label, sample_rows)
     rows = C.settle(rows)
-    table = _count_words(rows)
-    words = [bytes(w) for w in table["word"]]
-    n = table[["n0", "n1", "n2", "n3"]].to_numpy(np.int64) if len(table) else np.zeros((0, 4), np.int64)
-    whole = KneserNey.fit(words, n[:, 0] + n[:, 2], n[:, 1] + n[:, 3])
+    whole, *parts = _fit_models(_count_words(rows))
     # Features of each half come from models of the other half.
-    halves = rows.sparkSession.sparkContext.broadcast([KneserNey.fit(words, n[:, 2], n[:, 3]), KneserNey.fit(words, n[:, 0], n[:, 1])])
+    halves = rows.sparkSession.sparkContext.broadcast(parts)
 
     def run(batches):
-        ratios = [WordRatios(m) for m in halves.value]
+        ratios = [WordRatios(pickle.loads(m)) for m in halves.value]
         for batch in batches:
             fold = batch.column(1).to_numpy(False)
             both = [text_features(batch.column(2), r) for r in ratios]
@@ -267,7 +283,7 @@ def train(documents: DataFrame, labels: DataFrame, text: str = "text", ident: st
 
     fields = ", ".join(f"f{j} double" for j in range(FEATURES))
     seen = rows.select("y", "fold", "text").mapInArrow(run, f"y int, {fields}").toPandas()
-    halves.unpersist()
+    halves.destroy()
     y = seen["y"].to_numpy(float)
     weights = np.zeros(FEATURES)
     total = sum(sizes.values())
@@ -278,7 +294,7 @@ def train(documents: DataFrame, labels: DataFrame, text: str = "text", ident: st
         # Each class weighs as much as it has labelled rows.
         weight = np.where(y == 1, sizes[1] / (y == 1).sum(), sizes[0] / (y == 0).sum())
         weights = _logistic(seen.drop(columns="y").to_numpy(float), y, weight * len(y) / weight.sum())
-    return Classifier(whole, weights)
+    return Classifier(pickle.loads(whole), weights)
 
 
 def score_toxicity(documents: DataFrame, classifier: Classifier, text: str = "text", score: str = "score") -> DataFrame:
