@@ -10,6 +10,12 @@ from pyspark.sql import functions as F
 from cartloom.operators.skew import page_rows
 
 
+# Sizes of needle pieces, characters of a text window, bits of the filter of anchors.
+GRAMS = (8, 4, 2, 1)
+WINDOW = 192
+FILTER_BITS = 1 << 20
+
+
 class EmptySource(ValueError):
     """A source that must hold at least one row holds none."""
 
@@ -68,24 +74,67 @@ def not_yet_created(queue: DataFrame, created: DataFrame, key: Column, reference
     return queue.withColumn("__known", clean).join(known, "__known", "left_anti").drop("__known")
 
 
+def _grams(text: Column, size: int | Column) -> Column:
+    """All pieces of ``size`` characters, in order; none where the text is shorter."""
+    last = F.length(text) - size + 1
+    return F.when(last >= 1, F.transform(F.sequence(F.lit(1), last), lambda i: F.substr(text, i, F.lit(size) if isinstance(size, int) else size)))
+
+
+def _anchors(keys: DataFrame, needle: str) -> DataFrame:
+    """Per needle the piece of it that the fewest needles hold, as (needle, __size, __anchor); the hash stands for the piece."""
+    length = F.length(needle)
+    size = F.lit(GRAMS[-1])
+    for g in reversed(GRAMS[:-1]):
+        size = F.when(length >= g, F.lit(g)).otherwise(size)
+    words = keys.select(needle).distinct().withColumn("__size", size)
+    pieces = words.withColumn("__gram", F.explode(F.array_distinct(_grams(F.col(needle), F.col("__size")))))
+    held = pieces.groupBy("__size", "__gram").agg(F.count(F.lit(1)).alias("__n"))
+    rarest = pieces.join(held, ["__size", "__gram"]).groupBy(needle).agg(F.min(F.struct("__n", "__gram", "__size")).alias("__r"))
+    return rarest.select(needle, F.col("__r.__size").alias("__size"), F.xxhash64(F.col("__r.__size"), F.col("__r.__gram")).alias("__anchor"))
+
+
+def _bit(h: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(h, F.lit(64)).cast("int"))
+
+
+def _filter_bits(anchors: DataFrame, bits: int) -> Column:
+    """One-hash Bloom filter of the anchors as an array of ``bits`` / 64 numbers, computed before the main plan."""
+    words = anchors.groupBy((F.pmod("__anchor", F.lit(bits)) / 64).cast("int").alias("__w")).agg(F.bit_or(_bit(F.col("__anchor"))).alias("__v"))
+    every = anchors.sparkSession.range(bits // 64).select(F.col("id").cast("int").alias("__w"))
+    dense = every.join(words, "__w", "left").agg(F.sort_array(F.collect_list(F.struct("__w", F.coalesce("__v", F.lit(0)).alias("v")))).alias("s"))
+    return dense.select(F.transform("s", lambda x: x["v"]).alias("s")).scalar()
+
+
 def contains_join(
-    texts: DataFrame, needles: DataFrame, text: str, text_id: str, needle: str, on: tuple[str, ...] = ()
+    texts: DataFrame, needles: DataFrame, text: str, text_id: str, needle: str, on: tuple[str, ...] = (), bits: int = FILTER_BITS
 ) -> DataFrame:
-    """Pairs (text row, needle) where the needle occurs anywhere in the whole text.
+    """Pairs (text row, needle) where the needle occurs anywhere in the whole text; the text itself is not handed on.
 
-    Every substring of a needle's length becomes an equi-join key, so no text meets a
-    needle it does not contain. The lengths present are few (at most the needle width).
+    Texts are read in windows of ``WINDOW`` characters and the longest needle's length more, so every occurrence lies whole
+    in the window where it starts. Every needle has an anchor, its rarest piece of 8, 4, 2 or 1 characters. A window's
+    pieces are tested against a Bloom filter of all anchors before anything moves; only windows with a hit are shuffled,
+    meet the needles of that anchor, and ``contains`` decides. Null and empty needles and texts match nothing. ``text_id``
+    tells the rows of texts apart.
     """
     keys = needles.where(F.length(needle) > 0).distinct()
-    lengths = keys.agg(F.sort_array(F.collect_set(F.length(needle))).alias("n")).first()["n"] or [1]
-    at, size = F.col("__at"), F.length(text)
-    places = texts.where(size >= lengths[0]).select(
-        text_id, *on, text, F.explode(F.sequence(F.lit(1), size - lengths[0] + 1)).alias("__at")
-    )
-    pieces = F.array(*[F.when(at + n - 1 <= size, F.substring(F.col(text), at, F.lit(n))) for n in lengths])
-    cut = places.select(text_id, *on, F.explode(pieces).alias(needle)).where(F.col(needle).isNotNull())
-    hits = cut.join(keys, [needle, *on]).select(text_id, *[c for c in keys.columns if c not in on]).distinct()
-    return texts.join(hits, text_id)
+    anchors = _anchors(keys, needle)
+    width = anchors.agg((F.max(F.length(needle)) + F.lit(WINDOW)).alias("w")).scalar()
+    used = anchors.agg(F.collect_set("__size").alias("s")).scalar()
+    pattern = F.concat(F.lit("(?s)(?=(.{1,"), width.cast("string"), F.lit(f"}})).{{1,{WINDOW}}}"))
+    kept = [c for c in texts.columns if c != text]
+    windows = texts.select(*kept, F.explode(F.regexp_extract_all(F.col(text), pattern, F.lit(1))).alias("__window"))
+    windows = windows.withColumns({"__bits": _filter_bits(anchors, bits), "__used": used})
+
+    def hits(size: int) -> Column:
+        hashed = F.transform(_grams(F.col("__window"), size), lambda g: F.xxhash64(F.lit(size), g))
+        known = F.filter(F.array_distinct(hashed), lambda h: F.get("__bits", (F.pmod(h, F.lit(bits)) / 64).cast("int")).bitwiseAND(_bit(h)) != 0)
+        return F.when(F.array_contains("__used", size), known)
+
+    none = F.array().cast("array<bigint>")
+    found = F.concat(*[F.coalesce(hits(g), none) for g in GRAMS])
+    asked = windows.select(*kept, "__window", F.explode(found).alias("__anchor"))
+    met = asked.join(keys.join(anchors.drop("__size"), needle), ["__anchor", *on]).where(F.contains("__window", needle))
+    return met.dropDuplicates([text_id, *keys.columns]).select(*kept, *[c for c in keys.columns if c not in on])
 
 
 def lookup_first(

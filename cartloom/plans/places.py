@@ -79,7 +79,7 @@ def resolve_location(
     )
     cities = _best(known, {"__country": "p_country", "__state": "p_state", "__name": "p_city"}, "part")
     inside = contains_join(
-        still_open.drop("__found"), cities, "__city", "__ask", "__name", on=("__country", "__state")
+        still_open.drop("__found").withColumn("__text", F.col("__city")), cities, "__text", "__ask", "__name", on=("__country", "__state")
     ).groupBy(*ASKED).agg(F.min("part").alias("part"))
     chosen = first.join(inside, ASKED, "left").select(
         *[F.col(a).alias(f"_{a}") for a in ASKED],

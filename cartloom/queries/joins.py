@@ -142,7 +142,7 @@ def contains_join(spark, sf):
             F.lit("Pedido "), text("o_orderkey"), F.lit(" ref "), text(F.col("o_custkey") % 60), F.lit(" prioridad "), "o_orderpriority"
         ).alias("notes"),
     )
-    return rl.contains_join(texts, needles, "notes", "o_orderkey", "needle").drop("notes")
+    return rl.contains_join(texts, needles, "notes", "o_orderkey", "needle")
 
 
 @query("""

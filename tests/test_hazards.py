@@ -347,6 +347,22 @@ def test_contains_join_equals_brute_force(spark):
     assert got == sorted((i, n) for i, t in enumerate(texts) if t for n in needles if n in t)
 
 
+def test_contains_join_across_windows(spark):
+    import random
+
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("abñ😀 ") for _ in range(n)) for n in (5, 191, 192, 193, 400, 3000)] + ["x" * 1000, None, ""]
+    needles = [texts[k][at : at + n] for k in range(1, 6) for at, n in ((0, 3), (150, 41), (len(texts[k]) - 9, 9))]
+    needles += [texts[4][10:330], "xx", "x", "", None, "a.b", "(", texts[5][100:104], texts[5][100:104]]
+    a = spark.createDataFrame([(i, t, i % 2) for i, t in enumerate(texts)], "id int, txt string, side int")
+    b = spark.createDataFrame([(n, k % 2, k) for k, n in enumerate(needles)], "needle string, side int, k int")
+    got = sorted((r.id, r.k) for r in rl.contains_join(a, b.drop("side"), "txt", "id", "needle").collect())
+    assert got == sorted((i, k) for i, t in enumerate(texts) for k, n in enumerate(needles) if t and n and n in t)
+    got = sorted((r.id, r.k) for r in rl.contains_join(a, b, "txt", "id", "needle", on=("side",), bits=64).collect())
+    assert got == sorted((i, k) for i, t in enumerate(texts) for k, n in enumerate(needles) if t and n and n in t and i % 2 == k % 2)
+    assert rl.contains_join(a, b.drop("side").limit(0), "txt", "id", "needle").collect() == []
+
+
 def test_ambiguous_places(spark):
     p = places(spark).select(tx.fold(F.col("city_name")).alias("city"), tx.fold(F.col("state_name")).alias("state"), *pl.CODES)
     asked = spark.createDataFrame([("villa", "tolima"), ("villa", "nowhere"), ("zipa", "nowhere"), ("lost", "zipa"), (None, None)], "city string, state string")
