@@ -26,7 +26,7 @@ def available_stock(
     Mode 1 takes the SKU from the item reference, mode 2 from the main barcode or, failing
     that, the barcode table. The barcode's warehouse counts only where the stock row names none,
     so a quantity is credited once. Extensions of one SKU stay apart: equal quantities are not
-    repeats. Repeats within an extension, from several barcodes of one SKU, are removed.
+    repeats, and neither are equal stock rows of one extension and warehouse. Several barcodes of one SKU count once.
     """
     levels = stock.select("ext_rowid", F.col("warehouse_rowid").alias("stock_wh"), available_quantity().alias("available"))
     codes = ext if mode == BARCODE else ext.join(
@@ -39,13 +39,12 @@ def available_stock(
     codes = codes.where("main_barcode is not null or barcode is not null").withColumn(
         "sku", F.col("reference") if mode == REFERENCE else F.coalesce("main_barcode", "barcode")
     )
-    wh = warehouses.select("warehouse_rowid", F.col("warehouse_id").alias("warehouse"))
-    # Only the SKU and warehouse of a barcode matter from here on: repeats go before they meet the stock.
-    codes = codes.select("ext_rowid", "sku", "barcode_wh").distinct()
-    rows = codes.join(levels, "ext_rowid").withColumn("warehouse_rowid", F.coalesce("stock_wh", "barcode_wh"))
-    placed = rows.join(wh, "warehouse_rowid").withColumn("own", F.col("stock_wh").isNotNull())
-    # A stock row with a warehouse of its own meets every barcode warehouse of its SKU; one row is enough.
-    return placed.select("ext_rowid", "sku", "warehouse", "own", "available").distinct().drop("own")
+    wh = warehouses.select("warehouse_rowid", F.col("warehouse_id").alias("warehouse")).distinct()
+    # One row per extension and SKU meets the stock; the barcodes' warehouses serve only stock rows without one of their own.
+    codes = codes.groupBy("ext_rowid", "sku").agg(F.collect_set("barcode_wh").alias("barcode_whs"))
+    where = F.when(F.col("stock_wh").isNotNull(), F.array("stock_wh")).otherwise(F.col("barcode_whs"))
+    rows = codes.join(levels, "ext_rowid").withColumn("warehouse_rowid", F.explode(where))
+    return rows.join(wh, "warehouse_rowid").select("ext_rowid", "sku", "warehouse", "available")
 
 
 def total_stock(rows: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from cartloom.operators import temporal as tp
 from cartloom.plans import prices as pr
 from cartloom.queries.registry import (
-    LINE_ORDER, PRICE_COLUMNS, PRICES_SQL, price_history, query, table, text,
+    LINE_ORDER, PAIR_SQL, PRICE_COLUMNS, PRICES_SQL, pair_id, price_history, query, table, text,
 )
 
 AS_OF = "1998-06-30"
@@ -52,19 +52,19 @@ def _latest(spark, sf):
 
 @query(f"""
 WITH {LATEST_SQL}
-SELECT CASE WHEN ext_rowid IS NULL THEN 'item' ELSE 'ext' END AS key_kind, COALESCE(ext_rowid, item_rowid) AS key_id,
+SELECT CASE WHEN ext_rowid IS NULL THEN 'item' ELSE 'ext' END AS key_kind, CAST(COALESCE(ext_rowid, item_rowid) AS VARCHAR) AS key_id,
        strftime(activation, '%Y%m%d') AS activation, cents / 100.0 AS price FROM latest
 """)
 def latest_price(spark, sf):
     return _latest(spark, sf).select(
-        "key_kind", "key_id", F.date_format("activation", "yyyyMMdd").alias("activation"), F.col("price").cast("double").alias("price")
+        "key_kind", text("key_id").alias("key_id"), F.date_format("activation", "yyyyMMdd").alias("activation"), F.col("price").cast("double").alias("price")
     )
 
 
-VARIANTS_SQL = """
+VARIANTS_SQL = f"""
 variants AS (SELECT p_partkey + 7000000 AS variant_id, 'R' || p_partkey AS sku FROM part WHERE p_type <> 'SMALL'),
 items AS (SELECT p_partkey AS item_rowid, CASE WHEN p_partkey % 7 <> 0 THEN 'R' || p_partkey END AS reference FROM part),
-exts AS (SELECT DISTINCT l_suppkey * 10000000 + l_partkey AS ext_rowid, 'R' || l_partkey AS main_barcode, l_partkey AS item_rowid FROM lineitem),
+exts AS (SELECT DISTINCT {PAIR_SQL.format('l_suppkey', 'l_partkey')} AS ext_rowid, 'R' || l_partkey AS main_barcode, l_partkey AS item_rowid FROM lineitem),
 classes AS (SELECT p_partkey AS item_rowid FROM part WHERE p_type = 'PROMO' AND p_size < 25)
 """
 
@@ -76,7 +76,7 @@ def _variants(spark, sf):
     items = part.select(k.alias("item_rowid"), F.when(k % 7 != 0, F.concat(F.lit("R"), text(k))).alias("reference"))
     pairs = table(spark, sf, "lineitem", "l_partkey", "l_suppkey").distinct()
     ext = pairs.select(
-        (F.col("l_suppkey") * 10000000 + F.col("l_partkey")).alias("ext_rowid"),
+        pair_id(F.col("l_suppkey"), F.col("l_partkey")).alias("ext_rowid"),
         F.concat(F.lit("R"), text("l_partkey")).alias("main_barcode"), F.col("l_partkey").alias("item_rowid"),
     )
     classes = part.where("p_size < 25").select(
@@ -156,13 +156,13 @@ def find_duplicates(spark, sf):
 
 
 @query("""
-SELECT event_id AS id, CAST(user_id * 1000 + n AS VARCHAR) || CASE WHEN event_id <> first THEN '-1' ELSE '' END AS order_id,
+SELECT event_id AS id, user_id || '/' || n || CASE WHEN event_id <> first THEN '-1' ELSE '' END AS order_id,
        CASE WHEN event_id <> first THEN 3 ELSE 1 END AS state
 FROM (SELECT event_id, user_id, CAST(floor(value) AS BIGINT) AS n, MIN(event_id) OVER (PARTITION BY user_id, CAST(floor(value) AS BIGINT)) AS first FROM events)
 """)
 def tag_duplicates(spark, sf):
     rows = table(spark, sf, "events", "event_id", "user_id", "value").select(
-        F.col("event_id").alias("id"), (F.col("user_id") * 1000 + F.floor("value")).alias("order_id"), F.lit(1).alias("state")
+        F.col("event_id").alias("id"), F.concat(text("user_id"), F.lit("/"), text(F.floor("value"))).alias("order_id"), F.lit(1).alias("state")
     )
     return tp.tag_duplicates(rows, "order_id", "id").select("id", "order_id", "state")
 

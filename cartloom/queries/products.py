@@ -59,7 +59,7 @@ def product_docs(spark, sf):
 @query("""
 WITH t AS (SELECT l_partkey, MAX(CASE WHEN l_returnflag = 'A' THEN 'long ' || l_orderkey END) AS a, MAX(CASE WHEN l_returnflag = 'N' THEN ' short ' || l_orderkey || chr(10) END) AS b,
                   MAX(CASE WHEN l_returnflag = 'R' THEN 'k-' || l_orderkey END) AS c FROM lineitem WHERE l_quantity > 30 GROUP BY 1)
-SELECT right('0000000' || p_partkey, 7) AS ref_id, p_name AS name, CAST(p_size AS INTEGER) AS department, CAST(length(p_type) AS INTEGER) AS category, replace(p_name, ' ', '-') AS link,
+SELECT lpad(CAST(p_partkey AS VARCHAR), CAST(greatest(7, length(CAST(p_partkey AS VARCHAR))) AS INTEGER), '0') AS ref_id, p_name AS name, CAST(p_size AS INTEGER) AS department, CAST(length(p_type) AS INTEGER) AS category, replace(p_name, ' ', '-') AS link,
        a AS long_text, replace(trim(b), chr(10), '') AS short_text, replace(c, '-', '') AS key_words
 FROM part JOIN t ON l_partkey = p_partkey WHERE a IS NOT NULL AND b IS NOT NULL AND c IS NOT NULL AND p_type IN ('PROMO', 'LARGE', 'SMALL') AND p_brand <> 'Brand#3'
 """)

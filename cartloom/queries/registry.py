@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -149,17 +150,25 @@ QTY_SQL = "CAST(l_quantity AS BIGINT)"
 PRICE_CENTS_SQL = f"((2 * {CENTS_SQL} + {QTY_SQL}) // (2 * {QTY_SQL}))"
 
 
+def pair_id(high: Column, low: Column) -> Column:
+    """One number for two bigints of any size, which no other pair has."""
+    return (high.cast("decimal(19,0)") * F.lit(Decimal(10**19)) + low).cast("decimal(38,0)")
+
+
+PAIR_SQL = "CAST(CAST({} AS HUGEINT) * 10000000000000000000 + {} AS DECIMAL(38,0))"
+
+
 def price_history(lines: DataFrame) -> DataFrame:
     return lines.select(
         F.col("l_shipdate").alias("activation"), F.col("l_partkey").alias("item_rowid"),
-        F.when(F.col("l_suppkey") % 2 == 0, F.col("l_suppkey") * 10000000 + F.col("l_partkey")).alias("ext_rowid"),
+        F.when(F.col("l_suppkey") % 2 == 0, pair_id(F.col("l_suppkey"), F.col("l_partkey"))).alias("ext_rowid"),
         unit_price().alias("price"), F.col("l_returnflag").alias("list_id"),
     )
 
 
 PRICES_SQL = f"""
 SELECT l_shipdate AS activation, l_partkey AS item_rowid,
-       CASE WHEN l_suppkey % 2 = 0 THEN l_suppkey * 10000000 + l_partkey END AS ext_rowid,
+       CASE WHEN l_suppkey % 2 = 0 THEN {PAIR_SQL.format('l_suppkey', 'l_partkey')} END AS ext_rowid,
        {PRICE_CENTS_SQL} AS cents, l_returnflag AS list_id FROM lineitem
 """
 

@@ -27,6 +27,13 @@ def test_equal_quantities_of_one_sku_add_up(spark):
     assert [tuple(r) for r in st.total_stock(rows).collect()] == [("A", "W1", 21)]
 
 
+def test_equal_stock_rows_of_one_extension_add_up(spark):
+    bars = [("x", 1, 1), ("y", 1, 2), ("z", 2, 2)]
+    for second, total in ((D(7), 14), (D(8), 15)):
+        rows = available(spark, [(1, 1, D(7), D(0), D(0)), (1, 1, second, D(0), D(0)), (2, None, D(2), D(0), D(0))], bars)
+        assert sorted(map(tuple, st.total_stock(rows).collect())) == [("A", "W1", total), ("A", "W2", 2)]
+
+
 def test_whole_units_are_cut_before_subtracting_and_a_gap_means_none(spark):
     rows = available(spark, [(1, 1, D("10.5"), D("0.7"), D(0)), (2, 1, D(5), None, D(0))], [("x", 1, 1)])
     assert sorted((r.ext_rowid, r.available) for r in rows.collect()) == [(1, 10), (2, 0)]
