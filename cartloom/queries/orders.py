@@ -40,7 +40,7 @@ def pick_payment(spark, sf):
 @query(f"""
 WITH {DOCS_SQL}
 SELECT order_name AS order_id, f.price, CAST(0 AS INTEGER) AS line_no FROM docs
-JOIN (VALUES (3, 14000.0::DOUBLE), (3, 9000.0::DOUBLE)) AS f(rest, price) ON o_orderkey % 5 = rest
+JOIN (VALUES (3, 14000.0::DOUBLE), (3, 9000.0::DOUBLE)) AS f(rest, price) ON o_orderkey % 5 = rest AND part = 1
 """)
 def freight_lines(spark, sf):
     rows = parsed_orders(spark, sf).select("order_id", F.explode(od.freight_lines(F.col("doc"), CFG, run_ts())).alias("l"))
@@ -72,9 +72,9 @@ l AS (SELECT order_name, count(*) AS n, SUM(q) AS q, SUM(price_cents) AS cents F
 d AS (SELECT order_name, count(*) AS n, SUM({UNIT_SQL}) AS units FROM allocs WHERE o_orderkey % 3 = 0 AND {UNIT_SQL} > 0 AND price_cents * q - amount > 0 GROUP BY 1)
 SELECT order_name AS order_id, '20240201' AS day, '20240202' AS delivery,
        COALESCE(NULLIF(trim(COALESCE(billing_company, company)), ''), '22222222') AS party, left(order_name, 10) AS reference,
-       COALESCE({PAYMENT_SQL}, '') AS payment, CAST(COALESCE(l.n, 0) + CASE WHEN o_orderkey % 5 = 3 THEN 2 ELSE 0 END AS INTEGER) AS lines,
-       CAST(COALESCE(l.q, 0) + CASE WHEN o_orderkey % 5 = 3 THEN 2 ELSE 0 END AS BIGINT) AS quantity,
-       (COALESCE(l.cents, 0) + CASE WHEN o_orderkey % 5 = 3 THEN 2300000 ELSE 0 END) / 100.0 AS prices,
+       COALESCE({PAYMENT_SQL}, '') AS payment, CAST(COALESCE(l.n, 0) + CASE WHEN o_orderkey % 5 = 3 AND part = 1 THEN 2 ELSE 0 END AS INTEGER) AS lines,
+       CAST(COALESCE(l.q, 0) + CASE WHEN o_orderkey % 5 = 3 AND part = 1 THEN 2 ELSE 0 END AS BIGINT) AS quantity,
+       (COALESCE(l.cents, 0) + CASE WHEN o_orderkey % 5 = 3 AND part = 1 THEN 2300000 ELSE 0 END) / 100.0 AS prices,
        CAST(COALESCE(d.n, 0) AS INTEGER) AS discounts, COALESCE(d.units, 0) / 10000.0 AS unit_discounts
 FROM docs LEFT JOIN people ON o_custkey = c_custkey LEFT JOIN l USING (order_name) LEFT JOIN d USING (order_name)
 """)
@@ -211,7 +211,7 @@ def profile_texts(spark, sf):
                      F.lpad(text("o_custkey"), 5, "0").alias("postalCode")).alias("address"),
             F.array(logistics).alias("logisticsInfo"),
         ).alias("shippingData"),
-        F.col("items"), F.array(F.struct(F.lit("Shipping").alias("id"), text((key % 3) * 500000).alias("value"))).alias("totals"),
+        F.col("items"), F.array(F.struct(F.lit("Shipping").alias("id"), text(F.when(F.col("part") == 1, (key % 3) * 500000).otherwise(0)).alias("value"))).alias("totals"),
         F.array(F.struct(F.lit("Main seller").alias("name"))).alias("sellers"),
         F.struct(
             F.array(F.struct(F.array(F.struct(F.concat(F.lit("pay"), text(key)).alias("id"), F.col("o_orderpriority").alias("paymentSystemName"))).alias("payments"))).alias("transactions")
@@ -248,7 +248,7 @@ def order_notes(spark, sf):
 
 MINOR_SQL = f"""
 lines AS ({LINES_SQL}), m AS (
-  SELECT '#' || l_orderkey || CASE WHEN part > 1 THEN '-' || part ELSE '' END AS order_id, l_orderkey, 'E' || l_partkey AS barcode, q,
+  SELECT '#' || l_orderkey || CASE WHEN part > 1 THEN '-' || part ELSE '' END AS order_id, l_orderkey, part, 'E' || l_partkey AS barcode, q,
          row_number() OVER (PARTITION BY l_orderkey, part ORDER BY 'E' || l_partkey, CAST(line_id AS VARCHAR)) AS line_no,
          CAST(cents AS DOUBLE) AS p, CAST(cents - disc_pct * 50000 AS DOUBLE) AS s, l_partkey % 5 <> 0 AS known,
          l_partkey % 5 <> 0 AND l_partkey % 2 = 0 AS taxed, l_orderkey % 6 = 0 AS exempt,
@@ -280,8 +280,8 @@ MINOR_DOC = (
 WITH {MINOR_SQL}
 SELECT order_id, MIN(CASE WHEN o_custkey % 4 = 0 THEN '9' || lpad(CAST(o_custkey AS VARCHAR), 9, '0') ELSE lpad(CAST(o_custkey AS VARCHAR), 8, '1') END) AS party,
        MIN('01 ' || l_orderkey) AS reference, MIN(CASE l_orderkey % 4 WHEN 0 THEN '25' WHEN 1 THEN '26' ELSE '13' END) AS reason,
-       CAST(count(*) + MIN(CASE WHEN l_orderkey % 3 > 0 THEN 1 ELSE 0 END) AS INTEGER) AS lines,
-       CAST(SUM(unit_price) + MIN((l_orderkey % 3) * 5000) AS BIGINT) AS prices, CAST(count(tax_rate) AS INTEGER) AS taxes,
+       CAST(count(*) + MIN(CASE WHEN l_orderkey % 3 > 0 AND part = 1 THEN 1 ELSE 0 END) AS INTEGER) AS lines,
+       CAST(SUM(unit_price) + MIN(CASE WHEN part = 1 THEN (l_orderkey % 3) * 5000 ELSE 0 END) AS BIGINT) AS prices, CAST(count(tax_rate) AS INTEGER) AS taxes,
        CAST(count(*) FILTER (unit_discount > 0) AS INTEGER) AS discounts, CAST(COALESCE(SUM(unit_discount) FILTER (unit_discount > 0), 0) AS BIGINT) AS discount_sum
 FROM priced JOIN orders ON l_orderkey = o_orderkey GROUP BY order_id
 """)
@@ -331,7 +331,7 @@ def marketplace_orders(spark, sf, *fields):
         ).alias("Client"),
         F.col("CheckoutItems"),
     )
-    texts = rows.select(order_name(key, F.col("part")).alias("order_id"), "o_orderkey", "o_custkey", F.to_json(body).alias("document"))
+    texts = rows.select(order_name(key, F.col("part")).alias("order_id"), "o_orderkey", "o_custkey", "part", F.to_json(body).alias("document"))
     return parse_documents(texts, "document", only(ORDER_C, *fields) if fields else ORDER_C).where("reject_reason is null")
 
 

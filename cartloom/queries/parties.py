@@ -50,7 +50,7 @@ PARTY_DOC = (
 @query(f"""
 WITH {PLACED_SQL}, {DOCS_SQL},
 i AS (SELECT order_name, o_orderdate, placed.*, regexp_replace(COALESCE(NULLIF(trim(billing_company), ''), NULLIF(trim(company), '')), '[^0-9]', '', 'g') AS id
-      FROM docs JOIN placed ON o_custkey = c_custkey WHERE COALESCE(NULLIF(trim(billing_company), ''), NULLIF(trim(company), '')) IS NOT NULL)
+      FROM docs JOIN placed ON o_custkey = c_custkey WHERE part = 1 AND COALESCE(NULLIF(trim(billing_company), ''), NULLIF(trim(company), '')) IS NOT NULL)
 SELECT order_name AS order_id, left(id, 15) AS party, CASE WHEN regexp_matches(id, '^[789]') AND length(id) >= 10 THEN 'N' ELSE 'C' END AS id_kind,
        CASE WHEN regexp_matches(id, '^[789]') AND length(id) >= 10 THEN '2' ELSE '1' END AS party_kind, left(upper(trim(name)), 100) AS legal_name,
        split_part(trim(upper(last_name)), ' ', 1) AS surname1,
@@ -61,7 +61,7 @@ FROM i
 """)
 def party_docs(spark, sf):
     """Party documents read back field by field; orders without an id give none."""
-    built = pt.build_party_docs(parsed_orders(spark, sf, *PARTY_FIELDS), places(spark, sf), CFG)
+    built = pt.build_party_docs(parsed_orders(spark, sf, *PARTY_FIELDS).where("part = 1"), places(spark, sf), CFG)
     doc = built.select("idOrden", F.from_json("json", PARTY_DOC).alias("d"))
     p, c = F.get("d.Terceros", F.lit(0)), F.get("d.Clientes", F.lit(0))
     return doc.select(
@@ -90,11 +90,11 @@ SELECT order_name AS order_id, CASE WHEN c_custkey % 4 = 0 THEN '9' || lpad(CAST
        CASE WHEN strpos(trim(last_name), ' ') > 0 THEN trim(left(ltrim(substr(trim(upper(last_name)), strpos(trim(last_name), ' '))), 15)) ELSE '' END AS surname2,
        COALESCE(email, 'SINCORREO@EXAMPLE.COM') AS email, left(lpad(CAST(c_custkey AS VARCHAR), 5, '0'), 2) || '-' || substr(lpad(CAST(c_custkey AS VARCHAR), 5, '0'), 3, 5) AS place,
        CASE WHEN c_custkey % 4 = 0 THEN '9999' ELSE '0081' END AS activity, CASE WHEN o_orderkey % 6 = 0 THEN 2 ELSE 3 END AS taxes, 1 AS mails
-FROM docs JOIN people ON o_custkey = c_custkey WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)
+FROM docs JOIN people ON o_custkey = c_custkey WHERE part = 1 AND o_orderkey IN (SELECT l_orderkey FROM lineitem)
 """)
 def profile_party_docs(spark, sf):
     taxes = (TaxRow("46", "1", "1", True), TaxRow("47", "1"), TaxRow("47", "5"))
-    built = pt.build_profile_party_docs(profile_orders(spark, sf), MinorUnitOrderConfig(), taxes, CFG.entities, run_ts())
+    built = pt.build_profile_party_docs(profile_orders(spark, sf).where("part = 1"), MinorUnitOrderConfig(), taxes, CFG.entities, run_ts())
     doc = built.select("idOrden", F.from_json("json", PROFILE_DOC).alias("d"))
     p = F.get("d.Terceros", F.lit(0))
     return doc.select(
@@ -162,10 +162,10 @@ w AS (SELECT i.*, COALESCE(CASE WHEN COALESCE(n.n, 0) >= 2 THEN b.hit WHEN n.n =
 SELECT order_name AS order_id, CASE WHEN firm THEN left(regexp_replace(company, '[^0-9]', '', 'g'), 9) ELSE regexp_replace(company, '[^0-9]', '', 'g') END AS party,
        CASE WHEN firm THEN 'N' ELSE 'C' END AS id_kind, CASE WHEN firm THEN '' ELSE left(upper(replace(name, '&', '')), 50) END AS contact, place,
        CASE WHEN o_orderkey % 2 = 0 THEN '0100' END AS seller, CASE WHEN o_orderkey % 2 = 0 THEN '101' END AS class, 2 AS taxes, CASE WHEN firm THEN '48' ELSE '49' END AS regime
-FROM docs JOIN w ON o_custkey = c_custkey WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)
+FROM docs JOIN w ON o_custkey = c_custkey WHERE part = 1 AND o_orderkey IN (SELECT l_orderkey FROM lineitem)
 """)
 def marketplace_party_docs(spark, sf):
-    built = pt.build_marketplace_party_docs(marketplace_orders(spark, sf, "origin", "Client"), places(spark, sf), MarketplaceConfig(), run_ts())
+    built = pt.build_marketplace_party_docs(marketplace_orders(spark, sf, "origin", "Client").where("part = 1"), places(spark, sf), MarketplaceConfig(), run_ts())
     doc = built.select("idOrden", F.from_json("json", MARKETPLACE_PARTY).alias("d"))
     p = F.get("d.Terceros", F.lit(0))
     return doc.select(

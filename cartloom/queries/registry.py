@@ -29,7 +29,8 @@ SCHEMAS = {
     "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
 }
 RUN_TS = "2024-02-01 10:30:00"
-# Most lines of one shop document; longer orders arrive as several documents.
+# Most lines of one shop document; longer orders arrive as several documents, the first of which carries what belongs to
+# the order as a whole: freight and party.
 PAGE = 200
 
 
@@ -378,9 +379,10 @@ def order_texts(spark: SparkSession, sf: str) -> DataFrame:
         created.alias("created_at"), created.alias("updated_at"),
         F.when(F.col("o_orderkey") % 10 == 0, F.lit("usd")).otherwise(F.lit("COP")).alias("currency"),
         F.struct("email", created.alias("created_at"), home).alias("customer"), bill.alias("billing_address"),
-        F.struct(*place).alias("shipping_address"), F.col("line_items"), _shipping().alias("shipping_lines"),
+        F.struct(*place).alias("shipping_address"), F.col("line_items"),
+        F.filter(_shipping(), lambda x: part == 1).alias("shipping_lines"),
         applications.alias("discount_applications"), _gateways().alias("payment_gateway_names"),
     )
     return rows.select(
-        order_name(F.col("o_orderkey"), part).alias("order_id"), "o_orderkey", F.to_json(body).alias("document")
+        order_name(F.col("o_orderkey"), part).alias("order_id"), "o_orderkey", part.alias("part"), F.to_json(body).alias("document")
     )
