@@ -30,6 +30,14 @@ class EntityRow:
     detail: str
 
 
+@dataclass(frozen=True)
+class ClassRow:
+    """A customer's class: plan and criterion."""
+
+    plan: str
+    criterion: str
+
+
 @dataclass(frozen=True)
 class CurrencyRule:
     """Party attributes for orders in the foreign currency, and for all others."""
@@ -64,8 +72,19 @@ class PartyConfig:
     # Client type, price list, residency and tax value by order currency, where they differ.
     by_currency: CurrencyRule | None = None
     fallback_id: str | None = None
+    # "prefix": digits only, long numbers from 7 up are companies; "hyphen": digits and hyphens, a hyphen marks a company.
+    id_rule: str = "prefix"
+    # Orders without an id: never tried again (True) or tried again (False).
+    park_without_id: bool = False
+    # Characters of the first address line; what is longer goes on in the second. None: both lines are cut at 40.
+    address_overflow: int | None = None
+    # Client type of orders without a successful payment, where payments decide it.
+    client_type: str = "C001"
     taxes: tuple[TaxRow, ...] = (TaxRow(),)
     entities: tuple[EntityRow, ...] = ()
+    # Classes of every customer and the section they go to; no section without classes.
+    classes: tuple[ClassRow, ...] = ()
+    class_section: str = "Criterios_Clientes"
 
 
 # Payment gateway texts, the payment codes they map to, and their priority.

@@ -6,13 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartloom.config import (
-    EXEMPT_BENEFIT, ORIGIN_CLASSES, ORIGIN_SELLERS, CurrencyRule, EntityRow, MarketplaceConfig, MinorUnitOrderConfig,
+    CLIENT_TYPES, EXEMPT_BENEFIT, ORIGIN_CLASSES, ORIGIN_SELLERS, ClassRow, CurrencyRule, EntityRow, MarketplaceConfig, MinorUnitOrderConfig,
     PartyConfig, TaxRow,
 )
 from cartloom.functions import codes as cd
 from cartloom.functions import text as tx
 from cartloom.operators.relational import lookup_by_ambiguity
 from cartloom.plans.places import CODES, resolve_location
+from cartloom.plans.queue import id_outcome, party_id
 from cartloom.sources.schemas import CUSTOMER_LAYOUT, PARTY_LAYOUT, contract, document_text, fit
 
 
@@ -68,8 +69,20 @@ def entity_rows(party: Column, entities: tuple[EntityRow, ...]) -> Column:
     return F.array(*rows)
 
 
+def class_rows(party: Column, branch: str, classes: tuple[ClassRow, ...]) -> Column:
+    """Classification records of one customer as an array."""
+    rows = [
+        F.struct(
+            tx.clip(party, 15).alias("F207_ID_TERCERO"), F.lit(branch).alias("F207_ID_SUCURSAL"),
+            F.lit(c.plan).alias("F207_ID_PLAN_CRITERIOS"), F.lit(c.criterion).alias("F207_ID_CRITERIO_MAYOR"),
+        )
+        for c in classes
+    ]
+    return F.array(*rows)
+
+
 PARTY_FIELDS = [
-    "country", "state", "city", "party_id", "legal_name", "given_names", "surnames", "address1", "address2", "phone", "email",
+    "shop_id", "country", "state", "city", "party_id", "legal_name", "given_names", "surnames", "address1", "address2", "phone", "email",
     "created", "currency", "status", "id_kind", "party_kind",
 ]
 
@@ -78,26 +91,36 @@ def party_fields(orders: DataFrame, places: DataFrame, cfg: PartyConfig) -> Data
     """One row per order with the resolved party fields; ``status`` is ok or no_id."""
     doc = F.col("doc")
     where = address(doc, cfg.location_origin)
-    raw = pick(doc, "company", cfg.client_origin)
-    if cfg.fallback_id is not None:
-        raw = F.coalesce(raw, F.lit(cfg.fallback_id))
+    if cfg.id_rule == "hyphen":
+        raw = party_id(doc["billing_address"]["company"], doc["customer"]["default_address"]["company"], cfg.fallback_id)
+    else:
+        raw = pick(doc, "company", cfg.client_origin)
+        if cfg.fallback_id is not None:
+            raw = F.coalesce(raw, F.lit(cfg.fallback_id))
+    upper = {k: F.upper(F.coalesce(where[k], F.lit(""))) for k in ("address1", "address2")}
+    if cfg.address_overflow is None:
+        lines = {k: tx.clip(v, 40) for k, v in upper.items()}
+    else:
+        lines = {
+            "address1": tx.address_line_1(upper["address1"], cfg.address_overflow),
+            "address2": tx.address_line_2(upper["address1"], upper["address2"], cfg.address_overflow),
+        }
     customer_first = 3
     flat = orders.withColumns(
         {
             "country": where["country"], "state": where["province"], "city": where["city"],
-            "raw_id": raw, "party_id": tx.digits_only(raw),
+            "shop_id": doc["id"], "raw_id": raw, "party_id": raw if cfg.id_rule == "hyphen" else tx.digits_only(raw),
             "legal_name": F.upper(F.coalesce(pick(doc, "name", customer_first), F.lit(""))),
             "given_names": F.upper(F.coalesce(pick(doc, "first_name", customer_first), F.lit(""))),
             "surnames": F.upper(F.coalesce(pick(doc, "last_name", customer_first), F.lit(""))),
-            "address1": tx.clip(F.upper(F.coalesce(where["address1"], F.lit(""))), 40),
-            "address2": tx.clip(F.upper(F.coalesce(where["address2"], F.lit(""))), 40),
+            **lines,
             "phone": tx.clean_phone(doc["customer"]["default_address"]["phone"]),
             "email": doc["customer"]["email"],
             "currency": doc["currency"],
             "created": F.replace(F.substring(doc["customer"]["created_at"], 1, 10), F.lit("-"), F.lit("")),
         }
-    ).withColumn("status", F.when(F.col("raw_id").isNull(), F.lit("no_id")).otherwise(F.lit("ok")))
-    kinds = flat.withColumn("id_kind", cd.id_kind(F.col("party_id"), cfg.id_kind)).withColumn(
+    ).withColumn("status", id_outcome(F.col("raw_id"), cfg.park_without_id))
+    kinds = flat.withColumn("id_kind", cd.id_kind(F.col("party_id"), cfg.id_kind, rule=cfg.id_rule)).withColumn(
         "party_kind", F.when(F.col("id_kind") == "N", F.lit("2")).otherwise(F.lit(cfg.party_kind))
     )
     flat_fields = kinds.select("order_id", F.col("doc.name").alias("order_name"), *PARTY_FIELDS)
@@ -107,14 +130,17 @@ def party_fields(orders: DataFrame, places: DataFrame, cfg: PartyConfig) -> Data
     )
 
 
-def build_party_docs(orders: DataFrame, places: DataFrame, cfg: PartyConfig) -> DataFrame:
+def build_party_docs(orders: DataFrame, places: DataFrame, cfg: PartyConfig, payments: DataFrame | None = None) -> DataFrame:
     """Result rows for the integrator, one per order that has an identity.
 
-    ``orders`` carries ``order_id`` and the parsed ``doc``. Apart from the place lookup
-    the job is a map over rows.
+    ``orders`` carries ``order_id`` and the parsed ``doc``. Apart from the place lookup the job is a map over rows. With
+    ``payments`` (order_id as the shop knows it, gateway; one row an order) the gateway decides the client type.
     """
     c = F.col
     rows = party_fields(orders, places, cfg).where("status = 'ok'")
+    if payments is not None:
+        paid = payments.select(F.col("order_id").alias("__paid"), F.col("gateway").alias("__gateway"))
+        rows = rows.join(paid, F.col("shop_id") == F.col("__paid"), "left")
     place = {"F015_ID_PAIS": c("country_id"), "F015_ID_DEPTO": c("state_id"), "F015_ID_CIUDAD": c("city_id")}
     contact = {
         "F015_CONTACTO": c("legal_name"), "F015_DIRECCION1": c("address1"), "F015_DIRECCION2": c("address2"),
@@ -139,9 +165,13 @@ def build_party_docs(orders: DataFrame, places: DataFrame, cfg: PartyConfig) ->
     client = fit(customer, CUSTOMER_LAYOUT)
     if cfg.by_currency is not None:
         client = client.withField("F201_ID_TIPO_CLI", rule["client_type"])
+    if payments is not None:
+        client = client.withField("F201_ID_TIPO_CLI", cd.map_code(c("__gateway"), CLIENT_TYPES, cfg.client_type))
     parts = [F.array(fit(party, PARTY_LAYOUT)), F.array(client), taxes, entity_rows(c("party_id"), cfg.entities)]
-    json = document_text(dict(zip(cfg.sections, parts)))
-    return rows.select(*contract(c("order_name"), json, cfg))
+    sections = dict(zip(cfg.sections, parts))
+    if cfg.classes:
+        sections[cfg.class_section] = class_rows(c("party_id"), cfg.branch, cfg.classes)
+    return rows.select(*contract(c("order_name"), document_text(sections), cfg))
 
 
 # --- profile dialect ---------------------------------------------------------

@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
-from cartloom.config import CurrencyRule, EntityRow, MarketplaceConfig, MinorUnitOrderConfig, PartyConfig, TaxRow
+from cartloom.config import ClassRow, CurrencyRule, EntityRow, MarketplaceConfig, MinorUnitOrderConfig, PartyConfig, TaxRow
 from cartloom.plans import parties as pt
 from cartloom.plans.queue import id_outcome, party_id
-from cartloom.queries.documents import DOCS_SQL, parsed_orders
+from cartloom.queries.documents import CLIENT_TYPE_SQL, DOCS_SQL, PAID_SQL, parsed_orders, payment_documents, stored_orders
 from cartloom.queries.joins import fold_sql
 from cartloom.queries.orders import marketplace_orders, profile_orders
 from cartloom.queries.registry import LINES_SQL, NATIONS_SQL, PARTS_SQL, PEOPLE_SQL, PLACES_SQL, people, places, query, run_ts
+from cartloom.sources.tables import successful_payments
 
 # What party jobs read of an order document.
-PARTY_FIELDS = ("name", "currency", "customer", "billing_address", "shipping_address")
+PARTY_FIELDS = ("id", "name", "currency", "customer", "billing_address", "shipping_address")
 
 CFG = PartyConfig(
     taxes=(TaxRow("46", "1", "1"), TaxRow("47", "1", "1")),
@@ -61,7 +64,7 @@ FROM i
 """)
 def party_docs(spark, sf):
     """Party documents read back field by field; orders without an id give none."""
-    built = pt.build_party_docs(parsed_orders(spark, sf, *PARTY_FIELDS).where("part = 1"), places(spark, sf), CFG)
+    built = pt.build_party_docs(stored_orders(spark, sf, *PARTY_FIELDS), places(spark, sf), CFG)
     doc = built.select("idOrden", F.from_json("json", PARTY_DOC).alias("d"))
     p, c = F.get("d.Terceros", F.lit(0)), F.get("d.Clientes", F.lit(0))
     return doc.select(
@@ -74,6 +77,60 @@ def party_docs(spark, sf):
     )
 
 
+def _built(spark, sf, cfg, payments=None, schema=PARTY_DOC):
+    built = pt.build_party_docs(stored_orders(spark, sf, *PARTY_FIELDS), places(spark, sf), cfg, payments)
+    return built.select(F.col("idOrden").alias("order_id"), F.from_json("json", schema).alias("d"))
+
+
+@query(f"""
+WITH nations AS ({NATIONS_SQL}), people AS ({PEOPLE_SQL}),
+i AS (SELECT o_orderkey, CASE WHEN regexp_replace(COALESCE(billing_company, ''), '[^0-9]', '', 'g') <> '' THEN regexp_replace(billing_company, '[^0-9-]', '', 'g')
+             WHEN regexp_replace(COALESCE(company, ''), '[^0-9]', '', 'g') <> '' THEN regexp_replace(company, '[^0-9-]', '', 'g') END AS id
+      FROM orders JOIN people ON o_custkey = c_custkey)
+SELECT '#' || o_orderkey AS order_id, left(id, 15) AS party, CASE WHEN contains(id, '-') THEN 'N' ELSE 'C' END AS id_kind,
+       CASE WHEN contains(id, '-') THEN '2' ELSE '1' END AS party_kind FROM i WHERE id IS NOT NULL
+""")
+def party_docs_hyphen(spark, sf):
+    """Ids keep their hyphen, which marks a company; orders without one are parked."""
+    p = F.get("d.Terceros", F.lit(0))
+    return _built(spark, sf, replace(CFG, id_rule="hyphen", park_without_id=True)).select(
+        "order_id", p["F200_ID"].alias("party"), p["F200_ID_TIPO_IDENT"].alias("id_kind"), p["F200_IND_TIPO_TERCERO"].alias("party_kind")
+    )
+
+
+@query(f"""
+WITH nations AS ({NATIONS_SQL}), people AS ({PEOPLE_SQL}),
+a AS (SELECT o_orderkey, upper(address1) AS a1, upper(COALESCE(address2, '')) AS a2 FROM orders JOIN people ON o_custkey = c_custkey
+      WHERE COALESCE(NULLIF(trim(billing_company), ''), NULLIF(trim(company), '')) IS NOT NULL)
+SELECT '#' || o_orderkey AS order_id, left(a1, 39) AS line1, CASE WHEN length(a1) > 39 THEN substr(a1, 40, 39) ELSE left(a2, 39) END AS line2 FROM a
+""")
+def party_docs_split_address(spark, sf):
+    """Addresses longer than 39 characters go on in the second line."""
+    schema = "Terceros array<struct<F015_DIRECCION1:string,F015_DIRECCION2:string>>"
+    p = F.get("d.Terceros", F.lit(0))
+    return _built(spark, sf, replace(CFG, address_overflow=39), schema=schema).select(
+        "order_id", p["F015_DIRECCION1"].alias("line1"), p["F015_DIRECCION2"].alias("line2")
+    )
+
+
+@query(f"""
+WITH nations AS ({NATIONS_SQL}), people AS ({PEOPLE_SQL}), {PAID_SQL},
+a AS (SELECT o_orderkey FROM orders JOIN people ON o_custkey = c_custkey
+      WHERE COALESCE(NULLIF(trim(billing_company), ''), NULLIF(trim(company), '')) IS NOT NULL)
+SELECT '#' || o_orderkey AS order_id, {CLIENT_TYPE_SQL} AS client_type, '003/0101,004/0200' AS classes
+FROM a LEFT JOIN f ON user_id = o_orderkey AND rn = 1
+""")
+def party_docs_client_type(spark, sf):
+    """The gateway of the first successful payment decides the client type; customers carry two classes."""
+    schema = "Clientes array<struct<F201_ID_TIPO_CLI:string>>, Criterios_Clientes array<struct<F207_ID_PLAN_CRITERIOS:string,F207_ID_CRITERIO_MAYOR:string>>"
+    cfg = replace(CFG, classes=(ClassRow("003", "0101"), ClassRow("004", "0200")))
+    payments = successful_payments(payment_documents(spark, sf), ["event_id"])
+    classes = F.transform("d.Criterios_Clientes", lambda x: F.concat_ws("/", x["F207_ID_PLAN_CRITERIOS"], x["F207_ID_CRITERIO_MAYOR"]))
+    return _built(spark, sf, cfg, payments, schema).select(
+        "order_id", F.get("d.Clientes", F.lit(0))["F201_ID_TIPO_CLI"].alias("client_type"), F.array_join(classes, ",").alias("classes")
+    )
+
+
 PROFILE_DOC = (
     "Terceros array<struct<F200_ID:string,F200_ID_TIPO_IDENT:string,F200_IND_TIPO_TERCERO:string,F200_RAZON_SOCIAL:string,F200_APELLIDO1:string,"
     "F200_APELLIDO2:string,F015_EMAIL:string,F015_ID_DEPTO:string,F015_ID_CIUDAD:string,F200_ID_CIIU:string>>, "

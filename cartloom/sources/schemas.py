@@ -52,17 +52,22 @@ ORDER_C = (
 
 
 
-def only(schema: str, *names: str) -> str:
-    """The named top-level fields of a document schema: a job parses what it reads and nothing else."""
-    depth, field, fields = 0, "", []
+def fields(schema: str) -> list[str]:
+    """Top-level fields of a document schema, each with its type."""
+    depth, field, found = 0, "", []
     for ch in schema + ",":
         depth += (ch == "<") - (ch == ">")
         if ch == "," and depth == 0:
-            fields.append(field.strip())
+            found.append(field.strip())
             field = ""
         else:
             field += ch
-    return ", ".join(f for f in fields if f.split()[0] in names)
+    return found
+
+
+def only(schema: str, *names: str) -> str:
+    """The named top-level fields of a document schema: a job parses what it reads and nothing else."""
+    return ", ".join(f for f in fields(schema) if f.split()[0] in names)
 
 
 # The columns of the result every document job hands to the integrator.

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartloom.operators.temporal import keep_one
+from cartloom.sources.schemas import fields
 
 
 def read_source(
@@ -54,6 +55,29 @@ def parse_documents(df: DataFrame, column: str, schema: str, into: str = "doc")
     return parsed.withColumn("reject_reason", F.when(bad, F.lit("unreadable document")))
 
 
+def store_documents(df: DataFrame, column: str, path: str, into: str = "stored") -> DataFrame:
+    """Documents parsed once into a VARIANT column, written to ``path`` and read back from there.
+
+    Jobs that read several paths or sections, or the same documents more than once, then take them from the stored form;
+    the text is not parsed again and whatever made it does not run again. Unreadable text is kept as a null variant.
+    """
+    df.withColumn(into, F.try_parse_json(F.col(column))).drop(column).write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def from_stored(df: DataFrame, schema: str, column: str = "stored", into: str = "doc") -> DataFrame:
+    """Stored documents as a typed struct of the wanted fields, with the same reject reason as ``parse_documents``."""
+    shape = ", ".join(f.replace(" ", ": ", 1) for f in fields(schema))
+    typed = df.withColumn(into, F.try_variant_get(F.col(column), "$", f"struct<{shape}>"))
+    readable = F.coalesce(F.schema_of_variant(F.col(column)).startswith("OBJECT"), F.lit(False))
+    return typed.withColumn("reject_reason", F.when(~readable, F.lit("unreadable document"))).drop(column)
+
+
+def stored_value(column: str, path: Column | str, kind: str = "string") -> Column:
+    """A value of a stored document by a path that may be known only at run time; NULL where the path leads nowhere."""
+    return F.try_variant_get(F.col(column), path, kind)
+
+
 def successful_payments(transactions: DataFrame, order: list[str]) -> DataFrame:
     """One successful payment per order, read from the transaction documents."""
     read = transactions.select(
