@@ -39,7 +39,11 @@ def remainder(ident, divisor: int) -> int:
 
 
 class Tokens:
-    """A unit's tokens: its words in order, each document closed by the end token."""
+    """A unit's tokens: its words in order, each document closed by the end token.
+
+    Texts are split and their words sorted once; units travel as the distinct words, and for each token the place of its
+    word among them, so that training and scoring read these and never a text.
+    """
 
     def __init__(self, batch: pa.RecordBatch):
         data, offsets = C.buffers(batch.column(1))
@@ -61,7 +65,18 @@ class Tokens:
         learn = np.repeat(~self.held, np.diff(self.at))
         self.count = np.bincount(self.back[learn], minlength=len(self.words)).astype(np.uint32)
 
+    def store(self) -> bytes:
+        none = np.array([i is None for i in self.ids], np.uint8)
+        ids = np.array([0 if i is None else i for i in self.ids], np.int64)
+        return R.pack([ids, none, self.held.astype(np.uint8), self.at.astype(np.int64), self.words, self.tail, self.back.astype(np.uint32)])
 
+    @classmethod
+    def load(cls, blob: bytes) -> Tokens:
+        t = cls.__new__(cls)
+        ids, none, held, t.at, t.words, t.tail, t.back = R.unpack(blob)
+        t.ids = [None if n else i for i, n in zip(ids.tolist(), none.tolist())]
+        t.held = held.astype(bool)
+        return t
 
 
 def _build(docs: DataFrame, unit_bytes: int, buckets: int) -> DataFrame:
@@ -75,7 +90,7 @@ def _build(docs: DataFrame, unit_bytes: int, buckets: int) -> DataFrame:
             t = Tokens(piece)
             rows = R._bucket_rows(unit, R.hash_bucket(t.words, buckets), [t.words, t.count, t.tail])
             yield pa.RecordBatch.from_pydict(
-                {"unit": rows["unit"] + [unit], "bucket": rows["bucket"] + [None], "blob": rows["blob"] + [R._store(piece)]}, R.ROWS
+                {"unit": rows["unit"] + [unit], "bucket": rows["bucket"] + [None], "blob": rows["blob"] + [t.store()]}, R.ROWS
             )
 
     return docs.mapInArrow(run, R.ROWS_SQL)
@@ -152,7 +167,7 @@ class Vocabulary:
 def _units(batches):
     for batch in batches:
         for i in range(batch.num_rows):
-            t = Tokens(R._load(batch.column(1)[i].as_py()))
+            t = Tokens.load(batch.column(1)[i].as_py())
             count = R._verdicts(batch.column(2)[i].as_py()).astype(np.float64)
             yield t, count
 
@@ -211,18 +226,19 @@ def score_documents(
     C.release(spark)
     vocabulary = Vocabulary(counts)
     shipped = spark.sparkContext.broadcast(vocabulary)
-    replies = counts.where("unit >= 0").groupBy("unit").agg(F.collect_list(F.struct("bucket", "blob")).alias("reply"))
-    bodies = stored.where("bucket is null").select("unit", "blob")
+    bodies, answers = stored.where("bucket is null").select("unit", "blob"), counts.where("unit >= 0")
 
-    def answered(units: DataFrame) -> DataFrame:
+    def answered(units: DataFrame, answers: DataFrame) -> DataFrame:
+        replies = answers.groupBy("unit").agg(F.collect_list(F.struct("bucket", "blob")).alias("reply"))
         return units.join(replies, "unit").select("unit", "blob", "reply")
 
-    joined = answered(bodies)
+    joined = answered(bodies, answers)
     first = spark.sparkContext.broadcast(gru.Params.start(vocabulary.counts).flat())
     start_units = bodies.select("unit").orderBy(F.xxhash64("unit"), "unit").limit(WARM_UNITS)
     flat = first.value
-    # At most WARM_UNITS units, one copy.
-    warm = _average(answered(bodies.join(F.broadcast(start_units), "unit")).coalesce(1), shipped, first, WARM_RATE)
+    # At most WARM_UNITS units and their replies, one copy.
+    few = F.broadcast(start_units)
+    warm = _average(answered(bodies.join(few, "unit"), answers.join(few, "unit", "left_semi")).coalesce(1), shipped, first, WARM_RATE)
     C.release(spark)
     if warm is not None:
         flat = _average(joined, shipped, spark.sparkContext.broadcast(warm), RATE)
