@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import time
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +16,7 @@ from cartloom.session import checkpoint_folder, settle  # noqa: F401
 
 U64 = np.uint64
 CHUNK_BYTES = 1 << 21
+LONG_WORD = 256
 
 
 def bits(*ranges: tuple[int, int]) -> np.ndarray:
@@ -119,11 +121,19 @@ def words(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> tuple[np
 
 
 def word_codes(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray, fold: np.ndarray):
-    """64-bit code of every word, its byte span, and the word offsets of the texts."""
+    """64-bit code of every word, its byte span, and the word offsets of the texts.
+
+    Polynomials modulo 2^64 collide on certain strings of 1024 and more symbols whatever the base, so long words take a
+    keyed digest of their bytes instead.
+    """
     starts, ends, at = words(data, offsets, inside)
     if not len(starts):
         return np.zeros(0, np.uint64), starts, ends, at
-    return Rolling(BYTE_CODE[fold[data]]).slices(starts, ends), starts, ends, at
+    folded = fold[data]
+    codes = Rolling(BYTE_CODE[folded]).slices(starts, ends)
+    for k in np.flatnonzero(ends - starts >= LONG_WORD).tolist():
+        codes[k] = int.from_bytes(blake2b(folded[starts[k] : ends[k]].tobytes(), digest_size=8, key=b"words").digest(), "little")
+    return codes, starts, ends, at
 
 
 def ngram_codes(codes: np.ndarray, n: int) -> np.ndarray:

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 
 from cartloom.llm import common as C
@@ -51,3 +52,21 @@ def test_the_threshold_is_exact():
         rows = family(1, 300, 0, 9) + family(1, 300, 0, 9)
         rows[1] = {**rows[1], "node": 7, "codes": np.unique(np.concatenate([common, C.seeded(own, 77)])).tobytes()}
         assert bool(minhash.block_links(block(rows), 75)) == linked
+
+
+def test_long_words_that_defeat_polynomials_are_told_apart(spark):
+    from cartloom.llm import recompress
+    from tests.llm.fixtures import by_id, documents, prose
+
+    a, b = "a", "b"
+    for _ in range(11):
+        a, b = a + b, b + a
+    shared = prose(19, 3)
+    rows = [(1, f"{shared} {a}", "s"), (2, f"{shared} {b}", "s"), (3, f"{shared} {a}", "s")]
+    data, offsets = C.buffers(pa.array([a, b, a]))
+    codes = C.word_codes(data, offsets, C.SPACED, C.SAME)[0]
+    assert codes[0] != codes[1] and codes[0] == codes[2]
+    removed = by_id(recompress.remove_repeated_words(documents(spark, rows)))
+    assert [removed[k]["n_removed"] for k in (1, 2, 3)] == [0, 0, 20]
+    near = by_id(minhash.near_duplicates(documents(spark, [(1, a, "s"), (2, b, "s"), (3, a, "s")])))
+    assert [near[k]["component_id"] for k in (1, 2, 3)] == [1, 2, 1]
