@@ -200,3 +200,66 @@ class MinorUnitOrderConfig:
     courier: str = "Coordinadora"
     tax_key: str = "IV02"
     default_email: str = "SINCORREO@EXAMPLE.COM"
+
+
+@dataclass(frozen=True)
+class LabelConfig:
+    """Which orders get a shipping label, what the parcel is declared as, and how the request is laid out."""
+
+    # Orders of this state with attempts left that the endpoint has not labelled yet; others of the state skip ahead.
+    endpoint: str = "labels"
+    state: int = 7
+    skip_to: int = 8
+    max_attempts: int = 3
+    delivery: str = "Contra-entrega"
+    # "plain": field names only; "typed": every field with its type, and the fields the second carrier account asks for.
+    layout: str = "plain"
+    content: str = ""
+    declared_value: int = 34000
+    account: int = 1
+    product: int = 0
+    service: str = "22"
+    division: str = "01"
+    remarks_width: int = 85
+    # ubl, height, width, length, weight, units
+    parcel: tuple[int, int, int, int, int, int] = (0, 1, 50, 50, 5, 1)
+
+
+# Fields of the carrier's label request in its order, with their types.
+LABEL_FIELDS = {
+    "codigo_remision": "string",
+    "fecha": "string",
+    "id_cliente": "int",
+    "id_remitente": "int",
+    "nombre_remitente": "string",
+    "direccion_remitente": "string",
+    "telefono_remitente": "string",
+    "ciudad_remitente": "string",
+    "nit_destinatario": "string",
+    "div_destinatario": "string",
+    "nombre_destinatario": "string",
+    "direccion_destinatario": "string",
+    "ciudad_destinatario": "string",
+    "telefono_destinatario": "string",
+    "valor_declarado": "float",
+    "codigo_cuenta": "int",
+    "codigo_producto": "int",
+    "nivel_servicio": "int",
+    "contenido": "string",
+    "referencia": "string",
+    "observaciones": "string",
+    "estado": "string",
+}
+# Parcel fields with their types, and the empty fields that end the typed request.
+PARCEL_FIELDS = {
+    "ubl": "int",
+    "alto": "float",
+    "ancho": "float",
+    "largo": "float",
+    "peso": "float",
+    "unidades": "int",
+}
+LABEL_EMPTY = (
+    "cuenta_contable", "centro_costos", "recaudos", "margen_izquierdo", "margen_superior", "id_rotulo", "formato_impresion",
+    "atributo1_nombre", "atributo1_valor", "notificaciones", "atributos_retorno", "nro_doc_radicados", "nro_sobre",
+)

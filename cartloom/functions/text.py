@@ -169,3 +169,11 @@ def day_text(c: Column) -> Column:
 def iso_instant(c: Column) -> Column:
     """Text with an offset to a timestamp; unreadable text gives NULL."""
     return F.try_to_timestamp(c)
+
+
+def xml_text(c: Column) -> Column:
+    """Value as XML character data: markup escaped, characters that XML cannot hold left out; NULL is empty."""
+    clean = F.regexp_replace(F.coalesce(c.cast("string"), F.lit("")), "[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F]", "")
+    for mark, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        clean = F.replace(clean, F.lit(mark), F.lit(entity))
+    return clean

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from cartloom.config import LabelConfig
 from cartloom.plans import labels as lb
 from cartloom.plans import products as pd
 from cartloom.functions.text import pad_left
@@ -90,12 +91,13 @@ def product_docs_eav(spark, sf):
     )
 
 
-def _labels(spark, sf):
+def _labels(spark, sf, cfg=LabelConfig()):
     k = F.col("o_orderkey")
     orders = table(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
     who = people(spark, sf)
-    shop = orders.where("o_orderstatus = 'P'").join(who, F.col("o_custkey") == F.col("c_custkey")).select(
+    shop = orders.join(who, F.col("o_custkey") == F.col("c_custkey")).select(
         F.concat(F.lit("v"), pad_left(k, 8)).alias("order_id"), (k % 6).cast("int").alias("attempts"),
+        F.when(F.col("o_orderstatus") == "P", 7).otherwise(3).alias("state"), F.when(k % 7 == 0, F.lit("labels")).when(k % 7 == 1, F.lit("party")).alias("endpoint"),
         F.when(k % 3 == 0, F.lit("Contra-entrega")).otherwise(F.lit("Coordinadora")).alias("delivery"), F.col("company").alias("party_id"),
         "name", F.concat_ws(" ", "address1", "address2").alias("address"), F.lit("05001000").alias("city"), "phone",
     )
@@ -104,25 +106,48 @@ def _labels(spark, sf):
         F.concat(F.lit("147-FE-"), text(k + 5)).alias("invoice_number"),
     )
     sender = {"id_cliente": "100", "nombre_remitente": "Shop & Sons", "direccion_remitente": "Main 1"}
-    return lb.label_requests(shop, invoices, sender)
+    return lb.label_requests(shop, invoices, sender, cfg)
 
 
-@query(f"""
+LABELS_SQL = f"""
 WITH nations AS ({NATIONS_SQL}), people AS ({PEOPLE_SQL})
 SELECT 'v' || lpad(CAST(o_orderkey AS VARCHAR), CAST(greatest(8, length(CAST(o_orderkey AS VARCHAR))) AS INTEGER), '0') AS order_id, '147-FE-' || (o_orderkey + 5) AS invoice_number, '22' AS service,
-       replace(phone, '+57', '') AS phone, left('Entregar a: ' || name || ' Factura: 147-FE-' || (o_orderkey + 5), 85) AS remarks, 'Shop & Sons' AS sender
-FROM orders JOIN people ON o_custkey = c_custkey WHERE o_orderstatus = 'P' AND o_orderkey % 6 <= 3 AND o_orderkey % 3 = 0
-""")
+       replace(phone, '+57', '') AS phone, left('Entregar a: ' || name || ' Factura: 147-FE-' || (o_orderkey + 5), 85) AS remarks, 'Shop & Sons' AS sender {{more}}
+FROM orders JOIN people ON o_custkey = c_custkey WHERE o_orderstatus = 'P' AND o_orderkey % 6 <= 3 AND o_orderkey % 3 = 0 AND o_orderkey % 7 <> 0
+"""
+LABEL_READ = "nivel_servicio string, telefono_destinatario string, observaciones string, nombre_remitente string"
+
+
+def _read_label(requests, more=""):
+    """Fields of the request body; types are dropped, as the reader knows no namespace."""
+    body = F.regexp_replace(F.regexp_extract("request", "(?s)<p>.*</p>", 0), ' xsi:type="xsd:[a-z]+"', "")
+    return requests.select("order_id", "invoice_number", F.from_xml(body, LABEL_READ + more).alias("b"), "request")
+
+
+def _label_columns():
+    return [
+        "order_id", "invoice_number", F.col("b.nivel_servicio").alias("service"), F.col("b.telefono_destinatario").alias("phone"),
+        F.col("b.observaciones").alias("remarks"), F.col("b.nombre_remitente").alias("sender"),
+    ]
+
+
+@query(LABELS_SQL.format(more=""))
 def label_xml(spark, sf):
     """Label requests read back from their XML."""
     requests, _ = _labels(spark, sf)
-    body = F.from_xml(
-        F.regexp_extract("request", "(?s)<p>.*</p>", 0),
-        "nivel_servicio string, telefono_destinatario string, observaciones string, nombre_remitente string",
-    )
-    return requests.select("order_id", "invoice_number", body.alias("b")).select(
-        "order_id", "invoice_number", F.col("b.nivel_servicio").alias("service"), F.col("b.telefono_destinatario").alias("phone"),
-        F.col("b.observaciones").alias("remarks"), F.col("b.nombre_remitente").alias("sender"),
+    return _read_label(requests).select(*_label_columns())
+
+
+@query(LABELS_SQL.format(more=", '35.0' AS declared, 'clothes <new> & more' AS content, CAST(41 AS INTEGER) AS fields"))
+def label_xml_typed(spark, sf):
+    """Label requests of the typed layout: types on every field, the carrier's trailing fields present."""
+    cfg = LabelConfig(layout="typed", content="clothes <new> & more", declared_value=35)
+    requests, _ = _labels(spark, sf, cfg)
+    read = _read_label(requests, ", valor_declarado double, contenido string")
+    fields = F.regexp_count("request", F.lit(" xsi:type=")) + F.regexp_count(F.regexp_extract("request", "</detalle>(.*)</p>", 1), F.lit("<[a-z0-9_]+/>"))
+    return read.select(
+        *_label_columns(), F.col("b.valor_declarado").cast("string").alias("declared"), F.col("b.contenido").alias("content"),
+        fields.cast("int").alias("fields"),
     )
 
 
@@ -132,4 +157,4 @@ WHERE o_orderstatus = 'P' AND o_orderkey % 6 <= 3 AND o_orderkey % 3 <> 0
 """)
 def label_skips(spark, sf):
     _, others = _labels(spark, sf)
-    return others.select("order_id", F.lit(8).alias("state"), F.lit(0).alias("attempts"))
+    return others.select("order_id", "state", "attempts")
