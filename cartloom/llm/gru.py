@@ -20,6 +20,12 @@ def _softmax_log(logits: np.ndarray) -> np.ndarray:
     return logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
 
 
+def _log_of(logits: np.ndarray, rows: np.ndarray, pick) -> np.ndarray:
+    """Log-softmax of one column per row."""
+    top = logits.max(axis=1)
+    return logits[rows, pick] - top - np.log(np.exp(logits - top[:, None]).sum(axis=1))
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return F32(1) / (F32(1) + np.exp(-x))
 
@@ -68,9 +74,10 @@ class Params:
         return p
 
 
-def _step(p: Params, h: np.ndarray, x: np.ndarray):
+def _step(p: Params, table: np.ndarray, h: np.ndarray, x: np.ndarray):
+    """One step of all streams; ``table`` holds what each symbol gives to the gates, bias included."""
     n = HIDDEN
-    given = p.inputs[x] + p.bias
+    given = table[x]
     carried = h @ p.recurrent
     gates = _sigmoid(given[:, : 2 * n] + carried[:, : 2 * n])
     keep, reset = gates[:, :n], gates[:, n:]
@@ -79,30 +86,46 @@ def _step(p: Params, h: np.ndarray, x: np.ndarray):
 
 
 def _outputs(p: Params, states: np.ndarray, target: np.ndarray, learn: bool):
-    """Log-probabilities of the targets and, for learning, gradients of the outputs and of the states."""
-    group, word = target // IN_CLASS, target % IN_CLASS
-    rows = np.arange(len(target))
-    log_class = _softmax_log(states @ p.to_class + p.class_bias)
-    out = log_class[rows, group].astype(np.float64)
+    """Log-probabilities of the targets and, for learning, gradients of the outputs and of the states.
+
+    Rows are put in the order of their class first, so that every class works on a slice.
+    """
+    group = (target // IN_CLASS).astype(np.uint8)
     order = np.argsort(group, kind="stable")
-    cuts = np.searchsorted(group[order], np.arange(CLASSES + 1))
-    if learn:
+    states, word = states[order], (target % IN_CLASS)[order]
+    cuts = np.r_[0, np.cumsum(np.bincount(group, minlength=CLASSES))]
+    told = np.empty(len(target))
+    of_class = states @ p.to_class + p.class_bias
+    if not learn:
+        told[:] = _log_of(of_class, np.arange(len(target)), group[order])
+        for c in range(CLASSES):
+            at = slice(cuts[c], cuts[c + 1])
+            if cuts[c + 1] > cuts[c]:
+                told[at] += _log_of(states[at] @ p.to_word[c] + p.word_bias[c], np.arange(cuts[c + 1] - cuts[c]), word[at])
+    else:
+        log_class = _softmax_log(of_class)
         d_class = np.exp(log_class)
-        d_class[rows, group] -= 1
+        for c in range(CLASSES):
+            d_class[cuts[c] : cuts[c + 1], c] -= 1
         d_states = d_class @ p.to_class.T
         grads = [states.T @ d_class, d_class.sum(axis=0), np.zeros_like(p.to_word), np.zeros_like(p.word_bias)]
-    for c in range(CLASSES):
-        at = order[cuts[c] : cuts[c + 1]]
-        if not len(at):
-            continue
-        log_word = _softmax_log(states[at] @ p.to_word[c] + p.word_bias[c])
-        out[at] += log_word[np.arange(len(at)), word[at]]
-        if learn:
+        for c in range(CLASSES):
+            at, rows = slice(cuts[c], cuts[c + 1]), np.arange(cuts[c + 1] - cuts[c])
+            if not len(rows):
+                continue
+            log_word = _softmax_log(states[at] @ p.to_word[c] + p.word_bias[c])
+            told[at] = log_class[at, c].astype(np.float64) + log_word[rows, word[at]]
             d = np.exp(log_word)
-            d[np.arange(len(at)), word[at]] -= 1
+            d[rows, word[at]] -= 1
             grads[2][c], grads[3][c] = states[at].T @ d, d.sum(axis=0)
             d_states[at] += d @ p.to_word[c].T
-    return (out, grads, d_states) if learn else out
+    out = np.empty(len(target))
+    out[order] = told
+    if not learn:
+        return out
+    back = np.empty_like(d_states)
+    back[order] = d_states
+    return out, grads, back
 
 
 def lay_out(symbols: np.ndarray, at: np.ndarray, streams: int) -> tuple[np.ndarray, np.ndarray]:
@@ -136,18 +159,18 @@ def log_probs(p: Params, symbols: np.ndarray, at: np.ndarray, streams: int = 2 *
     out = np.zeros(len(symbols))
     end = symbols[at[1:] - 1][0] if len(at) > 1 else 0
     before = np.r_[end, symbols[:-1]]
-    h = None
+    h, table = None, p.inputs + p.bias
     for active, pos, live, opens in _windows(symbols, at, streams):
         h = np.zeros((active, HIDDEN), F32) if h is None else h[:active]
         states = np.empty((pos.shape[1], active, HIDDEN), F32)
         for k in range(pos.shape[1]):
             x = pos[:, k]
             h = np.where(opens[x][:, None], F32(0), h)
-            h, _ = _step(p, h, before[x])
+            h, _ = _step(p, table, h, before[x])
             states[k] = h
         where = live.T.ravel()
         tokens = pos.T.ravel()[where]
-        out[tokens] = _outputs(p, states.reshape(-1, HIDDEN)[where], symbols[tokens].astype(np.int64), False)
+        out[tokens] = _outputs(p, states.reshape(-1, HIDDEN)[where], symbols[tokens], False)
     return out
 
 
@@ -176,19 +199,19 @@ def learn(p: Params, symbols: np.ndarray, at: np.ndarray, rate: float, streams:
     h = None
     for active, pos, live, opens in _windows(symbols, at, streams):
         h = np.zeros((active, HIDDEN), F32) if h is None else h[:active]
-        kept, states = [], np.empty((pos.shape[1], active, HIDDEN), F32)
+        kept, states, table = [], np.empty((pos.shape[1], active, HIDDEN), F32), p.inputs + p.bias
         for k in range(pos.shape[1]):
             x = pos[:, k]
             fresh = opens[x]
             h = np.where(fresh[:, None], F32(0), h)
             old = h
-            h, parts = _step(p, h, before[x])
+            h, parts = _step(p, table, h, before[x])
             kept.append((before[x], old, fresh, parts))
             states[k] = h
         where = live.T.ravel()
         tokens = pos.T.ravel()[where]
         flat = states.reshape(-1, HIDDEN)
-        _, out_grads, d_states = _outputs(p, flat[where], symbols[tokens].astype(np.int64), True)
+        _, out_grads, d_states = _outputs(p, flat[where], symbols[tokens], True)
         d_all = np.zeros_like(flat)
         d_all[where] = d_states
         d_all = d_all.reshape(states.shape)
