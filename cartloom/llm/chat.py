@@ -30,9 +30,9 @@ def _escape_role(role: Column) -> Column:
 
 
 def _unescape_role(role: Column) -> Column:
-    # A doubled backslash is set aside first, so that only a single one before n is a line break.
-    aside = F.replace(unescape(role), F.lit("\\\\"), F.lit("\n"))
-    return F.replace(F.replace(F.replace(aside, F.lit("\\n"), F.lit("\r\n")), F.lit("\n"), F.lit("\\")), F.lit("\r\\"), F.lit("\n"))
+    # An escaped role holds no line break, so one can mark the doubled backslashes; what lies between is read by itself.
+    between = F.split(F.replace(unescape(role), F.lit("\\\\"), F.lit("\n")), "\n", -1)
+    return F.array_join(F.transform(between, lambda x: F.replace(x, F.lit("\\n"), F.lit("\n"))), "\\")
 
 
 def format_chats(conversations: DataFrame) -> DataFrame:

@@ -36,9 +36,10 @@ AWKWARD = ["<|im_end|>", "<\\|", "<\\\\|im_start|>", "a\nb", "", None, "<", "<|"
 def test_chat_round_trip(spark):
     rows = [(1, k, r, t) for k, (r, t) in enumerate((r, t) for t in AWKWARD for r in ("user", "assistant"))]
     rows += [(2, 0, "user", "only asks"), (3, None, None, None), (None, 1, "assistant", "x"), (4, 1, "we<|ird\\n\nrole\\", "t"), (4, 1, "we<|ird\\n\nrole\\", "t")]
+    rows += [(5, 1, "a\r\\b", "t"), (5, 2, "\r\\\n\\n\\\\", "u"), (5, 3, "assistant", "v")]
     chats = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").withColumn("example", F.lit("clash"))
     out = chat.format_chats(chats).withColumn("turns", chat.read_turns(F.col("text"))).collect()
-    for conv in (1, 2, 3, None, 4):
+    for conv in (1, 2, 3, None, 4, 5):
         want = [(r or "", t or "") for c, _, r, t in rows if c == conv]
         mine = [r for r in out if r["conv_id"] == conv]
         last = [r for r in mine if r["is_last"]]
