@@ -231,17 +231,23 @@ def exists_semi(spark, sf):
     return rl.semi_filter(lines, near, "l_suppkey").join(orders, F.col("l_orderkey") == F.col("o_orderkey")).drop("o_orderkey")
 
 
-@query("SELECT n_nationkey, string_agg(s_name, ',' ORDER BY s_name) AS s_name_list, 1 AS part FROM nation JOIN supplier ON s_nationkey = n_nationkey GROUP BY 1")
+@query("""
+WITH numbered AS (SELECT s_nationkey, s_name, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_name) AS rn FROM supplier)
+SELECT n_nationkey, CAST((rn - 1) // 10 + 1 AS INTEGER) AS part, string_agg(s_name, ',' ORDER BY s_name) AS s_name_list
+FROM nation JOIN numbered ON s_nationkey = n_nationkey GROUP BY 1, 2
+""")
 def string_agg_list(spark, sf):
+    """Supplier names of each nation as text, in parts of at most 10."""
     supplier = table(spark, sf, "supplier", "s_name", "s_nationkey").withColumnRenamed("s_nationkey", "n_nationkey")
     rows = rl.semi_filter(supplier, table(spark, sf, "nation", "n_nationkey"), "n_nationkey")
-    return rl.text_list(rows, ["n_nationkey"], "s_name", ",", 100_000)
+    return rl.text_list(rows, ["n_nationkey"], "s_name", ",", 10)
 
 
 @query("""
 WITH numbered AS (SELECT c_nationkey, c_custkey, c_acctbal, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS rn FROM customer)
 SELECT n_name, CAST((rn - 1) // 25 + 1 AS INTEGER) AS part, CAST(count(c_custkey) AS INTEGER) AS children,
-       MIN(c_custkey) AS first_id, MAX(c_custkey) AS last_id
+       MIN(c_custkey) AS first_id, MAX(c_custkey) AS last_id,
+       string_agg(c_custkey || ':' || CAST(round(c_acctbal * 100) AS BIGINT), ',' ORDER BY c_custkey) AS content
 FROM nation JOIN numbered ON n_nationkey = c_nationkey GROUP BY 1, 2
 """)
 def nest_children(spark, sf):
@@ -251,19 +257,20 @@ def nest_children(spark, sf):
     nested = rl.nest(nation, cust, ["n_nationkey"], ["c_custkey"], ["c_custkey", "c_acctbal"], "children", 25)
     ids = F.transform("children", lambda c: c["c_custkey"])
     return nested.select(
-        "n_name", "part", F.size("children").alias("children"), F.array_min(ids).alias("first_id"), F.array_max(ids).alias("last_id")
+        "n_name", "part", F.size("children").alias("children"), F.array_min(ids).alias("first_id"), F.array_max(ids).alias("last_id"),
+        F.array_join(
+            F.transform("children", lambda c: F.concat(text(c["c_custkey"]), F.lit(":"), text(F.round(c["c_acctbal"] * 100).cast("bigint")))), ","
+        ).alias("content"),
     )
 
 
 @query("""
 WITH flat AS (SELECT n_regionkey, n_nationkey, c_mktsegment, c_custkey, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey, c_mktsegment, c_custkey) AS rn
               FROM customer JOIN nation ON c_nationkey = n_nationkey)
-SELECT r_name, CAST((rn - 1) // 100 + 1 AS INTEGER) AS part, CAST(count(DISTINCT n_nationkey) AS INTEGER) AS nations,
-       CAST(count(DISTINCT n_nationkey || '-' || c_mktsegment) AS INTEGER) AS segments, CAST(count(*) AS INTEGER) AS leaves
-FROM flat JOIN region ON n_regionkey = r_regionkey GROUP BY 1, 2
+SELECT r_name, CAST((rn - 1) // 100 + 1 AS INTEGER) AS part, n_nationkey, c_mktsegment, c_custkey FROM flat JOIN region ON n_regionkey = r_regionkey
 """)
 def nest_tree(spark, sf):
-    """Region, nation, segment and customer as trees of at most 100 leaves."""
+    """Region, nation, segment and customer as trees of at most 100 leaves, read back leaf by leaf."""
     nation, region = table(spark, sf, "nation", "n_nationkey", "n_regionkey"), table(spark, sf, "region")
     cust = table(spark, sf, "customer", "c_nationkey", "c_mktsegment", "c_custkey")
     flat = cust.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).join(region, F.col("n_regionkey") == F.col("r_regionkey"))
@@ -271,13 +278,13 @@ def nest_tree(spark, sf):
         flat.select("r_name", "n_nationkey", "c_mktsegment", "c_custkey"),
         [("nations", ["n_nationkey"]), ("segments", ["c_mktsegment"]), ("customers", ["c_custkey"])], ["r_name"], 100,
     )
-    segments = F.flatten(F.transform("nations", lambda n: n["segments"]))
-    leaves = F.flatten(F.transform(segments, lambda s: s["customers"]))
-    return tree.select(
-        "r_name", "part", F.size("nations").alias("nations"), F.size(segments).alias("segments"), F.size(leaves).alias("leaves")
+    nations = tree.select("r_name", "part", F.inline("nations"))
+    return nations.select("r_name", "part", "n_nationkey", F.inline("segments")).select(
+        "r_name", "part", "n_nationkey", "c_mktsegment", F.inline("customers")
     )
 
 
+
 @query(f"""
 WITH nations AS ({NATIONS_SQL}), places AS ({PLACES_SQL}),
 p AS (SELECT {fold_sql('city_name')} AS city, {fold_sql('state_name')} AS state, country_id, state_id, city_id FROM places),

@@ -112,17 +112,18 @@ def entity_catalogue(spark, sf):
 
 @query(f"""
 WITH {CATALOGUE_SQL}
-SELECT group_name, 1 AS part, CAST(count(DISTINCT entity_id) AS INTEGER) AS entities, CAST(count(DISTINCT attribute_id) AS INTEGER) AS attributes, CAST(count(*) AS INTEGER) AS leaves
-FROM cat GROUP BY 1
+SELECT group_name, CAST((row_number() OVER (PARTITION BY group_name ORDER BY entity_id NULLS FIRST, entity_name NULLS FIRST, attribute_id NULLS FIRST,
+       master_name NULLS FIRST, detail_name NULLS FIRST) - 1) // 40 + 1 AS INTEGER) AS part, entity_id, entity_name, attribute_id, master_name, detail_name FROM cat
 """)
 def entity_tree(spark, sf):
-    """The catalogue as one tree per group: entity, attribute, master, detail."""
+    """The catalogue as trees of at most 40 leaves per group (entity, attribute, master, detail), read back leaf by leaf."""
     flat = entity_catalogue(spark, sf)
     tree = nest_tree(
         flat, [("entities", ["entity_id", "entity_name"]), ("attributes", ["attribute_id"]), ("masters", ["master_name"]), ("details", ["detail_name"])],
-        ["group_name"], 1_000_000,
+        ["group_name"], 40,
     )
-    attributes = F.flatten(F.transform("entities", lambda e: e["attributes"]))
-    masters = F.flatten(F.transform(attributes, lambda a: a["masters"]))
-    leaves = F.flatten(F.transform(masters, lambda m: m["details"]))
-    return tree.select("group_name", "part", F.size("entities").alias("entities"), F.size(attributes).alias("attributes"), F.size(leaves).alias("leaves"))
+    kept = ["group_name", "part"]
+    for name, ids in (("entities", ["entity_id", "entity_name"]), ("attributes", ["attribute_id"]), ("masters", ["master_name"])):
+        tree = tree.select(*kept, F.inline(name))
+        kept += ids
+    return tree.select(*kept, F.inline("details"))
