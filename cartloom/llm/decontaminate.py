@@ -32,7 +32,9 @@ class Patterns:
         self.block = min(2, length)
         self.texts = list(windows)
         self.items = [sorted(windows[t]) for t in self.texts]
-        codes = np.array([[_code(w) for w in t] for t in self.texts], dtype=np.uint64).reshape(-1, length)
+        known = sorted({w for t in self.texts for w in t})
+        place = {w: k for k, w in enumerate(known)}
+        codes = _codes(known)[[place[w] for t in self.texts for w in t]].reshape(-1, length)
         pairs = self._blocks(codes.reshape(-1), len(self.texts), length)
         # Shift of a block: words between its last occurrence in any pattern and the pattern's end.
         reach = np.broadcast_to(np.arange(length - self.block, -1, -1), pairs.shape)
@@ -92,9 +94,10 @@ class Patterns:
             pos, stop = pos[going], stop[going]
 
 
-def _code(word: bytes) -> int:
-    raw = np.frombuffer(word, np.uint8)
-    return int(C.Rolling(C.BYTE_CODE[raw]).slices(np.zeros(1, np.int64), np.array([len(raw)]))[0])
+def _codes(words: list[bytes]) -> np.ndarray:
+    """Codes of words, the same as those of the words of a text."""
+    joined = np.frombuffer(b" ".join(words), np.uint8)
+    return C.word_codes(joined, np.array([0, len(joined)]), C.SPACED, C.SAME)[0]
 
 
 def item_words(text: str | None) -> list[bytes]:

@@ -70,3 +70,27 @@ def test_long_words_that_defeat_polynomials_are_told_apart(spark):
     assert [removed[k]["n_removed"] for k in (1, 2, 3)] == [0, 0, 20]
     near = by_id(minhash.near_duplicates(documents(spark, [(1, a, "s"), (2, b, "s"), (3, a, "s")])))
     assert [near[k]["component_id"] for k in (1, 2, 3)] == [1, 2, 1]
+
+
+def test_long_words_of_a_benchmark_are_found(spark):
+    from cartloom.llm import decontaminate
+    from tests.llm.fixtures import by_id, documents, prose
+
+    long = "Ab" * 400
+    item = f"{prose(4, 1)} {long} {prose(7, 2)}"
+    bench = spark.createDataFrame([("i1", item), ("i2", "x" * 300), ("i3", "")], "item_id string, text string")
+    rows = [(1, f"{prose(3, 8)} {item.upper()} {prose(3, 9)}", "s"), (2, item.replace("Ab", "Ac"), "s"), (3, "X" * 300, "s"), (4, "x" * 301, "s")]
+    found = by_id(decontaminate.find_benchmark_words(documents(spark, rows), bench))
+    assert [(len(found[k]["hit_words"]), found[k]["hit_items"]) for k in (1, 2, 3, 4)] == [(12, ["i1"]), (0, []), (1, ["i2"]), (0, [])]
+
+
+def test_a_megabyte_of_benchmark_compiles_in_seconds():
+    import time
+
+    from cartloom.llm import decontaminate
+    from tests.llm.fixtures import prose
+
+    rows = [(str(k), prose(500, k)) for k in range(250)]
+    start = time.process_time()
+    tables = decontaminate.compile_block(rows, 10)
+    assert sum(len(t.texts) for t in tables) > 100_000 and time.process_time() - start < 10
