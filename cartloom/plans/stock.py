@@ -60,20 +60,15 @@ def catalogue_stock(
     With ``match_warehouse`` an entry meets the stock of its own warehouse only. Without,
     the SKU alone decides, so a SKU held in several warehouses gives several rows.
     """
+    available = F.coalesce(F.col("available").cast("int"), F.lit(0)).alias("available")
+    # Both sides are distinct before they meet, so the pairs, many more than either, need no distinct of their own.
     entries = catalogue.where("inventory_item_id is not null").join(
         warehouses.select("location_id", "warehouse").distinct(), "location_id"
-    ).withColumn("warehouse", F.coalesce("warehouse", F.lit(fallback)))
+    ).select("inventory_item_id", "sku", "location_id", F.coalesce("warehouse", F.lit(fallback)).alias("warehouse")).distinct()
     levels = total_stock(stock)
-    levels = levels if match_warehouse else levels.select("sku", "available").distinct()
     on = ["sku", "warehouse"] if match_warehouse else ["sku"]
-    return (
-        entries.join(levels, on, "left")
-        .select(
-            "inventory_item_id", "sku", "location_id", "warehouse",
-            F.coalesce(F.col("available").cast("int"), F.lit(0)).alias("available"),
-        )
-        .distinct()
-    )
+    levels = levels.select(*on, available) if match_warehouse else levels.select(*on, available).distinct()
+    return entries.join(levels, on, "left").select("inventory_item_id", "sku", "location_id", "warehouse", available)
 
 
 def with_payload(rows: DataFrame) -> DataFrame:
