@@ -6,6 +6,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from cartloom.config import PartyConfig
+from cartloom.operators import relational as rl
 from cartloom.plans import stock as st
 from cartloom.plans.places import resolve_location
 from cartloom.queries.registry import SCHEMAS, order_texts
@@ -85,3 +86,28 @@ def test_places_are_asked_once(spark):
     out = resolve_location(asked, known, "country", "state", "city", PartyConfig().defaults)
     assert [(r.country_id, r.state_id, r.city_id) for r in out.collect()] == [("1", "2", "3")]
     assert calls.value <= 2
+
+
+def test_the_filter_of_anchors_grows_with_them(spark):
+    def filtered(n):
+        anchors = spark.range(n).select(F.xxhash64("id").alias("__anchor"))
+        known = rl._filter_bits(anchors, rl.FILTER_BITS)
+        asked = spark.range(4 * n).select("id", F.xxhash64("id").alias("h"), F.size(known).alias("n"))
+        wanted = rl._bits(F.col("h"))
+        hits = asked.where(F.get(known, F.pmod("h", F.col("n")).cast("int")).bitwiseAND(wanted) == wanted)
+        return hits.agg(F.count_if(F.col("id") < n), F.count_if(F.col("id") >= n), F.max("n")).first()
+
+    assert filtered(3)[2] <= 4
+    known, others, numbers = filtered(40_000)
+    assert known == 40_000 and others < 0.03 * 120_000 and 10_000 <= numbers <= 40_000
+
+
+def test_a_piece_that_all_texts_hold_is_spread(spark):
+    texts = spark.createDataFrame([(i, f"OrderId: v{i % 3} end", "x") for i in range(9)] + [(3, "OrderId: v0 end", "x")], "id long, notes string, more string")
+    needles = spark.createDataFrame([("OrderId: v1",), ("OrderId:",), (None,)], "needle string")
+    found = rl.contains_join(texts, needles, "notes", "id", "needle")
+    assert sorted((r.id, r.needle) for r in found.collect()) == sorted([(i, "OrderId:") for i in range(9)] + [(i, "OrderId: v1") for i in (1, 4, 7)])
+    text = plan(found)
+    assert any("__salt" in line and "__anchor" in line for line in text.splitlines() if "Join" in line)
+    # The filter is part of a condition, not a column that every row carries.
+    assert "__bits" not in text and "Filter" in text
