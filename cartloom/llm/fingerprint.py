@@ -95,7 +95,7 @@ def fingerprints(texts: list[bytes]) -> list[Fingerprint]:
         data = np.frombuffer(b"".join(part), np.uint8)
         offsets = np.r_[0, np.cumsum([len(t) for t in part])].astype(np.int64)
         text, start, stop = boundaries(data, offsets)
-        digest = C.Rolling(C.BYTE_CODE[data]).slices(start, stop) >> C.U64(16) if len(data) else np.zeros(0, np.uint64)
+        digest = C.Rolling(data, C.BYTE_CODE).slices(start, stop) >> C.U64(16) if len(data) else np.zeros(0, np.uint64)
         order = np.lexsort((digest, text))
         text, digest, size_ = text[order], digest[order], (stop - start)[order]
         new = np.r_[True, (text[1:] != text[:-1]) | (digest[1:] != digest[:-1])] if len(text) else np.zeros(0, bool)

@@ -255,6 +255,7 @@ def near_duplicates(
     only where its whole component has no id. Rows that share an id share its links only through equal texts.
     """
     spark = documents.sparkSession
+    C.small_batches(spark)
     signed = C.settle(sign(documents, text, ident, size))
     sets = signed.where("node is not null")
     # One signature row per set: any copy of the set has the same.

@@ -54,10 +54,11 @@ class Method:
     """What the two removers differ in."""
 
     window: int
-    symbols: Callable  # text column -> (codes, at, spans)
+    symbols: Callable  # text column -> (codes, at, spans); with a table of codes, the numbers to look up there
     anchors: Callable  # (data, codes, at) -> (start, count, left, right)
     by_place: bool  # an earlier place in the same document counts, not only a smaller document
     window_keys: Callable  # (Parsed, window starts, data) -> (major, minor) keys
+    codes: np.ndarray | None = None
 
 
 def pack(arrays: list[np.ndarray]) -> bytes:
@@ -105,6 +106,16 @@ def _slices(batches: Iterator[pa.RecordBatch], text: str, limit: int) -> Iterato
             row = end
 
 
+def _filled(batches: Iterator[pa.RecordBatch], text: str, limit: int) -> Iterator[pa.RecordBatch]:
+    """As _slices, but what a batch leaves over is filled up from the next."""
+    rest = []
+    for batch in batches:
+        pieces = list(_slices(pa.Table.from_batches([*rest, batch]).combine_chunks().to_batches(), text, limit))
+        yield from pieces[:-1]
+        rest = pieces[-1:]
+    yield from rest
+
+
 def _ranges(valid: np.ndarray, anchor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First window and length of runs of valid windows with one anchor."""
     at = np.flatnonzero(valid)
@@ -120,7 +131,7 @@ def windows_inside(at: np.ndarray, n: int, window: int) -> np.ndarray:
     edge = np.zeros(n + 1, dtype=np.int32)
     np.add.at(edge, np.maximum(at[:-1], at[1:] - (window - 1)), 1)
     np.add.at(edge, at[1:], -1)
-    return np.cumsum(edge[:-1]) == 0
+    return np.cumsum(edge[:-1], out=edge[:-1]) == 0
 
 
 def _bucket_rows(unit: int, bucket: np.ndarray, arrays: list[np.ndarray]) -> dict[str, list]:
@@ -168,7 +179,7 @@ class Unit:
         gap, count, left, width = unpack(anchors)
         start = np.cumsum(gap.astype(np.int64))
         first = start + left.astype(np.int64)
-        self.parsed = Parsed(at, C.Rolling(codes), start, count.astype(np.int64), first, first + width.astype(np.int64), spans)
+        self.parsed = Parsed(at, C.Rolling(codes, method.codes), start, count.astype(np.int64), first, first + width.astype(np.int64), spans)
         ids = self.batch.column(names.index(ident)).cast(pa.int64())
         self.ids = np.where(ids.is_null().to_numpy(False), NULL_ID, ids.fill_null(0).to_numpy(False))
         self.distinct, self.rank = np.unique(self.ids, return_inverse=True)
@@ -204,7 +215,7 @@ def build_units(docs: DataFrame, method: Method, text: str, unit_bytes: int) ->
 
     def run(batches):
         part, seq = TaskContext.get().partitionId(), 0
-        for piece in _slices(batches, text, unit_bytes):
+        for piece in _filled(batches, text, unit_bytes):
             data, offsets = C.buffers(piece.column(piece.schema.names.index(text)))
             codes, at, _ = method.symbols(data, offsets)
             start, count, left, right = method.anchors(data, codes, at)
@@ -324,7 +335,7 @@ class Rounds:
     def __init__(self, u: Unit, replies: list[list]):
         self.u = u
         p = u.parsed
-        self.covered = np.zeros(0, np.int64)
+        self.covered = []  # first and last window of ranges whose windows all start earlier
         self.step, self.records = 1, None
         order = u.order(p.start)
         keys = u.anchor_keys()
@@ -346,7 +357,7 @@ class Rounds:
         mine = verdict[group] if len(group) else np.zeros(0, np.uint8)
         agreed = (mine & 2) == 0
         later = agreed & (((mine & 1) > 0) | (order > least[group]))
-        self.covered = _expand(p.start[shared[later]], p.count[shared[later]])[0]
+        self.covered.append((p.start[shared[later]], p.start[shared[later]] + p.count[shared[later]] - 1))
         # Round 3: single windows of the other anchors.
         open_ = shared[~agreed]
         at, _ = _expand(p.start[open_], p.count[open_])
@@ -363,7 +374,15 @@ class Rounds:
             return
         verdict = _verdicts(replies[2])
         later = (verdict[group] > 0) | (order > least[group]) if len(group) else np.zeros(0, bool)
-        self.covered = np.concatenate([self.covered, at[later]])
+        self.covered.append((at[later], at[later]))
+
+    def removed(self) -> np.ndarray:
+        """Which symbols lie in a covered window."""
+        edge = np.zeros(int(self.u.parsed.at[-1]) + 1, np.int32)
+        for first, end in self.covered:
+            np.add.at(edge, first, 1)
+            np.add.at(edge, end + self.u.method.window, -1)
+        return np.cumsum(edge[:-1], out=edge[:-1]) > 0
 
 
 def _expand(start: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -394,6 +413,7 @@ def find_repeats(
 ) -> DataFrame:
     """Rows of ``finish(unit, removed symbols)`` for all units; a null id counts as the smallest."""
     spark = docs.sparkSession
+    C.small_batches(spark)
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     buckets = max(1, -(-total // bucket_bytes))
     units = C.settle(build_units(docs, method, text, unit_bytes))
@@ -421,11 +441,7 @@ def find_repeats(
 
     def last(batches):
         for _, r in _each_unit(batches, method, text, ident, 3):
-            n = int(r.u.parsed.at[-1])
-            edge = np.zeros(n + 1, np.int32)
-            np.add.at(edge, r.covered, 1)
-            np.add.at(edge, r.covered + method.window, -1)
-            yield finish(r.u, np.cumsum(edge[:-1]) > 0)
+            yield finish(r.u, r.removed())
 
     return _round(units, replies).mapInArrow(last, schema)
 

@@ -26,7 +26,7 @@ SAMPLES_PER_BUCKET = 20
 
 
 def _byte_symbols(data, offsets):
-    return C.BYTE_CODE[data], offsets, None
+    return data, offsets, None
 
 
 def _priority(data: np.ndarray, size: int) -> np.ndarray:
@@ -88,7 +88,7 @@ def leading(data: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 def byte_method(window: int = WINDOW, gram: int = GRAM) -> R.Method:
     return R.Method(
-        window=window, symbols=_byte_symbols, anchors=lambda data, codes, at: byte_anchors(window, gram, data, at), by_place=False,
+        window=window, symbols=_byte_symbols, codes=C.BYTE_CODE, anchors=lambda data, codes, at: byte_anchors(window, gram, data, at), by_place=False,
         window_keys=lambda p, at, data: (leading(data, at), p.rolling.slices(at + LEAD, at + window)),
     )
 
@@ -106,9 +106,12 @@ def sample_splitters(window: int, text: str):
                 for blob in batch.column(1):
                     piece = R._load(blob.as_py())
                     data, offs = C.buffers(piece.column(piece.schema.names.index(text)))
-                    at = np.flatnonzero(R.windows_inside(offs, len(data), window)) if len(data) else np.zeros(0, np.int64)
-                    at = at[np.linspace(0, len(at) - 1, min(each, len(at))).astype(np.int64)] if len(at) else at
-                    minor = [int(C.Rolling(C.BYTE_CODE[data[p + LEAD : p + window]]).slices(np.array([0]), np.array([window - LEAD]))[0]) for p in at]
+                    inside = np.maximum(np.diff(offs) - (window - 1), 0)
+                    before = np.r_[0, np.cumsum(inside)]
+                    at = np.linspace(0, before[-1] - 1, min(each, before[-1])).astype(np.int64) if before[-1] else np.zeros(0, np.int64)
+                    of = np.searchsorted(before, at, side="right") - 1
+                    at = offs[of] + at - before[of]
+                    minor = [int(C.Rolling(data[p + LEAD : p + window], C.BYTE_CODE).slices(np.array([0]), np.array([window - LEAD]))[0]) for p in at]
                     major = leading(data, at)
                     yield pa.RecordBatch.from_pydict({
                         "major": pa.array(major.view(np.int64)), "minor": pa.array(np.array(minor, np.uint64).view(np.int64)),

@@ -267,6 +267,7 @@ class Classifier:
 
 def train(documents: DataFrame, labels: DataFrame, text: str = "text", ident: str = "doc_id", label: str = "toxic", sample_rows: int = SAMPLE_ROWS) -> Classifier:
     """Fit on labelled rows whose id's crc32 modulo 3 is not 1; without both classes every score is the share of label 1."""
+    C.small_batches(documents.sparkSession)
     rows, sizes = training_rows(documents, labels, text, ident, label, sample_rows)
     rows = C.settle(rows)
     whole, *parts = _fit_models(_count_words(rows))
@@ -299,6 +300,7 @@ def train(documents: DataFrame, labels: DataFrame, text: str = "text", ident: st
 
 def score_toxicity(documents: DataFrame, classifier: Classifier, text: str = "text", score: str = "score") -> DataFrame:
     """All rows of documents plus their score between 0 and 1; null and empty texts score as texts without words."""
+    C.small_batches(documents.sparkSession)
     shipped = documents.sparkSession.sparkContext.broadcast(classifier)
     docs = documents.drop(score)
     at = docs.columns.index(text)
