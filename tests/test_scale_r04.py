@@ -1,5 +1,6 @@
 """What moves and what is written when orders become documents, and the rows that must stay as they were."""
 
+import json
 import os
 from datetime import datetime, timedelta
 
@@ -8,12 +9,15 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from cartloom.config import PartyConfig
+from cartloom.config import MinorUnitOrderConfig, PartyConfig
 from cartloom.operators import skew
+from cartloom.plans import orders as od
 from cartloom.plans.places import resolve_location
 from cartloom.queries.registry import SCHEMAS, order_texts
+from cartloom.sources.schemas import ORDER_B
 from cartloom.sources.tables import store_documents
 from tests.oracle import compare
+from tests.test_hazards import master, now, parsed, profile
 
 DAY = datetime(2024, 1, 2)
 
@@ -79,21 +83,25 @@ def test_the_hot_bucket_is_told_from_the_others(spark):
 
 
 def below(node, above=()):
-    """Every step of a plan with the steps above it, without the plans of its subqueries."""
-    text = node.simpleString(200)
-    yield text, above
+    """Every step of a plan with the steps above it and what it hands on, without the plans of its subqueries."""
+    text, output = node.simpleString(200), node.output()
+    yield text, above, {output.apply(i).name(): output.apply(i).dataType().simpleString() for i in range(output.size())}
     children = node.children()
     for i in range(children.size()):
         yield from below(children.apply(i), (*above, text))
 
 
+def planned(df):
+    return [*below(df._jdf.queryExecution().executedPlan().initialPlan())]
+
+
 def test_lines_of_an_order_move_once(spark, shop, without_broadcasts):
-    found = [*below(order_texts(spark, shop)._jdf.queryExecution().executedPlan().initialPlan())]
-    made = next(above for text, above in found if "ObjectHashAggregate" in text and "collect_list" in text)
+    found = planned(order_texts(spark, shop))
+    made = next(above for text, above, _ in found if "ObjectHashAggregate" in text and "collect_list" in text)
     assert "Exchange" not in "".join(made[max(i for i, text in enumerate(made) if "Join" in text) :])
-    read = next(above for text, above in found if "FileScan" in text and "l_linenumber" in text)
+    read = next(above for text, above, _ in found if "FileScan" in text and "l_linenumber" in text)
     assert sum("Exchange" in text for text in read[len(made) :]) == 1
-    assert not any("l_shipdate" in text for text, _ in found)
+    assert not any("l_shipdate" in text for text, _, _ in found)
 
 
 def test_orders_stay_where_they_are_when_their_places_are_few(spark):
@@ -110,3 +118,28 @@ def test_stored_documents_are_packed(spark, tmp_path):
     assert {r.id: r.s for r in read.select("id", F.to_json("stored").alias("s")).collect()} == {1: '{"a":1}', 2: None}
     parts = [f for f in os.listdir(tmp_path / "stored") if f.startswith("part-")]
     assert parts and all(".zstd." in f for f in parts)
+
+
+def moved(found, by):
+    """Columns of the widest shuffle by a column."""
+    return max((output for text, _, output in found if text.startswith(f"Exchange hashpartitioning({by}#")), key=len)
+
+
+def test_minor_unit_lines_move_with_codes_and_numbers_and_return_flat(spark, without_broadcasts):
+    items = [
+        {"id": "1", "uniqueId": "u1", "ean": None, "refId": "E1", "quantity": 2, "price": 10000, "sellingPrice": 5000},
+        {"id": "2", "uniqueId": "u2", "ean": "E2", "refId": "E1", "quantity": "x", "price": "bad", "sellingPrice": 1},
+        {"id": "3", "uniqueId": "u3", "ean": None, "refId": None, "quantity": 1, "price": 300, "sellingPrice": None},
+    ]
+    built = od.build_minor_unit_order_docs(parsed(spark, [profile("MLC1", items=items)], ORDER_B), master(spark), MinorUnitOrderConfig(), now())
+    doc = json.loads(built.first()["json"])
+    assert [tuple(m[f"f431_{f}"] for f in ("nro_registro", "codigo_barras", "id_unidad_medida", "cant_pedida_base", "precio_unitario")) for m in doc["Movimientos"]] == [
+        (1, None, "UND", "1", 3), (2, None, "PAR", "2", 100), (3, "E2", "UND", "x", None), (4, "", "UND", "1", 500)]
+    assert [(t["F431_NRO_REGISTRO"], t["F433_TASA"]) for t in doc["Impuestos"]] == [(2, 0), (3, 19)]
+    assert [(d["f431_nro_registro"], d["f432_vlr_uni"]) for d in doc["Descuento"]] == [(2, 50)]
+    found = planned(built)
+    lines = moved(found, "code")
+    assert {k: v for k, v in lines.items() if k != "head"} == {
+        "order_id": "string", "exempt": "boolean", "line_no": "int", "code": "string", "has_ean": "boolean", "quantity": "string", "price": "double", "selling_price": "double"}
+    assert "f430_id_fecha" not in lines["head"] and lines["head"].count("party") == 1
+    assert "rows" not in moved(found, "order_id") and "line_no" in moved(found, "order_id")
