@@ -9,12 +9,12 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from cartloom.config import MinorUnitOrderConfig, PartyConfig
+from cartloom.config import MarketplaceConfig, MinorUnitOrderConfig, PartyConfig
 from cartloom.operators import skew
 from cartloom.plans import orders as od
 from cartloom.plans.places import resolve_location
 from cartloom.queries.registry import SCHEMAS, order_texts
-from cartloom.sources.schemas import ORDER_B
+from cartloom.sources.schemas import ORDER_B, ORDER_C
 from cartloom.sources.tables import store_documents
 from tests.oracle import compare
 from tests.test_hazards import master, now, parsed, profile
@@ -143,3 +143,24 @@ def test_minor_unit_lines_move_with_codes_and_numbers_and_return_flat(spark, wit
         "order_id": "string", "exempt": "boolean", "line_no": "int", "code": "string", "has_ean": "boolean", "quantity": "string", "price": "double", "selling_price": "double"}
     assert "f430_id_fecha" not in lines["head"] and lines["head"].count("party") == 1
     assert "rows" not in moved(found, "order_id") and "line_no" in moved(found, "order_id")
+
+
+def test_marketplace_lines_move_with_references_and_numbers_and_return_flat(spark, without_broadcasts):
+    item = lambda i, code, **over: {"count": 2, "gross": 119, "ProductVersion": {"_id": i, "code": code, "Product": {"name": "hp ink"}}, "CheckoutItemDiscounts": [{"discount": 10}], **over}
+    texts = [{"origin": "mercadolibre", "Warehouse": {"name": "FULL"}, "CheckoutLinks": [{"externalOrderNumber": "2000055"}], "Client": {"taxId": "9", "fullName": None},
+              "CheckoutItems": [item("c", "A-1"), item("b", None, count="x"), item("a", "B", CheckoutItemDiscounts=[{"discount": "?"}])]}]
+    items = spark.createDataFrame([("A#1", "KIT ")], "reference string, unit string")
+    rates = spark.createDataFrame([("A#1", 19)], "reference string, rate int")
+    built = od.build_marketplace_order_docs(parsed(spark, texts, ORDER_C), items, rates, MarketplaceConfig(), now())
+    doc = json.loads(built.first()["json"])
+    fields = ("nro_registro", "referencia_item", "id_bodega", "id_unidad_medida", "cant_pedida_base", "precio_unitario")
+    assert [tuple(m.get(f"f431_{f}") for f in fields) for m in doc["MovtoPedidosComercial"]] == [
+        (1, "B", "04", "UND", 2, 119.0), (2, None, "04", "UND", None, 119.0), (3, "A#1", "04", "KIT", 2, 95.8)]
+    head = doc["Pedidos"][0]
+    assert (head["f430_id_tercero_fact"], head["f430_id_tercero_rem"], head["f419_contacto"], head["f430_referencia"]) == ("9", "9", "", "55")
+    found = planned(built)
+    lines = moved(found, "reference")
+    assert {k: v for k, v in lines.items() if k != "head"} == {
+        "order_id": "string", "warehouse": "string", "line_no": "int", "reference": "string", "quantity": "int", "gross": "decimal(18,2)", "discount": "decimal(18,2)"}
+    assert "f430_id_fecha" not in lines["head"] and lines["head"].count("party") == 1
+    assert "rows" not in moved(found, "order_id") and "line_no" in moved(found, "order_id")
